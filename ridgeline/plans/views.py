@@ -87,3 +87,174 @@ corpus AS (
          d.text AS lyrics, d.lang AS language
   FROM documents d JOIN part p ON d.doc_id = p.p_partkey
 )"""
+
+
+# ---------------------------------------------------------------- facts
+# Fixed parameters of the fact table.
+DEVELOPED_REGIONS = ("AMERICA", "EUROPE")
+FACT_YEARS = (1996, 2000)
+
+
+def _year_string(y: str = "y", m: str = "m"):
+    """Year as text, marked '*' when the source lacks January or December
+    (a provisional figure), to be cleaned by ``clean_years``."""
+    return F.concat(F.col(y).cast("string"),
+                    F.when((F.min(m) > 1) | (F.max(m) < 12), F.lit("*")).otherwise(F.lit("")))
+
+
+def indicator_sources(spark: SparkSession, d: str):
+    """Three raw indicator frames (code, name, year_string, value...) and a
+    per-year global series, all aggregated from orders and line items."""
+    from ridgeline.operators.facts import display_name, exact_mean
+
+    o = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    c = table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    n = table(spark, d, "nation", ["n_nationkey", "n_name"])
+    li = table(spark, d, "lineitem", ["l_orderkey", "l_discount", "l_tax"])
+    oc = (
+        o.join(c, o.o_custkey == c.c_custkey)
+        .join(n, c.c_nationkey == n.n_nationkey)
+        .select("o_orderkey", "o_totalprice", F.col("n_name").alias("country_code"),
+                F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+    )
+    gdp = (
+        oc.groupBy("country_code", "y")
+        .agg(_year_string().alias("year_string"),
+             exact_mean("o_totalprice").alias("gdp_per_capita"))
+        .drop("y").withColumn("country", display_name("country_code"))
+    )
+    rates = (
+        li.join(oc, li.l_orderkey == oc.o_orderkey)
+        .groupBy("country_code", "y")
+        .agg(_year_string().alias("year_string"),
+             exact_mean("l_discount", factor=100).alias("inflation_rate"),
+             exact_mean("l_tax", factor=100).alias("unemployment_rate"))
+        .drop("y").withColumn("country", display_name("country_code"))
+    )
+    glob = (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .groupBy(F.year("o_orderdate").alias("year"))
+        .agg(exact_mean("l_discount", factor=100).alias("global_inflation_rate"),
+             exact_mean("l_tax", factor=100).alias("global_unemployment_rate"))
+    )
+    return gdp, rates, glob
+
+
+def outcome(spark: SparkSession, d: str) -> DataFrame:
+    """Outcome keyed by display name: mean balance of the customers who
+    ordered in the year (each customer once)."""
+    from ridgeline.operators.facts import display_name, exact_mean
+
+    o = table(spark, d, "orders", ["o_custkey", "o_orderdate"])
+    c = table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
+    n = table(spark, d, "nation", ["n_nationkey", "n_name"])
+    buyers = o.select("o_custkey", F.year("o_orderdate").alias("year")).distinct()
+    return (
+        buyers.join(c, buyers.o_custkey == c.c_custkey)
+        .join(n, c.c_nationkey == n.n_nationkey)
+        .groupBy(display_name("n_name").alias("country"), "year")
+        .agg(exact_mean("c_acctbal").alias("happiness"))
+    )
+
+
+def developed_members(spark: SparkSession, d: str) -> DataFrame:
+    from ridgeline.operators.facts import display_name
+
+    n = table(spark, d, "nation", ["n_name", "n_regionkey"])
+    r = table(spark, d, "region", ["r_regionkey", "r_name"])
+    return (n.join(r.filter(F.col("r_name").isin(*DEVELOPED_REGIONS)),
+                   n.n_regionkey == r.r_regionkey, "left_semi")
+            .select(display_name("n_name").alias("country")))
+
+
+def econ(spark: SparkSession, d: str) -> DataFrame:
+    """Indicators joined per country-year plus the global series."""
+    from ridgeline.operators import facts as fx
+
+    lo, hi = FACT_YEARS
+    gdp, rates, glob = indicator_sources(spark, d)
+    joined = fx.join_indicators([fx.clean_years(gdp, lo, hi), fx.clean_years(rates, lo, hi)],
+                                ["year", "country_code", "country"])
+    return fx.attach_global_series(joined, glob, "year")
+
+
+def facts(spark: SparkSession, d: str) -> DataFrame:
+    """Country-year fact table."""
+    from ridgeline.operators import facts as fx
+
+    lo, hi = FACT_YEARS
+    econ_df = econ(spark, d)
+    happy = fx.restrict_to_known(outcome(spark, d), econ_df, "country", period="year", lo=lo, hi=hi)
+    merged = fx.merge_outcome(econ_df, happy, ["year", "country"])
+    flagged = fx.membership_flag(merged, "country", developed_members(spark, d), "developed_country")
+    r6 = lambda x: F.round(F.col(x), 6).alias(x)
+    return flagged.select(
+        "year", "country", "country_code", "developed_country",
+        r6("gdp_per_capita"), r6("inflation_rate"), r6("unemployment_rate"), r6("happiness"),
+        r6("global_inflation_rate"), r6("global_unemployment_rate"),
+    )
+
+
+def _dn(x: str) -> str:
+    return f"replace(upper(substr({x}, 1, 1)) || lower(substr({x}, 2)), '_', ' ')"
+
+
+_YS = "CAST(y AS VARCHAR) || CASE WHEN min(m) > 1 OR max(m) < 12 THEN '*' ELSE '' END"
+_Y_CLEAN = "TRY_CAST(regexp_replace(year_string, '[*]', '', 'g') AS INTEGER)"
+
+FACTS_SQL = f"""
+oc AS (
+  SELECT o.o_orderkey, o.o_totalprice, n.n_name AS country_code,
+         CAST(year(o.o_orderdate) AS INTEGER) AS y, CAST(month(o.o_orderdate) AS INTEGER) AS m
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+),
+gdp AS (
+  SELECT country_code, {_YS} AS year_string,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS gdp_per_capita
+  FROM oc GROUP BY country_code, y
+),
+rates AS (
+  SELECT country_code, {_YS} AS year_string,
+         CAST(sum(CAST(l_discount AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_discount) AS inflation_rate,
+         CAST(sum(CAST(l_tax AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_tax) AS unemployment_rate
+  FROM lineitem l JOIN oc ON l.l_orderkey = oc.o_orderkey GROUP BY country_code, y
+),
+glob_series AS (
+  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year,
+         CAST(sum(CAST(l_discount AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_discount) AS global_inflation_rate,
+         CAST(sum(CAST(l_tax AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_tax) AS global_unemployment_rate
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1
+),
+econ AS (
+  SELECT g.year, g.country_code, {_dn('g.country_code')} AS country, g.gdp_per_capita,
+         r.inflation_rate, r.unemployment_rate, gl.global_inflation_rate, gl.global_unemployment_rate
+  FROM (SELECT *, {_Y_CLEAN} AS year FROM gdp) g
+  JOIN (SELECT *, {_Y_CLEAN} AS year FROM rates) r
+    ON g.year = r.year AND g.country_code = r.country_code
+  JOIN glob_series gl ON g.year = gl.year
+  WHERE g.year BETWEEN {FACT_YEARS[0]} AND {FACT_YEARS[1]}
+    AND r.year BETWEEN {FACT_YEARS[0]} AND {FACT_YEARS[1]}
+),
+buyers AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
+happy AS (
+  SELECT {_dn('n.n_name')} AS country, b.year,
+         CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c.c_acctbal) AS happiness
+  FROM buyers b JOIN customer c ON b.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY 1, 2
+),
+developed AS (
+  SELECT {_dn('n.n_name')} AS country FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE r.r_name IN ({", ".join(f"'{x}'" for x in DEVELOPED_REGIONS)})
+),
+facts AS (
+  SELECT e.year, e.country, e.country_code,
+         (e.country IN (SELECT country FROM developed)) AS developed_country,
+         round(e.gdp_per_capita, 6) AS gdp_per_capita, round(e.inflation_rate, 6) AS inflation_rate,
+         round(e.unemployment_rate, 6) AS unemployment_rate, round(h.happiness, 6) AS happiness,
+         round(e.global_inflation_rate, 6) AS global_inflation_rate,
+         round(e.global_unemployment_rate, 6) AS global_unemployment_rate
+  FROM econ e JOIN happy h ON e.year = h.year AND e.country = h.country
+  WHERE h.year BETWEEN {FACT_YEARS[0]} AND {FACT_YEARS[1]}
+)"""
