@@ -47,6 +47,17 @@ def letter_tokens(col: Column | str) -> Column:
     return word_tokens(F.lower(_c(col)), r"[^\p{L}]+")
 
 
+def list_items(col: Column | str) -> Column:
+    """Items of a list literal (``['A', "B's"]``) as ARRAY<STRING>; both quote
+    kinds are accepted. Text that is not a list gives NULL."""
+    return F.from_json(
+        _c(col),
+        "array<string>",
+        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
+         "mode": "PERMISSIVE"},
+    )
+
+
 def first_of_list_literal(col: Column | str) -> Column:
     """First element of a list literal such as ``['A', "B's"]``.
 
@@ -54,10 +65,4 @@ def first_of_list_literal(col: Column | str) -> Column:
     apostrophe inside a double-quoted item is kept. Text that is not a list,
     an empty list and NULL all give NULL.
     """
-    parsed = F.from_json(
-        _c(col),
-        "array<string>",
-        {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
-         "mode": "PERMISSIVE"},
-    )
-    return F.try_element_at(parsed, F.lit(1))
+    return F.try_element_at(list_items(col), F.lit(1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ridgeline.plans import chart_queries, genre_queries  # noqa: F401
+from ridgeline.plans import chart_queries, genre_queries, text_queries  # noqa: F401
 from ridgeline.plans.registry import REGISTRY
 
 
