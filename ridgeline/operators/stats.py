@@ -92,3 +92,166 @@ def correlation_matrix_sql(table: str, cols: Sequence[str], *, group: Sequence[s
             f"{labels}[CAST(split_part(pair, ':', 1) AS INTEGER) + 1] AS x, "
             f"{labels}[CAST(split_part(pair, ':', 2) AS INTEGER) + 1] AS y, r "
             f"FROM ({agg}) UNPIVOT INCLUDE NULLS (r FOR pair IN ({on}))")
+
+
+# ------------------------------------------------------------ preparation
+def prepare(df: DataFrame, *, flags: Sequence[str] = (), fill: Sequence[str] = ()) -> DataFrame:
+    """text/boolean flags -> BOOLEAN, NULL counts -> 0."""
+    out = df
+    for f in flags:
+        out = out.withColumn(f, F.col(f).cast("boolean"))
+    return out.fillna(0, subset=list(fill)) if fill else out
+
+
+# ------------------------------------------------------------- summaries
+QUARTILES = (0.0, 0.25, 0.5, 0.75, 1.0)
+
+
+def five_number_summary(df: DataFrame, cols: Sequence[str], *, exact: bool = True,
+                        digits: int | None = 6, accuracy: int = 10000) -> DataFrame:
+    """(column, min, q1, median, q3, max, mean) per column.
+
+    ``exact=True`` uses ``percentile`` (type-7 interpolation, the default of
+    R's ``quantile``); it buffers a column's values, so use it on reduced
+    tables. ``exact=False`` uses ``percentile_approx`` (bounded memory) for
+    raw data.
+    """
+    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], list(cols), "column", "value").dropna(subset=["value"])
+    probs = F.array(*[F.lit(p) for p in QUARTILES])
+    q = (F.percentile(F.col("value"), probs) if exact
+         else F.percentile_approx(F.col("value"), probs, accuracy).cast("array<double>"))
+    agg = long.groupBy("column").agg(q.alias("__q"), F.avg("value").alias("mean"))
+    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
+    names = ["min", "q1", "median", "q3", "max"]
+    return agg.select("column", *[r(F.col("__q")[i]).alias(n) for i, n in enumerate(names)],
+                      r(F.col("mean")).alias("mean"))
+
+
+def group_box_stats(df: DataFrame, y: str, group: Sequence[str], *, digits: int | None = 6,
+                    whisker: float = 1.5) -> DataFrame:
+    """Per group quartiles (type 7), IQR, Tukey fences and the number of
+    points outside them. The fences are one row per group and are joined
+    back to count outliers (a shuffle on the group key)."""
+    g = list(group)
+    base = df.dropna(subset=[y])
+    q = base.groupBy(*g).agg(
+        F.percentile(F.col(y).cast("double"), F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]))
+        .alias("__q"), F.count(F.lit(1)).alias("n"))
+    q = q.select(*g, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                 F.col("__q")[2].alias("q3"))
+    q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
+        .withColumn("lower_fence", F.col("q1") - whisker * F.col("iqr")) \
+        .withColumn("upper_fence", F.col("q3") + whisker * F.col("iqr"))
+    out = base.join(q.select(*g, "lower_fence", "upper_fence"), g).groupBy(*g).agg(
+        F.count_if((F.col(y) < F.col("lower_fence")) | (F.col(y) > F.col("upper_fence")))
+        .alias("n_outliers"))
+    res = q.join(out, g)
+    r = (lambda c: F.round(F.col(c), digits).alias(c)) if digits is not None else F.col
+    return res.select(*g, "n", *[r(c) for c in ("q1", "median", "q3", "iqr", "lower_fence",
+                                                  "upper_fence")], "n_outliers")
+
+
+# ------------------------------------------------------------ regression
+def ols_simple(df: DataFrame, y: str, x: str, *, group: Sequence[str] = (),
+               digits: int | None = 6) -> DataFrame:
+    """I5 (one predictor): intercept, slope, R^2, n, RSS, residual df."""
+    yy, xx = _num(y), _num(x)
+    base = df.dropna(subset=[y, x])
+    agg = base.groupBy(*group).agg(
+        F.regr_intercept(yy, xx).alias("intercept"), F.regr_slope(yy, xx).alias("slope"),
+        F.regr_r2(yy, xx).alias("r2"), F.count(F.lit(1)).alias("n"),
+        F.var_pop(yy).alias("__vy"))
+    out = agg.withColumn("rss", (F.lit(1.0) - F.col("r2")) * F.col("n") * F.col("__vy")) \
+        .withColumn("df", F.col("n") - 2).drop("__vy")
+    return _round(out, ["intercept", "slope", "r2", "rss"], digits)
+
+
+def _round(df: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
+    if digits is None:
+        return df
+    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
+def _two_moments(y: str, a: str, b: str) -> list[Column]:
+    Y, A, B = _num(y), _num(a), _num(b)
+    return [
+        F.count(F.lit(1)).alias("n"), F.avg(Y).alias("my"), F.avg(A).alias("ma"),
+        F.avg(B).alias("mb"), F.var_pop(Y).alias("vy"), F.var_pop(A).alias("va"),
+        F.var_pop(B).alias("vb"), F.covar_pop(A, B).alias("cab"),
+        F.covar_pop(Y, A).alias("cya"), F.covar_pop(Y, B).alias("cyb"),
+    ]
+
+
+def _two_solution(m: DataFrame) -> DataFrame:
+    det = F.col("va") * F.col("vb") - F.col("cab") * F.col("cab")
+    b1 = (F.col("cya") * F.col("vb") - F.col("cyb") * F.col("cab")) / det
+    b2 = (F.col("cyb") * F.col("va") - F.col("cya") * F.col("cab")) / det
+    m = m.withColumn("b1", b1).withColumn("b2", b2)
+    m = m.withColumn("b0", F.col("my") - F.col("b1") * F.col("ma") - F.col("b2") * F.col("mb"))
+    return m.withColumn("rss", F.col("n") * (F.col("vy") - F.col("b1") * F.col("cya")
+                                             - F.col("b2") * F.col("cyb")))
+
+
+def ols_two(df: DataFrame, y: str, a: str, b: str, *, group: Sequence[str] = (),
+            digits: int | None = 6) -> DataFrame:
+    """I5 (two predictors) from one aggregate of means, variances and
+    covariances: b1 = (c_ya v_b - c_yb c_ab) / (v_a v_b - c_ab^2), b2 by
+    symmetry, b0 = mean(y) - b1 mean(a) - b2 mean(b),
+    RSS = n (v_y - b1 c_ya - b2 c_yb)."""
+    m = _two_solution(df.dropna(subset=[y, a, b]).groupBy(*group).agg(*_two_moments(y, a, b)))
+    out = m.select(*group, F.col("b0").alias("intercept"), F.col("b1").alias(a),
+                   F.col("b2").alias(b),
+                   (F.lit(1.0) - F.col("rss") / (F.col("n") * F.col("vy"))).alias("r2"),
+                   "rss", "n", (F.col("n") - 3).alias("df"))
+    return _round(out, ["intercept", a, b, "r2", "rss"], digits)
+
+
+def ols_two_by_flag(df: DataFrame, y: str, a: str, b: str, flag: str, *,
+                    digits: int | None = 6) -> DataFrame:
+    """I5 with every term interacted with a 0/1 flag:
+    y ~ (a + b) * flag. Equal to separate fits per flag value: base terms are
+    the fit for flag = false, interaction terms the difference; RSS adds up.
+    One row: intercept, a, b, flag, a:flag, b:flag, r2, rss, n, df."""
+    base = df.dropna(subset=[y, a, b, flag]).withColumn("__f", F.col(flag).cast("boolean"))
+    per = _two_solution(base.groupBy("__f").agg(*_two_moments(y, a, b)))
+
+    def pick(c, v):
+        return F.max(F.when(F.col("__f") == v, F.col(c)))
+
+    # Total sum of squares from the per-group moments (no second pass):
+    # TSS = sum n_g (v_g + m_g^2) - (sum n_g m_g)^2 / N.
+    s = per.agg(
+        pick("b0", False).alias("i0"), pick("b0", True).alias("i1"),
+        pick("b1", False).alias("a0"), pick("b1", True).alias("a1"),
+        pick("b2", False).alias("c0"), pick("b2", True).alias("c1"),
+        F.sum("rss").alias("rss"), F.sum("n").alias("n"),
+        F.sum(F.col("n") * (F.col("vy") + F.col("my") * F.col("my"))).alias("__s2"),
+        F.sum(F.col("n") * F.col("my")).alias("__s1"))
+    tss = F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("n")
+    out = s.select(
+        F.col("i0").alias("intercept"), F.col("a0").alias(a), F.col("c0").alias(b),
+        (F.col("i1") - F.col("i0")).alias(flag),
+        (F.col("a1") - F.col("a0")).alias(f"{a}:{flag}"),
+        (F.col("c1") - F.col("c0")).alias(f"{b}:{flag}"),
+        (F.lit(1.0) - F.col("rss") / tss).alias("r2"),
+        "rss", "n", (F.col("n") - 6).alias("df"))
+    return _round(out, ["intercept", a, b, flag, f"{a}:{flag}", f"{b}:{flag}", "r2", "rss"], digits)
+
+
+def anova_nested(small: DataFrame, large: DataFrame, *, digits: int | None = 6) -> DataFrame:
+    """F test of a nested pair of fits (one row each with rss and df):
+    F = ((RSS0 - RSS1) / (df0 - df1)) / (RSS1 / df1)."""
+    both = small.select("rss", "df", F.lit(0).alias("__m")).unionByName(
+        large.select("rss", "df", F.lit(1).alias("__m")))
+
+    def pick(c, m):
+        return F.max(F.when(F.col("__m") == m, F.col(c)))
+
+    j = both.agg(pick("rss", 0).alias("rss0"), pick("df", 0).alias("df0"),
+                 pick("rss", 1).alias("rss1"), pick("df", 1).alias("df1"))
+    out = j.select("rss0", "df0", "rss1", "df1",
+                   (((F.col("rss0") - F.col("rss1")) / (F.col("df0") - F.col("df1")))
+                    / (F.col("rss1") / F.col("df1"))).alias("f"))
+    return _round(out, ["rss0", "rss1", "f"], digits)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from ridgeline.plans import chart_queries, genre_queries, text_queries  # noqa: F401
+from ridgeline.plans import (  # noqa: F401
+    analysis_queries,
+    chart_queries,
+    genre_queries,
+    text_queries,
+)
 from ridgeline.plans.registry import REGISTRY
 
 
