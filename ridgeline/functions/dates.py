@@ -15,7 +15,7 @@ def as_date(df: DataFrame, col: str, fmt: str = "yyyy/MM/dd") -> Column:
     """
     dtype = df.schema[col].dataType
     if isinstance(dtype, T.StringType):
-        return F.try_to_date(F.col(col), F.lit(fmt))
+        return F.try_to_date(F.col(col), fmt)
     if isinstance(dtype, T.DateType):
         return F.col(col)
     return F.to_date(F.col(col))

@@ -24,7 +24,8 @@ def chunk_chars(col: Column | str, size: int = 512) -> Column:
     text = _c(col)
     n = F.greatest(F.ceil(F.length(text) / F.lit(size)).cast("int") - 1, F.lit(0))
     idx = F.filter(F.sequence(F.lit(0), n), lambda i: F.length(text) > i * size)
-    return F.transform(idx, lambda i: text.substr(i * size + 1, F.lit(size)))
+    return F.when(text.isNotNull(),
+                  F.transform(idx, lambda i: text.substr(i * size + 1, F.lit(size))))
 
 
 def word_tokens(col: Column | str, pattern: str = r"\s+") -> Column:
@@ -37,9 +38,8 @@ def chunk_tokens(col: Column | str, size: int = 500) -> Column:
     toks = word_tokens(col)
     n = F.greatest(F.ceil(F.size(toks) / F.lit(size)).cast("int") - 1, F.lit(0))
     idx = F.filter(F.sequence(F.lit(0), n), lambda i: F.size(toks) > i * size)
-    return F.transform(
-        idx, lambda i: F.array_join(F.slice(toks, i * size + 1, F.lit(size)), " ")
-    )
+    return F.when(_c(col).isNotNull(), F.transform(
+        idx, lambda i: F.array_join(F.slice(toks, i * size + 1, F.lit(size)), " ")))
 
 
 def letter_tokens(col: Column | str) -> Column:

@@ -167,11 +167,32 @@ def ols_simple(df: DataFrame, y: str, x: str, *, group: Sequence[str] = (),
     return _round(out, ["intercept", "slope", "r2", "rss"], digits)
 
 
-def _round(df: DataFrame, cols: Sequence[str], digits: int | None) -> DataFrame:
+SUM_SQ_SIG = 10  # sums of squares and F are reported to 10 significant digits
+
+
+def significant(c: Column, digits: int = SUM_SQ_SIG) -> Column:
+    """Round to ``digits`` significant digits (scientific formatting), for
+    quantities whose magnitude depends on the data (sums of squares)."""
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).try_cast("double"))
+
+
+def significant_sql(expr: str, digits: int = SUM_SQ_SIG) -> str:
+    return f"CAST(printf('%.{digits - 1}e', {expr}) AS DOUBLE)"
+
+
+def _round(df: DataFrame, cols: Sequence[str], digits: int | None,
+           sig: Sequence[str] = ("rss", "rss0", "rss1", "f")) -> DataFrame:
     if digits is None:
         return df
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    out = []
+    for c in df.columns:
+        if c in sig and c in cols:
+            out.append(significant(F.col(c)).alias(c))
+        elif c in cols:
+            out.append(F.round(F.col(c), digits).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
 
 
 def _two_moments(y: str, a: str, b: str) -> list[Column]:
