@@ -14,7 +14,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.functions.text import letter_tokens
 
 # ---- fixed values: function words per language ---------------------------
 FUNCTION_WORDS = {
@@ -51,7 +50,10 @@ def detect_language(df: DataFrame, key: str, text: str, *, profile: DataFrame |
     Returns (key, out, best_hits, second_hits).
     """
     prof = profile if profile is not None else profile_frame(df.sparkSession)
-    toks = df.select(F.col(key), F.explode(letter_tokens(text)).alias("token"))
+    # Empty strings from the split never match the profile, so no filter
+    # (and no lambda) is needed before the join.
+    toks = df.select(F.col(key), F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+"))
+                     .alias("token"))
     hits = (toks.join(F.broadcast(prof), "token")
             .groupBy(key, "language").agg(F.count(F.lit(1)).alias("hits")))
     # At most one row per profile language per key: the arrays are bounded.

@@ -18,11 +18,12 @@ def _num(c: str) -> Column:
     return F.col(f"`{c}`").cast("double")
 
 
-def _pair_corr(x: str, y: str) -> Column:
-    """Pearson r from population moments; NULL when either side is constant
-    (where a matrix routine would give NaN)."""
-    sx, sy = F.stddev_pop(_num(x)), F.stddev_pop(_num(y))
-    return F.when((sx > 0) & (sy > 0), F.covar_pop(_num(x), _num(y)) / (sx * sy))
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], *, group: Sequence[str] = (),
@@ -31,35 +32,37 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str], *, group: Sequence[st
     """Square, symmetric Pearson matrix in long form (group..., x, y, r).
 
     Booleans enter as 0/1. Rows with a NULL in any of ``cols`` are dropped
-    first (a matrix needs complete rows). All pairs are computed in one
-    aggregate (per group when ``group`` is given); the diagonal is 1, or
-    NULL for a constant column.
+    first (a matrix needs complete rows). One aggregate computes the
+    distinct moments only (k standard deviations, k(k-1)/2 covariances), per
+    group when ``group`` is given; r is arithmetic on that single row, and
+    one generator turns it into k*k rows. The diagonal is 1, or NULL for a
+    constant column (where a matrix routine would give NaN).
+
+    The cell expressions are built as SQL text (parsed once on the JVM)
+    rather than as thousands of Python-side column objects.
     """
     cols = list(cols)
+    k = len(cols)
     base = df.dropna(subset=cols)
-    aggs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
+    num = [f"CAST({_q(c)} AS DOUBLE)" for c in cols]
+    aggs = [F.expr(f"stddev_pop({num[i]})").alias(f"__s{i}") for i in range(k)]
+    aggs += [F.expr(f"covar_pop({num[i]}, {num[j]})").alias(f"__c{i}_{j}")
+             for i in range(k) for j in range(i + 1, k)]
+    moments = base.groupBy(*group).agg(*aggs)
+    cells = []
+    for i in range(k):
+        for j in range(k):
             if i == j:
-                e = F.when(F.stddev_pop(_num(a)) > 0, F.lit(1.0))
-            elif i < j:
-                e = _pair_corr(a, b)
+                e = f"CASE WHEN __s{i} > 0 THEN 1.0D END"
             else:
-                e = _pair_corr(b, a)
+                a, b = min(i, j), max(i, j)
+                e = f"CASE WHEN __s{a} > 0 AND __s{b} > 0 THEN __c{a}_{b} / (__s{a} * __s{b}) END"
             if digits is not None:
-                e = F.round(e, digits)
-            aggs.append(e.alias(f"{i}:{j}"))
-    wide = base.groupBy(*group).agg(*aggs)
-    names = [f"{i}:{j}" for i in range(len(cols)) for j in range(len(cols))]
-    long = wide.unpivot(list(group), names, "__pair", r)
-    xi = F.split(F.col("__pair"), ":")
-    labels = F.array(*[F.lit(c) for c in cols])
-    return long.select(
-        *group,
-        F.element_at(labels, xi.getItem(0).cast("int") + 1).alias(x),
-        F.element_at(labels, xi.getItem(1).cast("int") + 1).alias(y),
-        F.col(r),
-    )
+                e = f"round({e}, {int(digits)})"
+            cells.append(f"named_struct({_lit(x)}, {_lit(cols[i])}, {_lit(y)}, {_lit(cols[j])}, "
+                         f"{_lit(r)}, CAST({e} AS DOUBLE))")
+    gen = f"inline(array({', '.join(cells)}))"
+    return moments.selectExpr(*[_q(g) for g in group], gen)
 
 
 def correlation_matrix_sql(table: str, cols: Sequence[str], *, group: Sequence[str] = (),

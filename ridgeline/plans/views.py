@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.session import materialize
 from ridgeline.sources.tables import table
 
 
@@ -123,19 +124,32 @@ def indicator_sources(spark: SparkSession, d: str):
              exact_mean("o_totalprice").alias("gdp_per_capita"))
         .drop("y").withColumn("country", display_name("country_code"))
     )
-    rates = (
+    # One pass over the line items: exact DECIMAL sums per country-year. The
+    # global series is the sum of these partial sums (same value as a direct
+    # mean over all rows, without a second scan). The result is tiny
+    # (countries x years) and read twice, so it is materialised once.
+    sums = materialize(
         li.join(oc, li.l_orderkey == oc.o_orderkey)
         .groupBy("country_code", "y")
-        .agg(_year_string().alias("year_string"),
-             exact_mean("l_discount", factor=100).alias("inflation_rate"),
-             exact_mean("l_tax", factor=100).alias("unemployment_rate"))
-        .drop("y").withColumn("country", display_name("country_code"))
+        .agg(F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("s_disc"),
+             F.sum(F.col("l_tax").cast("decimal(18,2)")).alias("s_tax"),
+             F.count("l_discount").alias("n_disc"), F.count("l_tax").alias("n_tax"),
+             F.min("m").alias("m_lo"), F.max("m").alias("m_hi"))
     )
-    glob = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .groupBy(F.year("o_orderdate").alias("year"))
-        .agg(exact_mean("l_discount", factor=100).alias("global_inflation_rate"),
-             exact_mean("l_tax", factor=100).alias("global_unemployment_rate"))
+    ys = F.concat(F.col("y").cast("string"),
+                  F.when((F.col("m_lo") > 1) | (F.col("m_hi") < 12), F.lit("*")).otherwise(F.lit("")))
+
+    def ratio(s, n):
+        return (F.col(s) * 100).cast("double") / F.col(n)
+
+    rates = sums.select(
+        "country_code", ys.alias("year_string"),
+        ratio("s_disc", "n_disc").alias("inflation_rate"),
+        ratio("s_tax", "n_tax").alias("unemployment_rate"),
+    ).withColumn("country", display_name("country_code"))
+    glob = sums.groupBy(F.col("y").alias("year")).agg(
+        ((F.sum("s_disc") * 100).cast("double") / F.sum("n_disc")).alias("global_inflation_rate"),
+        ((F.sum("s_tax") * 100).cast("double") / F.sum("n_tax")).alias("global_unemployment_rate"),
     )
     return gdp, rates, glob
 
@@ -175,7 +189,8 @@ def econ(spark: SparkSession, d: str) -> DataFrame:
     gdp, rates, glob = indicator_sources(spark, d)
     joined = fx.join_indicators([fx.clean_years(gdp, lo, hi), fx.clean_years(rates, lo, hi)],
                                 ["year", "country_code", "country"])
-    return fx.attach_global_series(joined, glob, "year")
+    # countries x years: read by the restriction and by the merge below.
+    return materialize(fx.attach_global_series(joined, glob, "year"))
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
@@ -214,17 +229,24 @@ gdp AS (
          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS gdp_per_capita
   FROM oc GROUP BY country_code, y
 ),
-rates AS (
-  SELECT country_code, {_YS} AS year_string,
-         CAST(sum(CAST(l_discount AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_discount) AS inflation_rate,
-         CAST(sum(CAST(l_tax AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_tax) AS unemployment_rate
+rate_sums AS (
+  SELECT country_code, y, min(m) AS m_lo, max(m) AS m_hi,
+         sum(CAST(l_discount AS DECIMAL(18,2))) AS s_disc, sum(CAST(l_tax AS DECIMAL(18,2))) AS s_tax,
+         count(l_discount) AS n_disc, count(l_tax) AS n_tax
   FROM lineitem l JOIN oc ON l.l_orderkey = oc.o_orderkey GROUP BY country_code, y
 ),
+rates AS (
+  SELECT country_code,
+         CAST(y AS VARCHAR) || CASE WHEN m_lo > 1 OR m_hi < 12 THEN '*' ELSE '' END AS year_string,
+         CAST(s_disc * 100 AS DOUBLE) / n_disc AS inflation_rate,
+         CAST(s_tax * 100 AS DOUBLE) / n_tax AS unemployment_rate
+  FROM rate_sums
+),
 glob_series AS (
-  SELECT CAST(year(o.o_orderdate) AS INTEGER) AS year,
-         CAST(sum(CAST(l_discount AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_discount) AS global_inflation_rate,
-         CAST(sum(CAST(l_tax AS DECIMAL(18,2))) * 100 AS DOUBLE) / count(l_tax) AS global_unemployment_rate
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1
+  SELECT y AS year,
+         CAST(sum(s_disc) * 100 AS DOUBLE) / sum(n_disc) AS global_inflation_rate,
+         CAST(sum(s_tax) * 100 AS DOUBLE) / sum(n_tax) AS global_unemployment_rate
+  FROM rate_sums GROUP BY y
 ),
 econ AS (
   SELECT g.year, g.country_code, {_dn('g.country_code')} AS country, g.gdp_per_capita,

@@ -57,3 +57,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
             os.makedirs(d, exist_ok=True)
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss). Meant for small
+    intermediate results that several branches of a plan read, so the
+    expensive input is not scanned once per branch."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
