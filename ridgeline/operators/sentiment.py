@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions.rules import NEGATIVE, NEUTRAL, POSITIVE, majority_label
-from ridgeline.functions.text import chunk_tokens
 
 # ---- fixed values: polarity word lists ------------------------------------
 POSITIVE_WORDS = (
@@ -68,8 +67,17 @@ def explode_chunks(df: DataFrame, text: str, *, mode: str = "chars", size: int =
         ex = df.select(*keep, t.alias("__t"), F.posexplode(idx).alias(pos, "__i"))
         return ex.select(*keep, pos, F.col("__t").substr(F.col("__i") * size + 1, F.lit(size))
                          .alias(out))
-    chunks = chunk_tokens(text, size)
-    return df.select(*keep, F.posexplode(chunks).alias(pos, out))
+    # Whitespace runs -> one space, trimmed, so a plain split yields only
+    # non-empty tokens; chunk numbers are exploded and each chunk is a slice.
+    norm = F.trim(F.regexp_replace(F.col(text), r"\s+", " "))
+    toks = F.when(norm != "", F.split(norm, " "))
+    n = F.ceil(F.size("__toks") / F.lit(size)).cast("int")
+    ex = (df.select(*keep, toks.alias("__toks"))
+          .select(*keep, "__toks",
+                  F.posexplode(F.when(F.col("__toks").isNotNull(), F.sequence(F.lit(0), n - 1)))
+                  .alias(pos, "__i")))
+    return ex.select(*keep, pos, F.array_join(
+        F.slice("__toks", F.col("__i") * size + 1, F.lit(size)), " ").alias(out))
 
 
 def _word_pattern(words: Sequence[str]) -> str:
@@ -77,12 +85,6 @@ def _word_pattern(words: Sequence[str]) -> str:
     return rf"(?<!\p{{L}})(?:{alt})(?!\p{{L}})"
 
 
-def _hits(lowered: Column, words: Sequence[str]) -> Column:
-    """Occurrences of any listed word as a whole letter-run token; one regex
-    scan per chunk."""
-    return F.regexp_count(lowered, F.lit(_word_pattern(words)))
-
-
 def score_chunks_lexicon(df: DataFrame, chunk: str = "chunk", *,
                          positive: Sequence[str] = POSITIVE_WORDS,
                          negative: Sequence[str] = NEGATIVE_WORDS) -> DataFrame:
@@ -91,8 +93,15 @@ def score_chunks_lexicon(df: DataFrame, chunk: str = "chunk", *,
     outputs in two common shapes: ``stars`` ('1 star' .. '5 stars',
     3 + clipped difference) and a two-class ``label``/``score`` pair
     (LABEL_1 when positive >= negative; score = (winner + 1) / (total + 2))."""
-    low = F.lower(F.col(chunk))
-    out = df.withColumn("pos_hits", _hits(low, positive)).withColumn("neg_hits", _hits(low, negative))
+    # One regex scan per chunk extracts every lexicon word; the (short)
+    # array of matches is then split by polarity.
+    found = F.regexp_extract_all(F.lower(F.col(chunk)), F.lit(_word_pattern(list(positive) + list(negative))), 0)
+    pos_arr = F.array(*[F.lit(w) for w in dict.fromkeys(positive)])
+    neg_arr = F.array(*[F.lit(w) for w in dict.fromkeys(negative)])
+    out = (df.withColumn("__found", found)
+           .withColumn("pos_hits", F.size(F.filter("__found", lambda w: F.array_contains(pos_arr, w))))
+           .withColumn("neg_hits", F.size(F.filter("__found", lambda w: F.array_contains(neg_arr, w))))
+           .drop("__found"))
     diff = F.least(F.greatest(F.col("pos_hits") - F.col("neg_hits"), F.lit(-2)), F.lit(2)) + 3
     stars = F.when(diff == 1, F.lit("1 star")).otherwise(F.concat(diff.cast("string"), F.lit(" stars")))
     win = F.greatest("pos_hits", "neg_hits")
