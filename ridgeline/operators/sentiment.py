@@ -14,6 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.functions.rules import NEGATIVE, NEUTRAL, POSITIVE, majority_label
 
@@ -116,7 +117,8 @@ def score_chunks_with(df: DataFrame, make_scorer: Callable[[], Callable], chunk:
     """E5 (plug-in scorer): ``make_scorer()`` is called once per Python
     worker and returns ``f(list[str]) -> list[(label, score)]``; chunks go to
     it in Arrow batches."""
-    schema = df.schema.add(label, "string").add(score, "double")
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(label, T.StringType()),
+                                                     T.StructField(score, T.DoubleType())])
 
     def run(batches):
         f = make_scorer()

@@ -279,3 +279,98 @@ def anova_nested(small: DataFrame, large: DataFrame, *, digits: int | None = 6)
                    (((F.col("rss0") - F.col("rss1")) / (F.col("df0") - F.col("df1")))
                     / (F.col("rss1") / F.col("df1"))).alias("f"))
     return _round(out, ["rss0", "rss1", "f"], digits)
+
+
+# ------------------------------------------------------------- inference
+def _group_fit(y: str, xs: Sequence[str]) -> tuple[list[Column], dict[str, Column]]:
+    """Moment aggregates and per-group closed-form fit for 1 or 2 predictors.
+
+    Returns the aggregate list and expressions (over the aggregated row) for:
+    b0, b1[, b2], rss, n and the variance factors a11[, a22, a12], v0 (the
+    diagonal of (X'X)^-1 without sigma^2)."""
+    Y = _num(y)
+    X = [_num(x) for x in xs]
+    aggs = [F.count(F.lit(1)).alias("n"), F.avg(Y).alias("my"), F.var_pop(Y).alias("vy")]
+    for i, x in enumerate(X, 1):
+        aggs += [F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}"),
+                 F.covar_pop(x, Y).alias(f"c{i}y")]
+    if len(X) == 2:
+        aggs.append(F.covar_pop(X[0], X[1]).alias("c12"))
+    c = F.col
+    if len(X) == 1:
+        b1 = c("c1y") / c("v1")
+        e = {"b1": b1, "b0": c("my") - b1 * c("m1"),
+             "rss": c("n") * (c("vy") - b1 * c("c1y")),
+             "a11": F.lit(1.0) / (c("n") * c("v1"))}
+        e["v0"] = F.lit(1.0) / c("n") + c("m1") * c("m1") * e["a11"]
+    elif len(X) == 2:
+        det = c("v1") * c("v2") - c("c12") * c("c12")
+        b1 = (c("c1y") * c("v2") - c("c2y") * c("c12")) / det
+        b2 = (c("c2y") * c("v1") - c("c1y") * c("c12")) / det
+        nd = c("n") * det
+        e = {"b1": b1, "b2": b2, "b0": c("my") - b1 * c("m1") - b2 * c("m2"),
+             "rss": c("n") * (c("vy") - b1 * c("c1y") - b2 * c("c2y")),
+             "a11": c("v2") / nd, "a22": c("v1") / nd, "a12": -c("c12") / nd}
+        e["v0"] = (F.lit(1.0) / c("n") + c("m1") * c("m1") * e["a11"]
+                   + c("m2") * c("m2") * e["a22"] + 2 * c("m1") * c("m2") * e["a12"])
+    else:
+        raise ValueError("one or two predictors")
+    return aggs, e
+
+
+def ols_inference(df: DataFrame, y: str, xs: Sequence[str], *, flag: str | None = None,
+                  digits: int | None = 6) -> DataFrame:
+    """Coefficient table (term, estimate, std_error, t_value, df) of
+    ``y ~ xs`` or, with ``flag``, of ``y ~ xs * flag`` (every term
+    interacted with a 0/1 flag), from one aggregate of moments per flag value.
+
+    Standard errors use sigma^2 = RSS / (n - k) and the closed-form inverse
+    of the centred cross-product matrix; for the interacted model the fit is
+    block-diagonal by flag value, so an interaction term's variance is the
+    sum of the two groups' variances (pooled sigma^2)."""
+    xs = list(xs)
+    p = len(xs)
+    cols = [y, *xs] + ([flag] if flag else [])
+    base = df.dropna(subset=cols)
+    aggs, e = _group_fit(y, xs)
+    if flag is None:
+        fit = base.agg(*aggs).select(*[v.alias(k) for k, v in e.items()], "n")
+        k = p + 1
+        s2 = F.col("rss") / (F.col("n") - k)
+        terms = [("(intercept)", F.col("b0"), s2 * F.col("v0"))]
+        terms += [(x, F.col(f"b{i}"), s2 * F.col(f"a{i}{i}")) for i, x in enumerate(xs, 1)]
+        dfree = F.col("n") - k
+        src = fit
+    else:
+        per = base.withColumn("__f", F.col(flag).cast("boolean")).groupBy("__f").agg(*aggs) \
+            .select("__f", *[v.alias(k) for k, v in e.items()], "n")
+        keys = list(e) + ["n"]
+
+        def pick(name, v):
+            return F.max(F.when(F.col("__f") == v, F.col(name))).alias(f"{name}_{int(v)}")
+
+        src = per.agg(*[pick(kk, v) for kk in keys for v in (False, True)])
+        k = 2 * (p + 1)
+        n_all = F.col("n_0") + F.col("n_1")
+        s2 = (F.col("rss_0") + F.col("rss_1")) / (n_all - k)
+
+        def g(name, v):
+            return F.col(f"{name}_{v}")
+
+        terms = [("(intercept)", g("b0", 0), s2 * g("v0", 0))]
+        terms += [(x, g(f"b{i}", 0), s2 * g(f"a{i}{i}", 0)) for i, x in enumerate(xs, 1)]
+        terms += [(flag, g("b0", 1) - g("b0", 0), s2 * (g("v0", 0) + g("v0", 1)))]
+        terms += [(f"{x}:{flag}", g(f"b{i}", 1) - g(f"b{i}", 0),
+                   s2 * (g(f"a{i}{i}", 0) + g(f"a{i}{i}", 1))) for i, x in enumerate(xs, 1)]
+        dfree = n_all - k
+    rows = []
+    for name, est, var in terms:
+        se = F.sqrt(var)
+        t = est / se
+        vals = [est, se, t]
+        if digits is not None:
+            vals = [F.round(v, digits) for v in vals]
+        rows.append(F.struct(F.lit(name).alias("term"), vals[0].alias("estimate"),
+                             vals[1].alias("std_error"), vals[2].alias("t_value"),
+                             dfree.cast("long").alias("df")))
+    return src.select(F.inline(F.array(*rows)))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridgeline.functions.distributions import f_test_p, t_test_p
 from ridgeline.operators import distribution, enrich, ranking, reshape, stats
 from ridgeline.operators.facts import display_name
 from ridgeline.plans import views
@@ -336,3 +337,71 @@ SELECT {OLS_FLAG}, round(regr_intercept({OLS_Y}, {OLS_A}), 6) AS intercept,
 FROM facts WHERE {OLS_Y} IS NOT NULL AND {OLS_A} IS NOT NULL GROUP BY {OLS_FLAG}"""))
 def q_group_lines(spark, d):
     return stats.ols_simple(views.facts(spark, d), OLS_Y, OLS_A, group=[OLS_FLAG])
+
+
+# ------------------------------------------------------------- inference
+def _inference_sql() -> str:
+    y, a, b, fl = OLS_Y, OLS_A, OLS_B, OLS_FLAG
+
+    def fit(group: str = "") -> str:
+        m = _moments_sql(y, a, b, "facts", group)
+        return f"""SELECT *, (1.0 / n + ma * ma * a11 + mb * mb * a22 + 2 * ma * mb * a12) AS v0 FROM (
+  SELECT *, my - b1 * ma - b2 * mb AS b0, n * (vy - b1 * cya - b2 * cyb) AS rss,
+         vb / (n * det) AS a11, va / (n * det) AS a22, -cab / (n * det) AS a12 FROM (
+    SELECT *, (cya * vb - cyb * cab) / det AS b1, (cyb * va - cya * cab) / det AS b2 FROM (
+      SELECT *, va * vb - cab * cab AS det FROM ({m}))))"""
+
+    keys = ["b0", "b1", "b2", "rss", "a11", "a22", "v0", "n"]
+    piv = ", ".join(f"max(CASE WHEN {v} {fl} THEN {k_} END) AS {k_}_{i}"
+                    for k_ in keys for i, v in ((0, "NOT"), (1, "")))
+    return f"""
+inf0 AS (SELECT *, rss / (n - 3) AS s2 FROM ({fit()})),
+infg AS (SELECT *, (rss_0 + rss_1) / (n_0 + n_1 - 6) AS s2, n_0 + n_1 - 6 AS dfree
+         FROM (SELECT {piv} FROM ({fit(fl)}))),
+inf_rows AS (
+  SELECT 'm0' AS model, '(intercept)' AS term, b0 AS est, s2 * v0 AS var, n - 3 AS df FROM inf0
+  UNION ALL SELECT 'm0', '{a}', b1, s2 * a11, n - 3 FROM inf0
+  UNION ALL SELECT 'm0', '{b}', b2, s2 * a22, n - 3 FROM inf0
+  UNION ALL SELECT 'm1', '(intercept)', b0_0, s2 * v0_0, dfree FROM infg
+  UNION ALL SELECT 'm1', '{a}', b1_0, s2 * a11_0, dfree FROM infg
+  UNION ALL SELECT 'm1', '{b}', b2_0, s2 * a22_0, dfree FROM infg
+  UNION ALL SELECT 'm1', '{fl}', b0_1 - b0_0, s2 * (v0_0 + v0_1), dfree FROM infg
+  UNION ALL SELECT 'm1', '{a}:{fl}', b1_1 - b1_0, s2 * (a11_0 + a11_1), dfree FROM infg
+  UNION ALL SELECT 'm1', '{b}:{fl}', b2_1 - b2_0, s2 * (a22_0 + a22_1), dfree FROM infg
+)"""
+
+
+def inference(spark: SparkSession, d: str, digits: int | None = 6) -> DataFrame:
+    f = views.facts(spark, d)
+    m0 = stats.ols_inference(f, OLS_Y, [OLS_A, OLS_B], digits=digits)
+    m1 = stats.ols_inference(f, OLS_Y, [OLS_A, OLS_B], flag=OLS_FLAG, digits=digits)
+    return m0.select(F.lit("m0").alias("model"), "*").unionByName(
+        m1.select(F.lit("m1").alias("model"), "*"))
+
+
+@register("stat_ols_inference", with_ctes(*FACTS_BODY, _inference_sql(), body="""
+SELECT model, term, round(est, 6) AS estimate, round(sqrt(var), 6) AS std_error,
+       round(est / sqrt(var), 6) AS t_value, CAST(df AS BIGINT) AS df
+FROM inf_rows"""))
+def q_stat_ols_inference(spark, d):
+    return inference(spark, d)
+
+
+@register("stat_ols_pvalues", no_oracle="Student t tail probabilities have no SQL built-in; "
+          "checked against textbook critical values in tests/test_stats.py")
+def q_stat_ols_pvalues(spark, d):
+    inf = inference(spark, d, digits=None)
+    return inf.select("model", "term", F.round("estimate", 6).alias("estimate"),
+                      F.round("t_value", 6).alias("t_value"), "df",
+                      t_test_p(F.col("t_value"), F.col("df")).alias("p_value"))
+
+
+@register("stat_anova_pvalue", no_oracle="F distribution tail probabilities have no SQL "
+          "built-in; checked against textbook critical values in tests/test_stats.py")
+def q_stat_anova_pvalue(spark, d):
+    f = views.facts(spark, d)
+    small = stats.ols_two(f, OLS_Y, OLS_A, OLS_B, digits=None)
+    large = stats.ols_two_by_flag(f, OLS_Y, OLS_A, OLS_B, OLS_FLAG, digits=None)
+    a = stats.anova_nested(small, large, digits=None)
+    return a.select("df0", "df1", stats.significant(F.col("f")).alias("f"),
+                    f_test_p(F.col("f"), F.col("df0") - F.col("df1"), F.col("df1")).alias("p_value"))

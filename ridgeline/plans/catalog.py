@@ -8,7 +8,7 @@ from ridgeline.plans import (  # noqa: F401
     genre_queries,
     text_queries,
 )
-from ridgeline.plans.registry import REGISTRY
+from ridgeline.plans.registry import NO_ORACLE, REGISTRY
 
 
 def queries():
@@ -17,3 +17,8 @@ def queries():
 
 def oracle_sql():
     return {name: sql for name, (_, sql) in REGISTRY.items() if sql is not None}
+
+
+def no_oracle():
+    """Queries without a SQL twin, with the reason."""
+    return dict(NO_ORACLE)

@@ -103,3 +103,78 @@ def test_prepare(spark):
     df = spark.createDataFrame([("true", None), ("false", 3)], "flag string, n int")
     out = stats.prepare(df, flags=["flag"], fill=["n"]).collect()
     assert [(r["flag"], r["n"]) for r in out] == [(True, 0), (False, 3)]
+
+
+def _inference(X, y):
+    beta, rss = _lstsq(X, y)
+    n, k = X.shape
+    s2 = rss / (n - k)
+    cov = s2 * np.linalg.inv(X.T @ X)
+    return beta, np.sqrt(np.diag(cov)), n - k
+
+
+def test_ols_inference_matches_numpy(frame):
+    df, y, a, b, flag = frame
+    fl = flag.astype(float)
+    out = {r["term"]: r for r in stats.ols_inference(df, "y", ["a", "b"], digits=None).collect()}
+    beta, se, dfree = _inference(np.column_stack([np.ones_like(a), a, b]), y)
+    for i, t in enumerate(["(intercept)", "a", "b"]):
+        assert out[t]["estimate"] == pytest.approx(beta[i], abs=1e-9)
+        assert out[t]["std_error"] == pytest.approx(se[i], rel=1e-8)
+        assert out[t]["t_value"] == pytest.approx(beta[i] / se[i], rel=1e-8)
+        assert out[t]["df"] == dfree
+    X1 = np.column_stack([np.ones_like(a), a, b, fl, a * fl, b * fl])
+    beta, se, dfree = _inference(X1, y)
+    out = {r["term"]: r for r in
+           stats.ols_inference(df, "y", ["a", "b"], flag="f", digits=None).collect()}
+    for i, t in enumerate(["(intercept)", "a", "b", "f", "a:f", "b:f"]):
+        assert out[t]["estimate"] == pytest.approx(beta[i], abs=1e-8)
+        assert out[t]["std_error"] == pytest.approx(se[i], rel=1e-7)
+        assert out[t]["df"] == dfree
+    one = {r["term"]: r for r in stats.ols_inference(df, "y", ["a"], digits=None).collect()}
+    beta, se, _ = _inference(np.column_stack([np.ones_like(a), a]), y)
+    assert one["a"]["std_error"] == pytest.approx(se[1], rel=1e-8)
+
+
+def test_distribution_tails():
+    from ridgeline.functions.distributions import f_upper_p, t_two_sided_p
+
+    # textbook critical values
+    assert t_two_sided_p(2.228139, 10) == pytest.approx(0.05, abs=1e-6)
+    assert t_two_sided_p(1.959964, 1e7) == pytest.approx(0.05, abs=1e-6)
+    assert t_two_sided_p(0.0, 5) == pytest.approx(1.0)
+    assert f_upper_p(4.102821, 2, 10) == pytest.approx(0.05, abs=1e-6)
+    assert f_upper_p(2.816466, 3, 84) == pytest.approx(0.044, abs=2e-3)
+    # t^2 with (1, df) is F
+    assert t_two_sided_p(2.5, 30) == pytest.approx(f_upper_p(6.25, 1, 30), rel=1e-10)
+
+
+def test_p_value_udfs(spark):
+    from pyspark.sql import functions as F
+
+    from ridgeline.functions.distributions import f_test_p, t_test_p
+
+    df = spark.createDataFrame([(2.228139, 10, 4.102821, 2, 10)], "t double, d long, f double, a long, b long")
+    r = df.select(t_test_p(F.col("t"), F.col("d")).alias("p"),
+                  f_test_p(F.col("f"), F.col("a"), F.col("b")).alias("q")).collect()[0]
+    assert r["p"] == pytest.approx(0.05, abs=1e-6) and r["q"] == pytest.approx(0.05, abs=1e-6)
+
+
+def test_p_values_agree_with_spark_ml(frame, spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+    from pyspark.sql import functions as F
+
+    from ridgeline.functions.distributions import t_test_p
+
+    df = frame[0]
+    inf = stats.ols_inference(df, "y", ["a", "b"], digits=None)
+    ours = {r["term"]: r["p"] for r in
+            inf.select("term", t_test_p(F.col("t_value"), F.col("df")).alias("p")).collect()}
+    vec = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    model = LinearRegression(featuresCol="features", labelCol="y", solver="normal",
+                             standardization=False).fit(vec)
+    pv = model.summary.pValues  # coefficients first, intercept last
+    assert ours["a"] == pytest.approx(pv[0], rel=1e-6, abs=1e-12)
+    assert ours["b"] == pytest.approx(pv[1], rel=1e-6, abs=1e-12)
+    assert ours["(intercept)"] == pytest.approx(pv[2], rel=1e-6, abs=1e-12)

@@ -178,3 +178,30 @@ def test_route_and_unrouted(spark):
         [("en", "stars")]
     assert rows(sentiment.unrouted(df, "lang", {"en": "stars"}), "lang", "n_rows") == \
         [("zh-Hant", 1), (None, 1)]
+
+
+def test_plug_in_scorer_runs_in_arrow_batches(spark):
+    def make_len_scorer():
+        # stands in for a model: created once per Python worker
+        def score(texts):
+            return [("LABEL_1" if len(t) > 3 else "LABEL_0", 0.9) for t in texts]
+
+        return score
+
+    df = spark.createDataFrame([(1, "abcdef"), (2, "ab")], "id int, chunk string")
+    out = sentiment.score_chunks_with(df, make_len_scorer)
+    lab = out.withColumn("m", normalise_label("label", "score", "binary_threshold"))
+    assert rows(lab, "id", "label", "m") == [(1, "LABEL_1", "positive"), (2, "LABEL_0", "negative")]
+
+
+def test_log_weights_sum_and_latest(spark):
+    from ridgeline.operators import distribution
+
+    df = spark.createDataFrame([("c", "en", 2019, 3), ("c", "en", 2020, 1), ("c", "fr", 2019, 0)],
+                               "country string, language string, year int, n bigint")
+    s = dict(rows(distribution.log_weights(df, "country", "language", "n").select("language", "weight"),
+                  "language", "weight"))
+    last = dict(rows(distribution.log_weights(df, "country", "language", "n", mode="latest")
+                     .select("language", "weight"), "language", "weight"))
+    import math
+    assert s["en"] == math.log1p(4) and last["en"] == math.log1p(1) and s["fr"] == 0.0
