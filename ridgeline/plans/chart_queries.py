@@ -19,8 +19,16 @@ DEDUP_GROUP = ["country", "year", "name", "artists"]
 
 
 def chart_totals(spark: SparkSession, d: str) -> DataFrame:
-    c = period.in_period(views.chart(spark, d), "date", PERIOD_START, PERIOD_END)
-    return period.period_totals(c, ITEM_KEYS, "streams")
+    """Totals per (country, year, track and its attributes).
+
+    The attributes come from the track dimension and depend on track_id
+    alone, so grouping by (country, year, track_id) and attaching them after
+    the aggregate gives the same groups as grouping by all item keys, while
+    the dimension join runs on aggregated rows instead of raw chart rows."""
+    c = period.in_period(views.chart_events(spark, d), "date", PERIOD_START, PERIOD_END)
+    t = period.period_totals(c, ["country", "year", "track_id"], "streams")
+    return t.join(views.tracks(spark, d), "track_id").select(
+        *ITEM_KEYS, "total_streams", "weeks_on_chart", "average_streams")
 
 
 def chart_dedup(spark: SparkSession, d: str) -> DataFrame:
