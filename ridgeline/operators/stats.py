@@ -132,15 +132,21 @@ def five_number_summary(df: DataFrame, cols: Sequence[str], *, exact: bool = Tru
 
 
 def group_box_stats(df: DataFrame, y: str, group: Sequence[str], *, digits: int | None = 6,
-                    whisker: float = 1.5) -> DataFrame:
+                    whisker: float = 1.5, exact: bool = True,
+                    accuracy: int = 10000) -> DataFrame:
     """Per group quartiles (type 7), IQR, Tukey fences and the number of
     points outside them. The fences are one row per group and are joined
-    back to count outliers (a shuffle on the group key)."""
+    back to count outliers; AQE broadcasts them once their (tiny) size is
+    measured. ``exact=False`` uses ``percentile_approx`` (bounded memory per
+    group) for raw data; note R's box edges are Tukey hinges, which can
+    differ slightly from type-7 quartiles on small groups."""
     g = list(group)
     base = df.dropna(subset=[y])
-    q = base.groupBy(*g).agg(
-        F.percentile(F.col(y).cast("double"), F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]))
-        .alias("__q"), F.count(F.lit(1)).alias("n"))
+    probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+    yy = F.col(y).cast("double")
+    quart = (F.percentile(yy, probs) if exact
+             else F.percentile_approx(yy, probs, accuracy).cast("array<double>"))
+    q = base.groupBy(*g).agg(quart.alias("__q"), F.count(F.lit(1)).alias("n"))
     q = q.select(*g, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
                  F.col("__q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
