@@ -179,7 +179,7 @@ MOOD_CTES = CHART_CTES + (MOODS_SQL, views.FACTS_SQL, MOOD_SQL)
 
 
 @register("mood_coverage", with_ctes(*CHART_CTES, MOODS_SQL, body="""
-SELECT t.country, t.year, count(*) AS n_rows, count_if(m.mood IS NULL) AS n_unlabelled
+SELECT t.country, t.year, count(*) AS n_rows, CAST(count_if(m.mood IS NULL) AS BIGINT) AS n_unlabelled
 FROM topk t LEFT JOIN moods m ON t.track_id = m.track_id GROUP BY t.country, t.year"""))
 def q_mood_coverage(spark, d):
     return enrich.coverage(chart_top(spark, d), moods(spark, d), "track_id", ["country", "year"],
@@ -285,7 +285,8 @@ m1 AS (
   SELECT max(CASE WHEN NOT {OLS_FLAG} THEN b0 END) AS i0, max(CASE WHEN {OLS_FLAG} THEN b0 END) AS i1,
          max(CASE WHEN NOT {OLS_FLAG} THEN b1 END) AS a0, max(CASE WHEN {OLS_FLAG} THEN b1 END) AS a1,
          max(CASE WHEN NOT {OLS_FLAG} THEN b2 END) AS c0, max(CASE WHEN {OLS_FLAG} THEN b2 END) AS c1,
-         sum(rss) AS rss, sum(n) AS n, sum(n * (vy + my * my)) AS s2, sum(n * my) AS s1
+         sum(rss) AS rss, CAST(sum(n) AS BIGINT) AS n, sum(n * (vy + my * my)) AS s2,
+         sum(n * my) AS s1
   FROM per_flag
 )"""
 

@@ -108,3 +108,10 @@ def q_chart_quality(spark, d):
     return quality.rows_behind_duplicates(t, DEDUP_GROUP).select(
         "country", "year", "name", "artists", "track_id", "total_streams",
         "weeks_on_chart", "n_rows")
+
+
+@register("chart_group_sizes", with_ctes(*CHART_CTES, body="""
+SELECT country, year, count(*) AS n_rows FROM topk GROUP BY country, year"""))
+def q_chart_group_sizes(spark, d):
+    """Rows kept per country-year (can exceed k through ties)."""
+    return quality.rows_per_group(chart_top(spark, d), ["country", "year"])

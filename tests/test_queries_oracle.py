@@ -8,6 +8,8 @@ import __spark_entry__ as E
 from ridgeline.sources.tables import DRIVER_TABLES
 
 SF = "/root/testdata/sf0.001"
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE", "float": "FLOAT"}
 
 
 def _norm(v):
@@ -48,10 +50,13 @@ def test_rows_only_queries_run(spark, name):
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    d_cols = [c[0] for c in cur.description]
-    d_rows = cur.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    d_cols = rel.columns
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    assert {c: TYPES.get(t, t) for c, t in s_types.items()} == d_types
     assert len(s_rows) == len(d_rows)
     assert _canon(s_cols, s_rows) == _canon(d_cols, d_rows)
 
