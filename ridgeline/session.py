@@ -19,6 +19,34 @@ _SCALE_CONF = {
 }
 
 
+def cluster_conf(input_tb: float, *, executors: int = 1000, cores_per_executor: int = 4,
+                 target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster, sized from the input volume.
+
+    Start with enough shuffle partitions that a partition of the largest
+    shuffle (the line items, shuffled once by order key) is about
+    ``target_partition_mb``; AQE coalesces small ones at runtime and splits
+    skewed ones (a key holding a large share of the rows) in joins.
+    Scan splits stay at 256 MB so a task's input fits comfortably in memory.
+    """
+    slots = executors * cores_per_executor
+    parts = max(slots * 2, int(input_tb * 1024 * 1024 / target_partition_mb))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{target_partition_mb * 4}m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        # dimension broadcasts are decided on measured sizes; keep the bound explicit
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ridgeline", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults.
