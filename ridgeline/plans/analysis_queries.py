@@ -12,6 +12,7 @@ from ridgeline.operators.facts import display_name
 from ridgeline.plans import views
 from ridgeline.plans.chart_queries import CHART_CTES, chart_top
 from ridgeline.plans.registry import register, with_ctes
+from ridgeline.session import materialize
 from ridgeline.plans.text_queries import MOODS_SQL, moods
 from ridgeline.sources.tables import table
 
@@ -44,9 +45,12 @@ def lang_dist(spark: SparkSession, d: str) -> DataFrame:
 
 def lang_tidy(spark: SparkSession, d: str) -> DataFrame:
     """Per-country and whole-chart ('global') counts with display names."""
-    lab = labelled_chart(spark, d)
-    per = distribution.label_distribution(lab, ["year", "country", "language"])
-    glob = distribution.label_distribution(lab, ["year", "language"]) \
+    # Per-country counts are small (countries x years x languages) and read
+    # twice: materialise them, and add them up for the whole chart instead of
+    # counting the chart rows again.
+    per = materialize(distribution.label_distribution(labelled_chart(spark, d),
+                                                      ["year", "country", "language"]))
+    glob = per.groupBy("year", "language").agg(F.sum("track_count").alias("track_count")) \
         .withColumn("country", F.lit(GLOBAL_CODE))
     both = per.unionByName(glob)
     nations = table(spark, d, "nation", ["n_name"]).select(

@@ -11,6 +11,7 @@ from ridgeline.operators import batching, enrich, language, sentiment
 from ridgeline.plans import views
 from ridgeline.plans.chart_queries import CHART_CTES, chart_top
 from ridgeline.plans.registry import register, with_ctes
+from ridgeline.session import materialize
 from ridgeline.sources.tables import table
 
 # ---- fixed values of the text plan -----------------------------------------
@@ -30,8 +31,8 @@ def items(spark: SparkSession, d: str) -> DataFrame:
     return enrich.distinct_items(chart_top(spark, d), ["track_id", "name", "artists"])
 
 
-def matched(spark: SparkSession, d: str) -> DataFrame:
-    it = items(spark, d).withColumn("artist", first_of_list_literal("artists"))
+def matched(spark: SparkSession, d: str, it: DataFrame | None = None) -> DataFrame:
+    it = (items(spark, d) if it is None else it).withColumn("artist", first_of_list_literal("artists"))
     stats = enrich.text_stats_by(views.corpus(spark, d), ["title", "artist"], "lyrics",
                                  lang="language").withColumnRenamed("artist", "c_artist")
     m = enrich.match_items(it, stats, [("name", "title"), ("artist", "c_artist")])
@@ -39,7 +40,11 @@ def matched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unmatched(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.without_match(items(spark, d), matched(spark, d), "track_id")
+    # Items feed both sides of the anti join; they are few (top-k per
+    # country-year), so they are materialised once instead of recomputing
+    # the chart pipeline per side.
+    it = materialize(items(spark, d))
+    return enrich.without_match(it, matched(spark, d, it), "track_id")
 
 
 def moods(spark: SparkSession, d: str) -> DataFrame:

@@ -59,6 +59,9 @@ def test_query_matches_oracle(spark, duck, name):
     assert {c: TYPES.get(t, t) for c, t in s_types.items()} == d_types
     assert len(s_rows) == len(d_rows)
     assert _canon(s_cols, s_rows) == _canon(d_cols, d_rows)
+    # plan regression: the largest table is read at most once per plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") <= 1, plan
 
 
 def test_entry_runs_with_stable_schema(spark):
