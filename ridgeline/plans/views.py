@@ -218,11 +218,13 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
     merged = fx.merge_outcome(econ_df, happy, ["year", "country"])
     flagged = fx.membership_flag(merged, "country", developed_members(spark, d), "developed_country")
     r6 = lambda x: F.round(F.col(x), 6).alias(x)
-    return flagged.select(
+    # countries x years rows, read by several branches of the analyses
+    # (quartiles and outliers, nested models, ...): computed once.
+    return materialize(flagged.select(
         "year", "country", "country_code", "developed_country",
         r6("gdp_per_capita"), r6("inflation_rate"), r6("unemployment_rate"), r6("happiness"),
         r6("global_inflation_rate"), r6("global_unemployment_rate"),
-    )
+    ))
 
 
 def _dn(x: str) -> str:
