@@ -111,79 +111,93 @@ DEVELOPED_REGIONS = ("AMERICA", "EUROPE")
 FACT_YEARS = (1996, 2000)
 
 
-def _year_string(y: str = "y", m: str = "m"):
-    """Year as text, marked '*' when the source lacks January or December
-    (a provisional figure), to be cleaned by ``clean_years``."""
-    return F.concat(F.col(y).cast("string"),
-                    F.when((F.min(m) > 1) | (F.max(m) < 12), F.lit("*")).otherwise(F.lit("")))
-
-
-def indicator_sources(spark: SparkSession, d: str):
-    """Three raw indicator frames (code, name, year_string, value...) and a
-    per-year global series, all aggregated from orders and line items."""
-    from ridgeline.operators.facts import display_name, exact_mean
-
+def _orders_by_country(spark: SparkSession, d: str):
     o = table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
-    c = table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    c = table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
     n = table(spark, d, "nation", ["n_nationkey", "n_name"])
+    return (o.join(c, o.o_custkey == c.c_custkey)
+            .join(n, c.c_nationkey == n.n_nationkey)
+            .select("o_orderkey", "o_custkey", "o_totalprice", "c_acctbal",
+                    F.col("n_name").alias("country_code"),
+                    F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")))
+
+
+def order_sums(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over the orders: per country-year exact DECIMAL sums of the
+    order value (for the indicator) and of the balances of the distinct
+    ordering customers (for the outcome). First per customer-year (each
+    buyer once), then per country-year; countries x years rows, written
+    once to the shared checkpoint folder."""
+    cy = (_orders_by_country(spark, d)
+          .groupBy("o_custkey", "c_acctbal", "country_code", "y")
+          .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s_price"),
+               F.count("o_totalprice").alias("n_price"),
+               F.min("m").alias("m_lo"), F.max("m").alias("m_hi")))
+    return materialize(
+        cy.groupBy("country_code", "y")
+        .agg(F.sum("s_price").alias("s_price"), F.sum("n_price").alias("n_price"),
+             F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"),
+             F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("s_bal"),
+             F.count("c_acctbal").alias("n_bal")))
+
+
+def line_sums(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over the line items: per country-year exact DECIMAL sums of
+    discount and tax; countries x years rows, written once."""
     li = table(spark, d, "lineitem", ["l_orderkey", "l_discount", "l_tax"])
-    oc = (
-        o.join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .select("o_orderkey", "o_totalprice", F.col("n_name").alias("country_code"),
-                F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
-    )
-    gdp = (
-        oc.groupBy("country_code", "y")
-        .agg(_year_string().alias("year_string"),
-             exact_mean("o_totalprice").alias("gdp_per_capita"))
-        .drop("y").withColumn("country", display_name("country_code"))
-    )
-    # One pass over the line items: exact DECIMAL sums per country-year. The
-    # global series is the sum of these partial sums (same value as a direct
-    # mean over all rows, without a second scan). The result is tiny
-    # (countries x years) and read twice, so it is materialised once.
-    sums = materialize(
+    oc = _orders_by_country(spark, d).select("o_orderkey", "country_code", "y", "m")
+    return materialize(
         li.join(oc, li.l_orderkey == oc.o_orderkey)
         .groupBy("country_code", "y")
         .agg(F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("s_disc"),
              F.sum(F.col("l_tax").cast("decimal(18,2)")).alias("s_tax"),
              F.count("l_discount").alias("n_disc"), F.count("l_tax").alias("n_tax"),
-             F.min("m").alias("m_lo"), F.max("m").alias("m_hi"))
-    )
-    ys = F.concat(F.col("y").cast("string"),
-                  F.when((F.col("m_lo") > 1) | (F.col("m_hi") < 12), F.lit("*")).otherwise(F.lit("")))
-
-    def ratio(s, n):
-        return (F.col(s) * 100).cast("double") / F.col(n)
-
-    rates = sums.select(
-        "country_code", ys.alias("year_string"),
-        ratio("s_disc", "n_disc").alias("inflation_rate"),
-        ratio("s_tax", "n_tax").alias("unemployment_rate"),
-    ).withColumn("country", display_name("country_code"))
-    glob = sums.groupBy(F.col("y").alias("year")).agg(
+             F.min("m").alias("m_lo"), F.max("m").alias("m_hi")))
+
+
+def _ys():
+    """Year as text, marked '*' when the source lacks January or December
+    (a provisional figure), to be cleaned by ``clean_years``."""
+    return F.concat(F.col("y").cast("string"),
+                    F.when((F.col("m_lo") > 1) | (F.col("m_hi") < 12), F.lit("*"))
+                    .otherwise(F.lit("")))
+
+
+def _ratio(s: str, n: str, factor: int = 1):
+    return (F.col(s) * factor).cast("double") / F.col(n)
+
+
+def indicator_sources(spark: SparkSession, d: str, osums: DataFrame | None = None):
+    """Raw indicator frames (code, name, year_string, value...) and the
+    per-year global series, all derived from the two materialised sums.
+    The global series adds up the per-country sums (the same value as a
+    mean over all rows, without another scan)."""
+    from ridgeline.operators.facts import display_name
+
+    osums = order_sums(spark, d) if osums is None else osums
+    lsums = line_sums(spark, d)
+    gdp = osums.select("country_code", _ys().alias("year_string"),
+                       _ratio("s_price", "n_price").alias("gdp_per_capita")) \
+        .withColumn("country", display_name("country_code"))
+    rates = lsums.select("country_code", _ys().alias("year_string"),
+                         _ratio("s_disc", "n_disc", 100).alias("inflation_rate"),
+                         _ratio("s_tax", "n_tax", 100).alias("unemployment_rate")) \
+        .withColumn("country", display_name("country_code"))
+    glob = lsums.groupBy(F.col("y").alias("year")).agg(
         ((F.sum("s_disc") * 100).cast("double") / F.sum("n_disc")).alias("global_inflation_rate"),
         ((F.sum("s_tax") * 100).cast("double") / F.sum("n_tax")).alias("global_unemployment_rate"),
     )
     return gdp, rates, glob
 
 
-def outcome(spark: SparkSession, d: str) -> DataFrame:
+def outcome(spark: SparkSession, d: str, osums: DataFrame | None = None) -> DataFrame:
     """Outcome keyed by display name: mean balance of the customers who
     ordered in the year (each customer once)."""
-    from ridgeline.operators.facts import display_name, exact_mean
+    from ridgeline.operators.facts import display_name
 
-    o = table(spark, d, "orders", ["o_custkey", "o_orderdate"])
-    c = table(spark, d, "customer", ["c_custkey", "c_nationkey", "c_acctbal"])
-    n = table(spark, d, "nation", ["n_nationkey", "n_name"])
-    buyers = o.select("o_custkey", F.year("o_orderdate").alias("year")).distinct()
-    return (
-        buyers.join(c, buyers.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
-        .groupBy(display_name("n_name").alias("country"), "year")
-        .agg(exact_mean("c_acctbal").alias("happiness"))
-    )
+    osums = order_sums(spark, d) if osums is None else osums
+    return osums.select(display_name("country_code").alias("country"),
+                        F.col("y").alias("year"), _ratio("s_bal", "n_bal").alias("happiness"))
 
 
 def developed_members(spark: SparkSession, d: str) -> DataFrame:
@@ -196,35 +210,35 @@ def developed_members(spark: SparkSession, d: str) -> DataFrame:
             .select(display_name("n_name").alias("country")))
 
 
-def econ(spark: SparkSession, d: str) -> DataFrame:
+def econ(spark: SparkSession, d: str, osums: DataFrame | None = None) -> DataFrame:
     """Indicators joined per country-year plus the global series."""
     from ridgeline.operators import facts as fx
 
     lo, hi = FACT_YEARS
-    gdp, rates, glob = indicator_sources(spark, d)
+    gdp, rates, glob = indicator_sources(spark, d, osums)
     joined = fx.join_indicators([fx.clean_years(gdp, lo, hi), fx.clean_years(rates, lo, hi)],
                                 ["year", "country_code", "country"])
-    # countries x years: read by the restriction and by the merge below.
-    return materialize(fx.attach_global_series(joined, glob, "year"))
+    return fx.attach_global_series(joined, glob, "year")
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    """Country-year fact table."""
+    """Country-year fact table (C2-C7). Every branch below reads only the two
+    materialised sums, so re-reading this frame never re-scans the inputs."""
     from ridgeline.operators import facts as fx
 
     lo, hi = FACT_YEARS
-    econ_df = econ(spark, d)
-    happy = fx.restrict_to_known(outcome(spark, d), econ_df, "country", period="year", lo=lo, hi=hi)
+    osums = order_sums(spark, d)
+    econ_df = econ(spark, d, osums)
+    happy = fx.restrict_to_known(outcome(spark, d, osums), econ_df, "country",
+                                 period="year", lo=lo, hi=hi)
     merged = fx.merge_outcome(econ_df, happy, ["year", "country"])
     flagged = fx.membership_flag(merged, "country", developed_members(spark, d), "developed_country")
     r6 = lambda x: F.round(F.col(x), 6).alias(x)
-    # countries x years rows, read by several branches of the analyses
-    # (quartiles and outliers, nested models, ...): computed once.
-    return materialize(flagged.select(
+    return flagged.select(
         "year", "country", "country_code", "developed_country",
         r6("gdp_per_capita"), r6("inflation_rate"), r6("unemployment_rate"), r6("happiness"),
         r6("global_inflation_rate"), r6("global_unemployment_rate"),
-    ))
+    )
 
 
 def _dn(x: str) -> str:
