@@ -5,17 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Footer schemas already read, per dataset path. Inferring a Parquet schema
+# runs a small Spark job; a plan that reads the same table in several
+# branches (or a session running many plans) infers it once.
+_SCHEMAS: dict[str, StructType] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str,
           columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan of ``{sf_dir}/{name}.parquet``. Selecting ``columns``
     here makes the pruned ``ReadSchema`` explicit; filters applied later are
     still pushed into the scan by Catalyst."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
