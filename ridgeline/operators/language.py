@@ -3,8 +3,8 @@ values, distinct and frequent values.
 
 Detection is a Spark job, not a per-row library call: texts are split into
 lower-cased letter runs, exploded, joined to a (token, language) profile,
-and the hits are counted per (document, language). The profile is a fixed
-word list (its size does not grow with the data), so it is broadcast.
+and the hits are counted per (document, language). The default profile is a
+fixed word list (its size does not grow with the data), so it is broadcast.
 """
 
 from __future__ import annotations
@@ -49,12 +49,15 @@ def detect_language(df: DataFrame, key: str, text: str, *, profile: DataFrame |
     any hit also get ``unknown``. Ties on hits go to the smaller code.
     Returns (key, out, best_hits, second_hits).
     """
-    prof = profile if profile is not None else profile_frame(df.sparkSession)
+    # The built-in profile is a fixed word list (a proven size bound), so it
+    # is broadcast; a caller's profile is joined without a hint and AQE
+    # broadcasts it only if its measured size is small.
+    prof = F.broadcast(profile_frame(df.sparkSession)) if profile is None else profile
     # Empty strings from the split never match the profile, so no filter
     # (and no lambda) is needed before the join.
     toks = df.select(F.col(key), F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+"))
                      .alias("token"))
-    hits = (toks.join(F.broadcast(prof), "token")
+    hits = (toks.join(prof, "token")
             .groupBy(key, "language").agg(F.count(F.lit(1)).alias("hits")))
     # At most one row per profile language per key: the arrays are bounded.
     per_doc = hits.groupBy(key).agg(
