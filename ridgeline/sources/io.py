@@ -111,12 +111,14 @@ def read_json(spark: SparkSession, path: str | Sequence[str],
 
 
 def read_partitioned(spark: SparkSession, path: str, *, fmt: str = "parquet",
-                     base_path: str | None = None) -> DataFrame:
+                     base_path: str | None = None, **options) -> DataFrame:
     """Hive-partitioned scan; ``base_path`` keeps the partition columns when
     reading a sub-directory. Filters on partition columns prune folders."""
     r = spark.read.format(fmt)
     if base_path:
         r = r.option("basePath", base_path)
+    for k, v in options.items():
+        r = r.option(k, v)
     return r.load(path)
 
 
