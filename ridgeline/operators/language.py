@@ -30,11 +30,25 @@ FUNCTION_WORDS = {
 UNKNOWN = "und"
 
 
-def profile_frame(spark: SparkSession, words: Mapping[str, Sequence[str]] = FUNCTION_WORDS
-                  ) -> DataFrame:
+def profile_rows(words: Mapping[str, Sequence[str]] = FUNCTION_WORDS, *,
+                 distinctive: bool = True) -> list[tuple[str, str]]:
+    """(token, language) pairs of a word list. With ``distinctive`` a word
+    listed for several languages is left out, so every hit votes for one
+    language only."""
+    pairs = [(w, lang) for lang, ws in words.items() for w in dict.fromkeys(ws)]
+    if not distinctive:
+        return pairs
+    seen: dict[str, int] = {}
+    for w, _ in pairs:
+        seen[w] = seen.get(w, 0) + 1
+    return [(w, lang) for w, lang in pairs if seen[w] == 1]
+
+
+def profile_frame(spark: SparkSession, words: Mapping[str, Sequence[str]] = FUNCTION_WORDS,
+                  *, distinctive: bool = True) -> DataFrame:
     """(token, language) rows of a fixed word list."""
-    rows = [(w, lang) for lang, ws in words.items() for w in dict.fromkeys(ws)]
-    return spark.createDataFrame(rows, "token string, language string")
+    return spark.createDataFrame(profile_rows(words, distinctive=distinctive),
+                                 "token string, language string")
 
 
 def detect_language(df: DataFrame, key: str, text: str, *, profile: DataFrame | None = None,

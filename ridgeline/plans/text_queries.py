@@ -241,8 +241,7 @@ def q_lang_keep(spark, d):
 
 
 def _profile_values() -> str:
-    rows = [(w, lang) for lang, ws in language.FUNCTION_WORDS.items() for w in dict.fromkeys(ws)]
-    return ", ".join(f"('{w}', '{lg}')" for w, lg in rows)
+    return ", ".join(f"('{w}', '{lg}')" for w, lg in language.profile_rows())
 
 
 @register("lang_detect", f"""
@@ -332,3 +331,44 @@ SELECT lang, count(*) AS n_rows FROM documents
 WHERE lang NOT IN ({', '.join(f"'{k}'" for k in ROUTES)}) OR lang IS NULL GROUP BY lang""")
 def q_mood_unrouted(spark, d):
     return sentiment.unrouted(table(spark, d, "documents", ["lang"]), "lang", ROUTES)
+
+
+def _detect_sql() -> str:
+    return f"""
+prof(token, language) AS (VALUES {_profile_values()}),
+toks AS (SELECT doc_id, unnest({_LETTERS.format(x='text')}) AS token FROM documents),
+hits AS (SELECT doc_id, language, count(*) AS hits FROM toks JOIN prof USING (token)
+         GROUP BY doc_id, language),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, language ASC) AS rn
+           FROM hits),
+best AS (
+  SELECT doc_id, max(CASE WHEN rn = 1 THEN language END) AS lang1,
+         coalesce(max(CASE WHEN rn = 1 THEN hits END), 0) AS best_hits,
+         coalesce(max(CASE WHEN rn = 2 THEN hits END), 0) AS second_hits
+  FROM ranked GROUP BY doc_id
+),
+detected AS (
+  SELECT d.doc_id, d.lang,
+         coalesce(CASE WHEN b.best_hits >= 3 AND b.best_hits >= 2.0 * b.second_hits THEN b.lang1 END,
+                  '{language.UNKNOWN}') AS detected
+  FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+)"""
+
+
+@register("lang_detect_accuracy", "WITH " + _detect_sql() + """
+SELECT lang, count(*) AS n_docs, CAST(count_if(detected = lang) AS BIGINT) AS n_agree,
+       CAST(count_if(detected = 'und') AS BIGINT) AS n_unknown,
+       round(count_if(detected = lang) / count(*), 6) AS agreement
+FROM detected GROUP BY lang""")
+def q_lang_detect_accuracy(spark, d):
+    """D10 report: agreement of the detected language with the language
+    recorded for each document, per recorded language."""
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    det = language.detect_language(docs, "doc_id", "text").join(docs.select("doc_id", "lang"),
+                                                                  "doc_id")
+    return det.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(F.col("detected") == F.col("lang")).alias("n_agree"),
+        F.count_if(F.col("detected") == language.UNKNOWN).alias("n_unknown"),
+        F.round(F.count_if(F.col("detected") == F.col("lang")) / F.count(F.lit(1)), 6)
+        .alias("agreement"))
