@@ -243,9 +243,9 @@ def q_lang_keep(spark, d):
 def _profile_values() -> str:
     return ", ".join(f"('{w}', '{lg}')" for w, lg in language.profile_rows())
 
-
-@register("lang_detect", f"""
-WITH prof(token, language) AS (VALUES {_profile_values()}),
+def _detect_sql() -> str:
+    return f"""
+prof(token, language) AS (VALUES {_profile_values()}),
 toks AS (SELECT doc_id, unnest({_LETTERS.format(x='text')}) AS token FROM documents),
 hits AS (SELECT doc_id, language, count(*) AS hits FROM toks JOIN prof USING (token)
          GROUP BY doc_id, language),
@@ -256,39 +256,28 @@ best AS (
          CAST(coalesce(max(CASE WHEN rn = 1 THEN hits END), 0) AS BIGINT) AS best_hits,
          CAST(coalesce(max(CASE WHEN rn = 2 THEN hits END), 0) AS BIGINT) AS second_hits
   FROM ranked GROUP BY doc_id
-)
-SELECT d.doc_id, d.lang,
-       coalesce(CASE WHEN b.best_hits >= 3 AND b.best_hits >= 2.0 * b.second_hits THEN b.lang1 END,
-                '{language.UNKNOWN}') AS detected,
-       coalesce(b.best_hits, 0) AS best_hits, coalesce(b.second_hits, 0) AS second_hits
-FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id""")
+),
+detected AS (
+  SELECT d.doc_id, d.lang,
+         coalesce(CASE WHEN b.best_hits >= 3 AND b.best_hits >= 2.0 * b.second_hits THEN b.lang1 END,
+                  '{language.UNKNOWN}') AS detected,
+         coalesce(b.best_hits, 0) AS best_hits, coalesce(b.second_hits, 0) AS second_hits
+  FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
+)"""
+
+
+
+@register("lang_detect", "WITH " + _detect_sql() + """
+SELECT doc_id, lang, detected, best_hits, second_hits FROM detected""")
 def q_lang_detect(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
     det = language.detect_language(docs, "doc_id", "text")
     return docs.select("doc_id", "lang").join(det, "doc_id")
 
 
-@register("lang_recheck", f"""
-WITH prof(token, language) AS (VALUES {_profile_values()}),
-toks AS (SELECT doc_id, unnest({_LETTERS.format(x='text')}) AS token FROM documents),
-hits AS (SELECT doc_id, language, count(*) AS hits FROM toks JOIN prof USING (token)
-         GROUP BY doc_id, language),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, language ASC) AS rn
-           FROM hits),
-best AS (
-  SELECT doc_id, max(CASE WHEN rn = 1 THEN language END) AS lang1,
-         coalesce(max(CASE WHEN rn = 1 THEN hits END), 0) AS best_hits,
-         coalesce(max(CASE WHEN rn = 2 THEN hits END), 0) AS second_hits
-  FROM ranked GROUP BY doc_id
-),
-first_pass AS (
-  SELECT d.doc_id, d.lang,
-         coalesce(CASE WHEN b.best_hits >= 3 AND b.best_hits >= 2.0 * b.second_hits THEN b.lang1 END,
-                  '{language.UNKNOWN}') AS detected
-  FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
-)
+@register("lang_recheck", "WITH " + _detect_sql() + f"""
 SELECT doc_id, CASE WHEN detected = '{language.UNKNOWN}' THEN lang ELSE detected END AS language
-FROM first_pass""")
+FROM detected""")
 def q_lang_recheck(spark, d):
     """D10 + D11: detected language with the unreliable sentinel replaced by
     a second opinion (here the language recorded with the document)."""
@@ -333,28 +322,6 @@ def q_mood_unrouted(spark, d):
     return sentiment.unrouted(table(spark, d, "documents", ["lang"]), "lang", ROUTES)
 
 
-def _detect_sql() -> str:
-    return f"""
-prof(token, language) AS (VALUES {_profile_values()}),
-toks AS (SELECT doc_id, unnest({_LETTERS.format(x='text')}) AS token FROM documents),
-hits AS (SELECT doc_id, language, count(*) AS hits FROM toks JOIN prof USING (token)
-         GROUP BY doc_id, language),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY hits DESC, language ASC) AS rn
-           FROM hits),
-best AS (
-  SELECT doc_id, max(CASE WHEN rn = 1 THEN language END) AS lang1,
-         coalesce(max(CASE WHEN rn = 1 THEN hits END), 0) AS best_hits,
-         coalesce(max(CASE WHEN rn = 2 THEN hits END), 0) AS second_hits
-  FROM ranked GROUP BY doc_id
-),
-detected AS (
-  SELECT d.doc_id, d.lang,
-         coalesce(CASE WHEN b.best_hits >= 3 AND b.best_hits >= 2.0 * b.second_hits THEN b.lang1 END,
-                  '{language.UNKNOWN}') AS detected
-  FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id
-)"""
-
-
 @register("lang_detect_accuracy", "WITH " + _detect_sql() + """
 SELECT lang, count(*) AS n_docs, CAST(count_if(detected = lang) AS BIGINT) AS n_agree,
        CAST(count_if(detected = 'und') AS BIGINT) AS n_unknown,
