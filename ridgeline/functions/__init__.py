@@ -7,6 +7,8 @@ from ridgeline.functions.text import (
     chunk_chars,
     chunk_tokens,
     first_of_list_literal,
+    letter_tokens,
+    list_items,
     word_tokens,
 )
 
@@ -18,5 +20,7 @@ __all__ = [
     "chunk_chars",
     "chunk_tokens",
     "first_of_list_literal",
+    "letter_tokens",
+    "list_items",
     "word_tokens",
 ]

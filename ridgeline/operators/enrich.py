@@ -71,8 +71,9 @@ def match_items(items: DataFrame, corpus_by_key: DataFrame,
     for left, right in on:
         e = items[left] == corpus_by_key[right]
         cond = e if cond is None else cond & e
-    right_keys = [r for _, r in on]
-    return items.join(corpus_by_key, cond, "left").drop(*right_keys)
+    # drop the corpus-side keys by reference: unambiguous even when an item
+    # column has the same name
+    return items.join(corpus_by_key, cond, "left").drop(*[corpus_by_key[r] for _, r in on])
 
 
 def consolidate_matches(df: DataFrame, key: str, *, lang: str = "language") -> DataFrame:

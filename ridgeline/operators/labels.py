@@ -15,9 +15,10 @@ def remap_values(df: DataFrame, col: str, mapping: Mapping[str, str] | DataFrame
     kept. Exact, case-sensitive, single pass (a replaced value is not
     replaced again).
 
-    A dict becomes one CASE expression (no join). A mapping table is joined
-    with a left equi-join on the raw value; Catalyst/AQE broadcast it only
-    when its measured size is below the broadcast threshold.
+    A dict becomes one CASE expression (no join). A mapping table (one row
+    per raw value) is joined with a left equi-join on the raw value;
+    Catalyst/AQE broadcast it only when its measured size is below the
+    broadcast threshold.
     """
     if isinstance(mapping, DataFrame):
         m = mapping.select(F.col(from_col).alias("__raw"), F.col(to_col).alias("__mapped"))
