@@ -110,3 +110,16 @@ def test_global_series_join(spark):
     a = spark.createDataFrame([(2019, 1.0), (2020, 2.0)], "year int, x double")
     g = spark.createDataFrame([(2019, 9.0)], "year int, g double")
     assert rows(facts.attach_global_series(a, g), "year", "g") == [(2019, 9.0)]
+
+
+def test_exact_mean_and_display_name(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("NATION_7", 0.1), ("NATION_7", 0.2), ("UNITED_KINGDOM", 0.3)],
+                               "code string, v double")
+    out = df.groupBy("code").agg(facts.exact_mean("v", factor=100).alias("m")) \
+        .select(facts.display_name("code").alias("name"), "m")
+    got = sorted((r["name"], r["m"]) for r in out.collect())
+    # decimal sums: 0.1 + 0.2 is exactly 0.3 before the final division
+    assert got == [("Nation 7", 15.0), ("United kingdom", 30.0)]
+    assert df.select(F.sum("v")).first()[0] != 0.6  # the double sum is not exact

@@ -205,3 +205,10 @@ def test_log_weights_sum_and_latest(spark):
                      .select("language", "weight"), "language", "weight"))
     import math
     assert s["en"] == math.log1p(4) and last["en"] == math.log1p(1) and s["fr"] == 0.0
+
+
+def test_letter_tokens_any_script(spark):
+    from ridgeline.functions import letter_tokens
+
+    df = spark.createDataFrame([("Ünïcode, déjà-vu! 42 ЖЖ",)], "t string")
+    assert df.select(letter_tokens("t").alias("k")).first()["k"] == ["ünïcode", "déjà", "vu", "жж"]
