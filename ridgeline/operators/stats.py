@@ -173,7 +173,13 @@ def ols_simple(df: DataFrame, y: str, x: str, *, group: Sequence[str] = (),
         F.var_pop(yy).alias("__vy"))
     out = agg.withColumn("rss", (F.lit(1.0) - F.col("r2")) * F.col("n") * F.col("__vy")) \
         .withColumn("df", F.col("n") - 2).drop("__vy")
-    return _round(out, ["intercept", "slope", "r2", "rss"], digits)
+    out = out.withColumn("adj_r2", _adjusted("r2", "n", 1))
+    return _round(out, ["intercept", "slope", "r2", "adj_r2", "rss"], digits)
+
+
+def _adjusted(r2: str, n: str, p: int) -> Column:
+    """Adjusted R^2 for p predictors plus an intercept."""
+    return F.lit(1.0) - (F.lit(1.0) - F.col(r2)) * (F.col(n) - 1) / (F.col(n) - p - 1)
 
 
 SUM_SQ_SIG = 10  # sums of squares and F are reported to 10 significant digits
@@ -235,7 +241,8 @@ def ols_two(df: DataFrame, y: str, a: str, b: str, *, group: Sequence[str] = (),
                    F.col("b2").alias(b),
                    (F.lit(1.0) - F.col("rss") / (F.col("n") * F.col("vy"))).alias("r2"),
                    "rss", "n", (F.col("n") - 3).alias("df"))
-    return _round(out, ["intercept", a, b, "r2", "rss"], digits)
+    out = out.withColumn("adj_r2", _adjusted("r2", "n", 2))
+    return _round(out, ["intercept", a, b, "r2", "adj_r2", "rss"], digits)
 
 
 def ols_two_by_flag(df: DataFrame, y: str, a: str, b: str, flag: str, *,
@@ -267,7 +274,9 @@ def ols_two_by_flag(df: DataFrame, y: str, a: str, b: str, flag: str, *,
         (F.col("c1") - F.col("c0")).alias(f"{b}:{flag}"),
         (F.lit(1.0) - F.col("rss") / tss).alias("r2"),
         "rss", "n", (F.col("n") - 6).alias("df"))
-    return _round(out, ["intercept", a, b, flag, f"{a}:{flag}", f"{b}:{flag}", "r2", "rss"], digits)
+    out = out.withColumn("adj_r2", _adjusted("r2", "n", 5))
+    return _round(out, ["intercept", a, b, flag, f"{a}:{flag}", f"{b}:{flag}", "r2", "adj_r2", "rss"],
+                  digits)
 
 
 def anova_nested(small: DataFrame, large: DataFrame, *, digits: int | None = 6) -> DataFrame:

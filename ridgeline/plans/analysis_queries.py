@@ -254,7 +254,8 @@ def q_stat_corr_groups(spark, d):
 
 @register("stat_ols_simple", with_ctes(*FACTS_BODY, body=f"""
 SELECT round(intercept, 6) AS intercept, round(slope, 6) AS slope, round(r2, 6) AS r2, n,
-       {stats.significant_sql('(1.0 - r2) * n * vy')} AS rss, n - 2 AS df
+       {stats.significant_sql('(1.0 - r2) * n * vy')} AS rss, n - 2 AS df,
+       round(1.0 - (1.0 - r2) * (n - 1) / (n - 2), 6) AS adj_r2
 FROM (SELECT regr_intercept(happiness, CAST(developed_country AS INTEGER)) AS intercept,
              regr_slope(happiness, CAST(developed_country AS INTEGER)) AS slope,
              regr_r2(happiness, CAST(developed_country AS INTEGER)) AS r2,
@@ -297,7 +298,8 @@ m1 AS (
 
 @register("stat_ols_two", with_ctes(*FACTS_BODY, OLS_SQL, body=f"""
 SELECT round(b0, 6) AS intercept, round(b1, 6) AS {OLS_A}, round(b2, 6) AS {OLS_B},
-       round(1.0 - rss / (n * vy), 6) AS r2, {stats.significant_sql('rss')} AS rss, n, n - 3 AS df FROM m0"""))
+       round(1.0 - rss / (n * vy), 6) AS r2, {stats.significant_sql('rss')} AS rss, n, n - 3 AS df,
+       round(1.0 - (rss / (n * vy)) * (n - 1) / (n - 3), 6) AS adj_r2 FROM m0"""))
 def q_stat_ols_two(spark, d):
     return stats.ols_two(views.facts(spark, d), OLS_Y, OLS_A, OLS_B)
 
@@ -306,7 +308,8 @@ def q_stat_ols_two(spark, d):
 SELECT round(i0, 6) AS intercept, round(a0, 6) AS {OLS_A}, round(c0, 6) AS {OLS_B},
        round(i1 - i0, 6) AS {OLS_FLAG}, round(a1 - a0, 6) AS "{OLS_A}:{OLS_FLAG}",
        round(c1 - c0, 6) AS "{OLS_B}:{OLS_FLAG}",
-       round(1.0 - rss / (s2 - s1 * s1 / n), 6) AS r2, {stats.significant_sql('rss')} AS rss, n, n - 6 AS df
+       round(1.0 - rss / (s2 - s1 * s1 / n), 6) AS r2, {stats.significant_sql('rss')} AS rss, n, n - 6 AS df,
+       round(1.0 - (rss / (s2 - s1 * s1 / n)) * (n - 1) / (n - 6), 6) AS adj_r2
 FROM m1"""))
 def q_stat_ols_flag(spark, d):
     return stats.ols_two_by_flag(views.facts(spark, d), OLS_Y, OLS_A, OLS_B, OLS_FLAG)
@@ -338,7 +341,8 @@ SELECT {OLS_FLAG}, round(regr_intercept({OLS_Y}, {OLS_A}), 6) AS intercept,
        round(regr_slope({OLS_Y}, {OLS_A}), 6) AS slope, round(regr_r2({OLS_Y}, {OLS_A}), 6) AS r2,
        count(*) AS n,
        {stats.significant_sql(f'(1.0 - regr_r2({OLS_Y}, {OLS_A})) * count(*) * var_pop({OLS_Y})')} AS rss,
-       count(*) - 2 AS df
+       count(*) - 2 AS df,
+       round(1.0 - (1.0 - regr_r2({OLS_Y}, {OLS_A})) * (count(*) - 1) / (count(*) - 2), 6) AS adj_r2
 FROM facts WHERE {OLS_Y} IS NOT NULL AND {OLS_A} IS NOT NULL GROUP BY {OLS_FLAG}"""))
 def q_group_lines(spark, d):
     return stats.ols_simple(views.facts(spark, d), OLS_Y, OLS_A, group=[OLS_FLAG])

@@ -79,6 +79,9 @@ def test_ols_simple_and_two(frame):
     assert [t["intercept"], t["a"], t["b"]] == pytest.approx(beta, abs=1e-9)
     assert t["rss"] == pytest.approx(rss, rel=1e-9)
     assert t["r2"] == pytest.approx(1 - rss / ((y - y.mean()) ** 2).sum(), abs=1e-12)
+    n = len(y)
+    assert t["adj_r2"] == pytest.approx(1 - (rss / (n - 3)) / (((y - y.mean()) ** 2).sum() / (n - 1)),
+                                        abs=1e-12)
 
 
 def test_interacted_model_and_f_test(frame):
