@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -87,10 +88,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the shared checkpoint folder (survives executor loss). Meant for small
-    intermediate results that several branches of a plan read, so the
-    expensive input is not scanned once per branch."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, *, as_table: bool = True):
+    """Compute ``df`` once and cut its lineage, for intermediate results that
+    several branches of a plan read, so the expensive input is not scanned
+    once per branch. Both forms survive executor loss.
+
+    ``as_table`` (default) writes a Parquet table under the shared
+    checkpoint folder and reads it back: the optimizer then knows its real
+    size, so joins with a small result are broadcast by Spark's own size
+    check (and shuffle-joined when it is large). Otherwise a reliable
+    ``checkpoint()`` is used."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark)
+    if not as_table:
+        return df.checkpoint(eager=True)
+    path = f"{base.rstrip('/')}/ridgeline-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
