@@ -152,12 +152,13 @@ moods AS (
 
 # ------------------------------------------------------------- queries
 @register("text_assemble", """
-SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text, max(role) AS role,
+SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS text, max(role) AS role,
        count(text) AS n_parts
 FROM conversations WHERE role NOT IN ('system') GROUP BY conv_id""")
 def q_text_assemble(spark, d):
     conv = table(spark, d, "conversations", ["conv_id", "turn", "role", "text"])
-    return enrich.assemble_text(conv, "conv_id", "text", ["turn"],
+    # (turn, text) makes the order total even if a turn number repeats
+    return enrich.assemble_text(conv, "conv_id", "text", ["turn", "text"],
                                 exclude=("role", EXCLUDED_ROLES), keep_max=["role"])
 
 
