@@ -88,16 +88,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def materialize(df, *, as_table: bool = True):
+def materialize(df, *, as_table: bool = False):
     """Compute ``df`` once and cut its lineage, for intermediate results that
     several branches of a plan read, so the expensive input is not scanned
     once per branch. Both forms survive executor loss.
 
-    ``as_table`` (default) writes a Parquet table under the shared
-    checkpoint folder and reads it back: the optimizer then knows its real
-    size, so joins with a small result are broadcast by Spark's own size
-    check (and shuffle-joined when it is large). Otherwise a reliable
-    ``checkpoint()`` is used."""
+    By default a reliable ``checkpoint()`` in the shared checkpoint folder.
+    ``as_table`` writes a Parquet table under that folder and reads it back
+    instead: the optimizer then knows its real size, so joins with it are
+    planned from Spark's own size check (worth it for larger intermediates;
+    for the small ones here the checkpoint is cheaper)."""
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     if not as_table:
