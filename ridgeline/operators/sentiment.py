@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,79 @@ NEGATIVE_WORDS = (
 ).split()
 # --------------------------------------------------------------------------
 
+# ---- fixed values: one route per language (label rule, chunking) -----------
+# rule names as in ridgeline.functions.rules.normalise_label; chunking is
+# (mode, size): code-point slices or whitespace-token groups.
+LANGUAGE_ROUTES = {
+    "fr": ("stars", "chars", 512), "en": ("stars", "chars", 512), "nl": ("stars", "chars", 512),
+    "it": ("stars", "chars", 512), "es": ("stars", "chars", 512),
+    "ms": ("identity", "chars", 512), "pt": ("identity", "chars", 512),
+    "id": ("identity", "chars", 512), "zh": ("identity", "chars", 512),
+    "zh-Hant": ("identity", "chars", 512), "ja": ("identity", "chars", 512),
+    "ko": ("binary_threshold", "chars", 512), "bg": ("binary_threshold", "chars", 512),
+    "ro": ("binary_threshold", "chars", 512),
+    "pl": ("identity", "chars", 512),
+    "ru": ("lower", "chars", 512),
+    "sv": ("mapping", "chars", 512),
+    "sk": ("signed", "tokens", 500),
+    "fil": ("binary", "tokens", 500), "tl": ("binary", "tokens", 500),
+    "th": ("mapping", "chars", 512),
+    "tr": ("mapping", "chars", 512),
+    "vi": ("mapping", "chars", 256),
+}
+LABEL_MAPS = {
+    "sv": {"NEGATIVE": "negative", "POSITIVE": "positive", "NEUTRAL": "neutral"},
+    "th": {"neg": "negative", "pos": "positive", "neu": "neutral"},
+    "tr": {"Notr": "neutral", "Positive": "positive", "Negative": "negative"},
+    "vi": {"Tiêu cực": "negative", "Tích cực": "positive", "Trung tính": "neutral"},
+}
+# --------------------------------------------------------------------------
+
+
+def explode_chunks_by_language(df: DataFrame, text: str, lang: str, *,
+                               routes: Mapping[str, tuple[str, str, int]] = LANGUAGE_ROUTES,
+                               pos: str = "chunk_no", out: str = "chunk") -> DataFrame:
+    """E2-E4 for every language in one pass: each row is cut with its
+    language's chunking (character slices or token groups, per-language
+    size). Rows of languages without a route are dropped (see
+    ``unrouted``)."""
+    def case(i):
+        e = None
+        for code, r in routes.items():
+            e = F.when(F.col(lang) == code, F.lit(r[i])) if e is None else \
+                e.when(F.col(lang) == code, F.lit(r[i]))
+        return e
+
+    keep = [c for c in df.columns if c != text]
+    t = F.col(text)
+    norm = F.trim(F.regexp_replace(t, r"\s+", " "))
+    base = df.select(*keep, t.alias("__t"), case(1).alias("__mode"), case(2).alias("__size"),
+                     F.when(norm != "", F.split(norm, " ")).alias("__toks")) \
+        .filter(F.col("__mode").isNotNull())
+    units = F.when(F.col("__mode") == "chars", F.length("__t")).otherwise(F.size("__toks"))
+    n = F.ceil(units / F.col("__size")).cast("int")
+    ex = base.select(*keep, "__t", "__mode", "__size", "__toks",
+                     F.posexplode(F.when(units > 0, F.sequence(F.lit(0), n - 1))).alias(pos, "__i"))
+    start = F.col("__i") * F.col("__size") + 1
+    chunk = F.when(F.col("__mode") == "chars", F.col("__t").substr(start, F.col("__size"))) \
+        .otherwise(F.array_join(F.slice("__toks", start, F.col("__size")), " "))
+    return ex.select(*keep, pos, chunk.alias(out))
+
+
+def normalise_by_language(label: str, score: str, lang: str, *,
+                          routes: Mapping[str, tuple[str, str, int]] = LANGUAGE_ROUTES,
+                          maps: Mapping[str, Mapping[str, str]] = LABEL_MAPS,
+                          threshold: float = 0.75) -> Column:
+    """E6 for every language at once: the label rule of each row's language
+    (one CASE over the fixed route table, no join)."""
+    from ridgeline.functions.rules import normalise_label
+
+    e = None
+    for code, (rule, _, _) in routes.items():
+        v = normalise_label(label, score, rule, mapping=maps.get(code), threshold=threshold)
+        e = F.when(F.col(lang) == code, v) if e is None else e.when(F.col(lang) == code, v)
+    return e
+
 
 def route_by_language(df: DataFrame, lang: str, routes: Mapping[str, str],
                       out: str = "route") -> DataFrame:

@@ -340,3 +340,102 @@ def q_lang_detect_accuracy(spark, d):
         F.count_if(F.col("detected") == language.UNKNOWN).alias("n_unknown"),
         F.round(F.count_if(F.col("detected") == F.col("lang")) / F.count(F.lit(1)), 6)
         .alias("agreement"))
+
+
+# --------------------------------------------- moods over the route table
+def moods_by_language(spark: SparkSession, d: str) -> DataFrame:
+    """E1-E8 with the fixed per-language route table: per-language chunking
+    and label rule in one pass; unrouted languages get no mood."""
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    chunks = sentiment.explode_chunks_by_language(docs, "text", "lang")
+    scored = sentiment.score_chunks_lexicon(chunks)
+    stars_langs = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
+    raw = F.when(F.col("lang").isin(stars_langs), F.col("stars")).otherwise(F.col("label"))
+    labelled = scored.withColumn("raw_label", raw).withColumn(
+        "chunk_label", sentiment.normalise_by_language("raw_label", "score", "lang",
+                                                       threshold=THRESHOLD))
+    counted = sentiment.count_labels(labelled, ["doc_id", "lang"], "chunk_label")
+    return sentiment.vote(counted).select(
+        F.col("doc_id").alias("track_id"), F.col("lang").alias("language"),
+        "positive_count", "neutral_count", "negative_count", "mood")
+
+
+def _routes_sql() -> str:
+    routes = sentiment.LANGUAGE_ROUTES
+
+    def case(i):
+        return "CASE " + " ".join(f"WHEN lang = '{k}' THEN {v[i]!r}" .replace('"', "'")
+                                  for k, v in routes.items()) + " END"
+
+    def rule_sql(code, rule):
+        if rule == "stars":
+            return ("CASE WHEN raw_label IN ('4 stars', '5 stars') THEN 'positive' "
+                    "WHEN raw_label = '3 stars' THEN 'neutral' "
+                    "WHEN raw_label IN ('1 star', '2 stars') THEN 'negative' END")
+        if rule == "binary_threshold":
+            return (f"CASE WHEN raw_label = 'LABEL_0' AND score >= {THRESHOLD} THEN 'negative' "
+                    f"WHEN raw_label = 'LABEL_1' AND score >= {THRESHOLD} THEN 'positive' "
+                    f"WHEN raw_label IN ('LABEL_0', 'LABEL_1') AND score < {THRESHOLD} THEN 'neutral' END")
+        if rule == "binary":
+            return ("CASE WHEN raw_label = 'LABEL_0' THEN 'negative' "
+                    "WHEN raw_label = 'LABEL_1' THEN 'positive' ELSE 'neutral' END")
+        if rule == "signed":
+            return ("CASE WHEN raw_label = '1' THEN 'positive' WHEN raw_label = '-1' THEN 'negative' "
+                    "ELSE 'neutral' END")
+        if rule == "lower":
+            return "lower(raw_label)"
+        if rule == "identity":
+            return "CASE WHEN raw_label <> '' THEN raw_label END"
+        if rule == "mapping":
+            m = sentiment.LABEL_MAPS[code]
+            return "CASE " + " ".join(f"WHEN raw_label = '{a}' THEN '{b}'" for a, b in m.items()) + " END"
+        raise ValueError(rule)
+
+    stars_langs = ", ".join(f"'{k}'" for k, (r, _, _) in routes.items() if r == "stars")
+    norm = "CASE " + " ".join(f"WHEN lang = '{k}' THEN {rule_sql(k, r)}"
+                              for k, (r, _, _) in routes.items()) + " END"
+    return f"""
+r_routed AS (
+  SELECT doc_id, lang, text, {case(1)} AS mode, {case(2)} AS size,
+         list_filter(regexp_split_to_array(text, '\\s+'), lambda t: t <> '') AS toks
+  FROM documents
+),
+r_chunked AS (
+  SELECT doc_id, lang,
+         CASE WHEN mode = 'chars' THEN substring(text, i * size + 1, size)
+              ELSE array_to_string(list_slice(toks, i * size + 1, (i + 1) * size), ' ') END AS chunk
+  FROM (SELECT *, unnest(range(0, CAST(ceil((CASE WHEN mode = 'chars' THEN length(text)
+                                                   ELSE len(toks) END) / size) AS BIGINT))) AS i
+        FROM r_routed WHERE mode IS NOT NULL)
+),
+r_scored AS (
+  SELECT *, CASE WHEN lang IN ({stars_langs})
+                 THEN CASE WHEN stars_n = 1 THEN '1 star' ELSE CAST(stars_n AS VARCHAR) || ' stars' END
+                 ELSE label END AS raw_label
+  FROM (
+    SELECT *, least(greatest(pos_hits - neg_hits, -2), 2) + 3 AS stars_n,
+           CASE WHEN pos_hits >= neg_hits THEN 'LABEL_1' ELSE 'LABEL_0' END AS label,
+           (greatest(pos_hits, neg_hits) + 1) / (pos_hits + neg_hits + 2) AS score
+    FROM (
+      SELECT *, len(list_filter(toks, lambda t: list_contains({_sql_list(sentiment.POSITIVE_WORDS)}, t))) AS pos_hits,
+                len(list_filter(toks, lambda t: list_contains({_sql_list(sentiment.NEGATIVE_WORDS)}, t))) AS neg_hits
+      FROM (SELECT *, {_LETTERS.format(x='chunk')} AS toks FROM r_chunked)))
+),
+r_counted AS (
+  SELECT doc_id, lang,
+         CAST(sum(CASE WHEN chunk_label = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive_count,
+         CAST(sum(CASE WHEN chunk_label = 'neutral' THEN 1 ELSE 0 END) AS BIGINT) AS neutral_count,
+         CAST(sum(CASE WHEN chunk_label = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negative_count
+  FROM (SELECT doc_id, lang, {norm} AS chunk_label FROM r_scored)
+  GROUP BY doc_id, lang
+)"""
+
+
+@register("mood_vote_routes", "WITH " + _routes_sql() + """
+SELECT doc_id AS track_id, lang AS language, positive_count, neutral_count, negative_count,
+       CASE WHEN positive_count > neutral_count AND positive_count > negative_count THEN 'positive'
+            WHEN negative_count > neutral_count AND negative_count > positive_count THEN 'negative'
+            ELSE 'neutral' END AS mood
+FROM r_counted""")
+def q_mood_vote_routes(spark, d):
+    return moods_by_language(spark, d)

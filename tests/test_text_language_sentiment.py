@@ -212,3 +212,22 @@ def test_letter_tokens_any_script(spark):
 
     df = spark.createDataFrame([("Ünïcode, déjà-vu! 42 ЖЖ",)], "t string")
     assert df.select(letter_tokens("t").alias("k")).first()["k"] == ["ünïcode", "déjà", "vu", "жж"]
+
+
+def test_chunks_by_language_route_sizes(spark):
+    df = spark.createDataFrame([(1, "vi", "x" * 300), (2, "en", "y" * 600), (3, "sk", " ".join(["w"] * 501)),
+                                (4, "de", "z" * 10), (5, "en", "")], "id int, lang string, t string")
+    out = sentiment.explode_chunks_by_language(df, "t", "lang")
+    got = sorted((r["id"], r["chunk_no"], len(r["chunk"])) for r in out.collect())
+    assert got == [(1, 0, 256), (1, 1, 44), (2, 0, 512), (2, 1, 88), (3, 0, 999), (3, 1, 1)]
+
+
+def test_normalise_by_language(spark):
+    df = spark.createDataFrame([("en", "5 stars", 0.1), ("ko", "LABEL_1", 0.9), ("ko", "LABEL_1", 0.5),
+                                ("ru", "POSITIVE", 0.9), ("vi", "Tích cực", 0.9), ("sk", "-1", 0.0),
+                                ("tl", "LABEL_0", 0.1), ("tr", "Notr", 0.9), ("de", "5 stars", 0.9)],
+                               "lang string, label string, score double")
+    got = [r["m"] for r in df.select(
+        sentiment.normalise_by_language("label", "score", "lang").alias("m")).collect()]
+    assert got == ["positive", "positive", "neutral", "positive", "positive", "negative",
+                   "negative", "neutral", None]
