@@ -187,18 +187,30 @@ def language_job(spark: SparkSession, texts_json: str, lists_out: str, parquet_o
     io.publish_text(keep, f"{lists_out}/texts", parquet_out)
 
 
-def mood_job(spark: SparkSession, texts_parquet: str, output: str, routes: Mapping[str, str], *,
-             size: int = 512, threshold: float = 0.75) -> None:
-    """Moods for every routed language in one job."""
+def mood_job(spark: SparkSession, texts_parquet: str, output: str,
+             routes: Mapping[str, str] | None = None, *, size: int = 512,
+             threshold: float = 0.75) -> None:
+    """Moods for every routed language in one job. Without ``routes``
+    the fixed per-language table applies (label rule and chunking per
+    language); ``routes`` maps language -> 'stars' / 'binary_threshold' for
+    the lexicon scorer with ``size``-character chunks."""
     df = io.read_partitioned(spark, texts_parquet).filter(F.col("lyrics").isNotNull())
-    routed = sentiment.route_by_language(df, "language", routes)
-    chunks = sentiment.explode_chunks(routed, "lyrics", size=size)
-    scored = sentiment.score_chunks_lexicon(chunks)
-    label = (F.when(F.col("route") == "stars", normalise_label("stars", rule="stars"))
-             .when(F.col("route") == "binary_threshold",
-                   normalise_label("label", "score", "binary_threshold", threshold=threshold)))
-    counted = sentiment.count_labels(scored.withColumn("chunk_label", label),
-                                     ["track_id", "language"], "chunk_label")
+    if routes is None:
+        chunks = sentiment.explode_chunks_by_language(df, "lyrics", "language")
+        scored = sentiment.score_chunks_lexicon(chunks)
+        stars = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
+        raw = F.when(F.col("language").isin(stars), F.col("stars")).otherwise(F.col("label"))
+        label = sentiment.normalise_by_language("__raw", "score", "language", threshold=threshold)
+        scored = scored.withColumn("__raw", raw).withColumn("chunk_label", label)
+    else:
+        routed = sentiment.route_by_language(df, "language", routes)
+        chunks = sentiment.explode_chunks(routed, "lyrics", size=size)
+        scored = sentiment.score_chunks_lexicon(chunks)
+        label = (F.when(F.col("route") == "stars", normalise_label("stars", rule="stars"))
+                 .when(F.col("route") == "binary_threshold",
+                       normalise_label("label", "score", "binary_threshold", threshold=threshold)))
+        scored = scored.withColumn("chunk_label", label)
+    counted = sentiment.count_labels(scored, ["track_id", "language"], "chunk_label")
     io.publish_partitioned(sentiment.vote(counted).select("track_id", "language", "mood"),
                            output, ["language"])
 

@@ -78,6 +78,9 @@ def test_jobs_end_to_end(spark, tmp_out):
     jobs.mood_job(spark, f"{d}/bylang", f"{d}/moods", {"en": "stars"})
     moods = {x["track_id"]: x["mood"] for x in io.read_partitioned(spark, f"{d}/moods").collect()}
     assert moods == {"t1": "positive", "t2": "negative"}
+    jobs.mood_job(spark, f"{d}/bylang", f"{d}/moods_all")  # per-language route table
+    moods_all = {x["track_id"]: x["mood"] for x in io.read_partitioned(spark, f"{d}/moods_all").collect()}
+    assert moods_all == moods
 
     jobs.mood_outcome_job(spark, f"{d}/moods", f"{d}/top", f"{d}/facts", f"{d}/mood_outcome", n=2)
     out = io.read_csv(spark, f"{d}/mood_outcome").collect()
