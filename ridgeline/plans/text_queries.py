@@ -42,7 +42,7 @@ def matched(spark: SparkSession, d: str, it: DataFrame | None = None) -> DataFra
 def unmatched(spark: SparkSession, d: str) -> DataFrame:
     # Items feed both sides of the anti join; they are few (top-k per
     # country-year), so they are materialised once instead of recomputing
-    # the chart pipeline per side.
+    # the chart ranking per side.
     it = materialize(items(spark, d))
     return enrich.without_match(it, matched(spark, d, it), "track_id")
 
