@@ -238,3 +238,47 @@ def q_fact_unmatched(spark, d):
     econ = views.econ(spark, d, osums)
     return fx.unmatched(econ, views.outcome(spark, d, osums), ["year", "country"]) \
         .select("year", "country", "country_code")
+
+
+# ------------------------------------------- curated (song) genre variant
+# Remapped curated genre values (the closed pivot list).
+SONG_GENRES = sorted(set(GENRE_REMAP.values()) | {"LARGE"})
+
+
+def song_genre_facts(spark: SparkSession, d: str) -> DataFrame:
+    """F4 (song variant, absent genre -> 0) joined to the facts."""
+    wide = reshape.to_wide(remap_counts(spark, d), ["year", "country"], "genre", "count",
+                           SONG_GENRES, fill=0)
+    return (wide.join(econ_renamed(spark, d), ["year", "country"])
+            .drop("global_inflation_rate", "global_unemployment_rate", "country"))
+
+
+SONG_CORR_COLS = SONG_GENRES + ["is_developed_country", "gdp_per_capita", "inflation_rate",
+                                "unemployment_rate"]
+_SONG_CELLS = ", ".join(
+    "CAST(coalesce(sum(CASE WHEN genre = '%s' THEN count END), 0) AS BIGINT) AS \"%s\"" % (g, g)
+    for g in SONG_GENRES)
+_SONG_COLS = ", ".join('w."%s"' % g for g in SONG_GENRES)
+SONG_FACTS_SQL = f"""
+song_wide AS (
+  SELECT year, country, {_SONG_CELLS}
+  FROM remap_counts GROUP BY year, country
+),
+song_facts AS (
+  SELECT w.year, f.country AS full_country_name, {_SONG_COLS},
+         f.developed_country AS is_developed_country, f.gdp_per_capita, f.inflation_rate,
+         f.unemployment_rate
+  FROM song_wide w JOIN facts f ON w.year = f.year AND w.country = f.country_code
+)"""
+
+
+@register("genre_song_facts", with_ctes(*CHART_CTES, REMAP_SQL, views.FACTS_SQL, SONG_FACTS_SQL,
+                                        body="SELECT * FROM song_facts"))
+def q_genre_song_facts(spark, d):
+    return song_genre_facts(spark, d)
+
+
+@register("genre_song_corr", with_ctes(*CHART_CTES, REMAP_SQL, views.FACTS_SQL, SONG_FACTS_SQL,
+                                       body=stats.correlation_matrix_sql("song_facts", SONG_CORR_COLS)))
+def q_genre_song_corr(spark, d):
+    return stats.correlation_matrix(song_genre_facts(spark, d), SONG_CORR_COLS)
