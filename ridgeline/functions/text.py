@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _c(col: Column | str) -> Column:
@@ -66,3 +67,19 @@ def first_of_list_literal(col: Column | str) -> Column:
     an empty list and NULL all give NULL.
     """
     return F.try_element_at(list_items(col), F.lit(1))
+
+
+def nfc(col: Column | str) -> Column:
+    """Unicode NFC normalisation (Spark SQL has no built-in for it): an
+    Arrow-batched pandas UDF, meant for small dimension tables of display
+    names, not for the fact rows."""
+    return _nfc_udf(_c(col))
+
+
+def _nfc_series(s):
+    import unicodedata
+
+    return s.map(lambda v: unicodedata.normalize("NFC", v) if isinstance(v, str) else v)
+
+
+_nfc_udf = F.pandas_udf(_nfc_series, StringType())

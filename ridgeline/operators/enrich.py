@@ -123,10 +123,17 @@ def enrich_status(items: DataFrame, texts: DataFrame, key: str, text_key: str, *
 
 def decode_dimension(df: DataFrame, col: str, dim: DataFrame | Mapping[str, str], *,
                      code: str = "code", name: str = "name",
-                     special: Mapping[str, str] | None = None, out: str | None = None) -> DataFrame:
+                     special: Mapping[str, str] | None = None, out: str | None = None,
+                     normalize: bool = False) -> DataFrame:
     """Code -> display name through a dimension (left join, code kept
-    when unknown); ``special`` overrides before the lookup."""
+    when unknown); ``special`` overrides before the lookup. ``normalize``
+    NFC-normalises the dimension's names once, on the (small) dimension
+    table, so equal names compare equal whatever their source encoding."""
     target = out or col
+    if normalize and isinstance(dim, DataFrame):
+        from ridgeline.functions.text import nfc
+
+        dim = dim.withColumn(name, nfc(name))
     if isinstance(dim, Mapping):
         expr = F.col(col)
         lut = None

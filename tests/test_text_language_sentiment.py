@@ -231,3 +231,15 @@ def test_normalise_by_language(spark):
         sentiment.normalise_by_language("label", "score", "lang").alias("m")).collect()]
     assert got == ["positive", "positive", "neutral", "positive", "positive", "negative",
                    "negative", "neutral", None]
+
+
+def test_decode_dimension_nfc(spark):
+    import unicodedata
+
+    composed = unicodedata.normalize("NFC", "Curaçao")
+    decomposed = unicodedata.normalize("NFD", "Curaçao")
+    assert composed != decomposed
+    df = spark.createDataFrame([("cw",)], "c string")
+    dim = spark.createDataFrame([("cw", decomposed)], "code string, name string")
+    out = enrich.decode_dimension(df, "c", dim, normalize=True).first()["c"]
+    assert out == composed
