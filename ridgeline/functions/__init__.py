@@ -1,5 +1,6 @@
 """Column-expression helpers. All are native Catalyst expressions (no Python
-workers), so they stay inside whole-stage codegen."""
+workers) except ``text.nfc`` and the ``distributions`` tail probabilities,
+which are Arrow-batched pandas UDFs meant for small tables."""
 
 from ridgeline.functions.dates import as_date, clean_year
 from ridgeline.functions.rules import majority_label, normalise_label
