@@ -92,3 +92,44 @@ def test_majority_label_brute_force(spark, counts):
         return "neutral"
 
     assert got == [vote(*c) for c in counts]
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["c1", "c2"]), st.sampled_from([2019, 2020]),
+                               st.sampled_from(["positive", "neutral", "negative"])),
+                     min_size=1, max_size=40))
+def test_label_counts_wide_equals_crosstab(spark, rows):
+    from ridgeline.operators import reshape
+
+    data = [(c, y, m, i) for i, (c, y, m) in enumerate(rows)]
+    df = spark.createDataFrame(data, "country string, year int, mood string, id int")
+    out = reshape.label_counts_wide(df, ["country", "year"], "mood",
+                                    ["positive", "neutral", "negative"], "id").collect()
+    pdf = pd.DataFrame(data, columns=["country", "year", "mood", "id"])
+    ct = pd.crosstab([pdf.country, pdf.year], pdf.mood)
+    for r in out:
+        for m in ("positive", "neutral", "negative"):
+            want = int(ct.loc[(r["country"], r["year"]), m]) if m in ct.columns else 0
+            assert (r[m] or 0) == want
+            assert (r[m] is None) == (want == 0)  # absent label is NULL, not 0
+    assert len(out) == len(ct)
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(st.integers(-5, 5), st.integers(-5, 5), st.integers(-5, 5)),
+                     min_size=3, max_size=25))
+def test_correlation_matrix_equals_numpy(spark, vals):
+    import numpy as np
+
+    from ridgeline.operators import stats
+
+    df = spark.createDataFrame(vals, "a int, b int, c int")
+    got = {(r["x"], r["y"]): r["r"] for r in
+           stats.correlation_matrix(df, ["a", "b", "c"], digits=None).collect()}
+    arr = np.array(vals, dtype=float).T
+    for i, x in enumerate("abc"):
+        for j, y in enumerate("abc"):
+            if arr[i].std() == 0 or arr[j].std() == 0:
+                assert got[(x, y)] is None
+            else:
+                assert abs(got[(x, y)] - np.corrcoef(arr[i], arr[j])[0, 1]) < 1e-9
