@@ -286,17 +286,43 @@ JOBS = {
     "genre-tags": genre_tag_job,
     "text-match": text_match_job,
     "languages": language_job,
+    "moods": mood_job,
+    "mood-outcome": mood_outcome_job,
+    "genre-indicators": genre_indicator_job,
+    "language-distribution": language_distribution_job,
 }
 
 
+def _arg(text: str):
+    """Command-line value: JSON objects / lists (mappings, label lists) and
+    plain numbers are decoded, everything else stays text."""
+    import json
+    import re
+
+    if text[:1] in "{[":
+        return json.loads(text)
+    if re.fullmatch(r"-?\d+", text):
+        return int(text)
+    if re.fullmatch(r"-?\d+\.\d*", text):
+        return float(text)
+    return text
+
+
 def main(argv: Sequence[str]) -> None:
+    """``python -m ridgeline.plans.jobs <job> arg ... [key=value ...]``;
+    values that look like JSON objects or lists are decoded."""
     from ridgeline.session import get_session
 
     if not argv or argv[0] not in JOBS:
         raise SystemExit(f"usage: python -m ridgeline.plans.jobs {{{','.join(JOBS)}}} args...")
+    pos = [_arg(a) for a in argv[1:] if "=" not in a.split("/")[0] or a.startswith("{")]
+    kw = {a.split("=", 1)[0]: _arg(a.split("=", 1)[1]) for a in argv[1:]
+          if "=" in a.split("/")[0] and not a.startswith("{")}
     spark = get_session()
-    JOBS[argv[0]](spark, *argv[1:])
-    spark.stop()
+    try:
+        JOBS[argv[0]](spark, *pos, **kw)
+    finally:
+        spark.stop()
 
 
 if __name__ == "__main__":

@@ -95,3 +95,12 @@ def test_jobs_end_to_end(spark, tmp_out):
                                    names={"en": "English"}, years=[2019])
     dist = io.read_csv(spark, f"{d}/lang/distribution").collect()
     assert sorted((x["country"], x["track_count"]) for x in dist) == [("gb", "2"), ("jp", "2")]
+
+
+def test_cli_arguments_decode_json():
+    assert jobs._arg('{"K-Pop": "Pop"}') == {"K-Pop": "Pop"}
+    assert jobs._arg('["pop", "rock"]') == ["pop", "rock"]
+    assert jobs._arg("/data/in.csv") == "/data/in.csv"
+    assert jobs._arg("3") == 3 and jobs._arg("0.75") == 0.75
+    assert set(jobs.JOBS) >= {"chart", "genre-remap", "genre-tags", "text-match", "languages",
+                              "moods", "mood-outcome", "genre-indicators", "language-distribution"}
