@@ -158,3 +158,17 @@ def export_sorted_csv(df: DataFrame, path: str, order: Sequence[str], *,
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
      .write.mode("overwrite").option("header", header).csv(path))
+
+
+def write_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int, *,
+                   sort: bool = True, mode: str = "overwrite") -> None:
+    """Save ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Two tables bucketed by the same key into the same number of buckets join
+    without a shuffle (e.g. line items and orders by order key, written once
+    and joined by many jobs)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    w.saveAsTable(table)

@@ -15,7 +15,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     scratch = tempfile.mkdtemp(prefix="ridgeline-tests-")
     s = get_session("local[4]", shuffle_partitions=4,
-                    extra={"spark.local.dir": scratch, "spark.driver.memory": "4g"})
+                    extra={"spark.local.dir": scratch, "spark.driver.memory": "4g",
+                           "spark.sql.warehouse.dir": f"{scratch}/warehouse"})
     yield s
     s.stop()
 

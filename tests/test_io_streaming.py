@@ -101,3 +101,22 @@ def test_mood_stream_matches_batch(spark, tmp_out):
     assert got == sorted((r["track_id"], r["mood"]) for r in batch.collect())
     # t0 has empty text: no chunk, hence no mood
     assert len(got) == 5 and "t0" not in dict(got)
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    li = spark.range(2000).select((F.col("id") % 300).alias("k"), F.col("id").alias("v"))
+    od = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    io.write_bucketed(li, "t_li_bucketed", "k", 4)
+    io.write_bucketed(od, "t_od_bucketed", "k", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("t_li_bucketed").join(spark.table("t_od_bucketed"), "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.sql("DROP TABLE IF EXISTS t_li_bucketed")
+        spark.sql("DROP TABLE IF EXISTS t_od_bucketed")
