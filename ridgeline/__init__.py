@@ -6,7 +6,7 @@ collects data to the driver; nothing forces a single partition except where
 the input is provably tiny (a handful of rows per shuffle partition).
 """
 
-from ridgeline.session import checkpoint_dir, get_session
+from ridgeline.session import checkpoint_dir, cluster_conf, get_session, materialize
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session", "checkpoint_dir", "cluster_conf", "materialize"]
 __version__ = "0.1.0"
