@@ -28,8 +28,10 @@ _LOW_BITS = (1 << 33) - 1
 
 def dense_index(df: DataFrame, order: Sequence[Column | str], *, index: str = "row_index",
                 partitions: int | None = None) -> DataFrame:
-    """Add ``index`` = 1..N following ``order`` (make it total for a
-    deterministic result)."""
+    """Add ``index`` = 1..N following ``order``. Make the order total (end
+    with a unique column): the result is then deterministic, and range
+    partitioning can split even a value shared by a third of the rows
+    across partitions instead of sending it to one task."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
