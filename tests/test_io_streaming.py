@@ -120,3 +120,32 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_out):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.sql("DROP TABLE IF EXISTS t_li_bucketed")
         spark.sql("DROP TABLE IF EXISTS t_od_bucketed")
+
+
+def test_queue_stream_matches_batch(spark, tmp_out):
+    from pyspark.sql import functions as F
+
+    from ridgeline.operators import batching
+    from ridgeline.streaming.queue import enrich_queue, start_queue_stream
+
+    items = spark.createDataFrame([(f"t{i}", f"n{i}", "a" if i % 4 else None) for i in range(120)],
+                                  "track_id string, name string, new_artist string")
+    queue = batching.assign_batches(items, 50, ["track_id"])
+    qdir = os.path.join(tmp_out, "queue")
+    io.publish_partitioned(queue, qdir, ["batch_id"], fmt="csv", header="true")
+    texts = spark.createDataFrame([(f"t{i}", f"text {i}", "en") for i in range(0, 120, 3)],
+                                  "track_id string, lyrics string, language string")
+    sink = os.path.join(tmp_out, "enriched")
+    q = start_queue_stream(spark, qdir, texts, sink, name=os.path.basename(tmp_out) + "-q",
+                           max_files_per_trigger=1)
+    q.awaitTermination(180)
+    got = io.read_partitioned(spark, sink)
+    assert got.count() == 120
+    want = enrich_queue(queue.select("track_id", "name", "new_artist", "row_index", "batch_id"),
+                        texts)
+    key = ["track_id", "lyrics", "language"]
+    assert sorted(tuple(r) for r in got.select(*key).collect()) == \
+        sorted(tuple(r) for r in want.select(*key).collect())
+    # an item with a NULL artist gets no text even if one exists (t0, t12, ...)
+    assert got.filter((F.col("track_id") == "t0")).first()["lyrics"] is None
+    assert got.filter((F.col("track_id") == "t3")).first()["lyrics"] == "text 3"
