@@ -234,9 +234,9 @@ def q_fact_table(spark, d):
 SELECT e.year, e.country, e.country_code FROM econ e
 WHERE NOT EXISTS (SELECT 1 FROM happy h WHERE h.year = e.year AND h.country = e.country)"""))
 def q_fact_unmatched(spark, d):
-    osums = views.order_sums(spark, d)
-    econ = views.econ(spark, d, osums)
-    return fx.unmatched(econ, views.outcome(spark, d, osums), ["year", "country"]) \
+    sums = views.country_year_sums(spark, d)
+    econ = views.econ(spark, d, sums)
+    return fx.unmatched(econ, views.outcome(spark, d, sums), ["year", "country"]) \
         .select("year", "country", "country_code")
 
 

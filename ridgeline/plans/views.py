@@ -122,37 +122,58 @@ def _orders_by_country(spark: SparkSession, d: str):
                     F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")))
 
 
-def order_sums(spark: SparkSession, d: str) -> DataFrame:
-    """One pass over the orders: per country-year exact DECIMAL sums of the
-    order value (for the indicator) and of the balances of the distinct
-    ordering customers (for the outcome). First per customer-year (each
-    buyer once), then per country-year; countries x years rows, written
-    once to the shared checkpoint folder."""
-    cy = (_orders_by_country(spark, d)
-          .groupBy("o_custkey", "c_acctbal", "country_code", "y")
-          .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s_price"),
-               F.count("o_totalprice").alias("n_price"),
-               F.min("m").alias("m_lo"), F.max("m").alias("m_hi")))
+def country_year_sums(spark: SparkSession, d: str) -> DataFrame:
+    """One pass over orders and line items for every fact source.
+
+    Line items are first summed per order (partial aggregation shrinks them
+    before any shuffle), then left-joined to orders with their customer and
+    nation (an orders-sized join), summed per customer-year (each buyer once
+    for the outcome) and per country-year. Exact DECIMAL sums and counts;
+    countries x years rows, written once to the shared checkpoint folder.
+    """
+    li = table(spark, d, "lineitem", ["l_orderkey", "l_discount", "l_tax"])
+    per_order = li.groupBy("l_orderkey").agg(
+        F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("od_disc"),
+        F.sum(F.col("l_tax").cast("decimal(18,2)")).alias("od_tax"),
+        F.count("l_discount").alias("on_disc"), F.count("l_tax").alias("on_tax"),
+        F.count(F.lit(1)).alias("on_lines"))
+    oc = _orders_by_country(spark, d)
+    j = oc.join(per_order, oc.o_orderkey == per_order.l_orderkey, "left")
+    with_lines = F.coalesce(F.col("on_lines"), F.lit(0)) > 0
+    cy = j.groupBy("o_custkey", "c_acctbal", "country_code", "y").agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s_price"),
+        F.count("o_totalprice").alias("n_price"),
+        F.min("m").alias("m_lo"), F.max("m").alias("m_hi"),
+        F.sum("od_disc").alias("s_disc"), F.sum("od_tax").alias("s_tax"),
+        F.sum("on_disc").alias("n_disc"), F.sum("on_tax").alias("n_tax"),
+        F.sum("on_lines").alias("n_lines"),
+        F.min(F.when(with_lines, F.col("m"))).alias("lm_lo"),
+        F.max(F.when(with_lines, F.col("m"))).alias("lm_hi"))
     return materialize(
-        cy.groupBy("country_code", "y")
-        .agg(F.sum("s_price").alias("s_price"), F.sum("n_price").alias("n_price"),
-             F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"),
-             F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("s_bal"),
-             F.count("c_acctbal").alias("n_bal")))
+        cy.groupBy("country_code", "y").agg(
+            F.sum("s_price").alias("s_price"), F.sum("n_price").alias("n_price"),
+            F.min("m_lo").alias("m_lo"), F.max("m_hi").alias("m_hi"),
+            F.sum(F.col("c_acctbal").cast("decimal(18,2)")).alias("s_bal"),
+            F.count("c_acctbal").alias("n_bal"),
+            F.sum("s_disc").alias("s_disc"), F.sum("s_tax").alias("s_tax"),
+            F.sum("n_disc").alias("n_disc"), F.sum("n_tax").alias("n_tax"),
+            F.sum("n_lines").alias("n_lines"),
+            F.min("lm_lo").alias("lm_lo"), F.max("lm_hi").alias("lm_hi")))
 
 
-def line_sums(spark: SparkSession, d: str) -> DataFrame:
-    """One pass over the line items: per country-year exact DECIMAL sums of
-    discount and tax; countries x years rows, written once."""
-    li = table(spark, d, "lineitem", ["l_orderkey", "l_discount", "l_tax"])
-    oc = _orders_by_country(spark, d).select("o_orderkey", "country_code", "y", "m")
-    return materialize(
-        li.join(oc, li.l_orderkey == oc.o_orderkey)
-        .groupBy("country_code", "y")
-        .agg(F.sum(F.col("l_discount").cast("decimal(18,2)")).alias("s_disc"),
-             F.sum(F.col("l_tax").cast("decimal(18,2)")).alias("s_tax"),
-             F.count("l_discount").alias("n_disc"), F.count("l_tax").alias("n_tax"),
-             F.min("m").alias("m_lo"), F.max("m").alias("m_hi")))
+def order_sums(spark: SparkSession, d: str, sums: DataFrame | None = None) -> DataFrame:
+    """Order-side sums per country-year (order value, buyer balances)."""
+    sums = country_year_sums(spark, d) if sums is None else sums
+    return sums.select("country_code", "y", "s_price", "n_price", "m_lo", "m_hi", "s_bal", "n_bal")
+
+
+def line_sums(spark: SparkSession, d: str, sums: DataFrame | None = None) -> DataFrame:
+    """Line-side sums per country-year, for country-years with line items
+    (months spanned by orders that have lines)."""
+    sums = country_year_sums(spark, d) if sums is None else sums
+    return sums.filter(F.col("n_lines") > 0).select(
+        "country_code", "y", "s_disc", "s_tax", "n_disc", "n_tax",
+        F.col("lm_lo").alias("m_lo"), F.col("lm_hi").alias("m_hi"))
 
 
 def _ys():
@@ -167,15 +188,15 @@ def _ratio(s: str, n: str, factor: int = 1):
     return (F.col(s) * factor).cast("double") / F.col(n)
 
 
-def indicator_sources(spark: SparkSession, d: str, osums: DataFrame | None = None):
+def indicator_sources(spark: SparkSession, d: str, sums: DataFrame | None = None):
     """Raw indicator frames (code, name, year_string, value...) and the
     per-year global series, all derived from the two materialised sums.
     The global series adds up the per-country sums (the same value as a
     mean over all rows, without another scan)."""
     from ridgeline.operators.facts import display_name
 
-    osums = order_sums(spark, d) if osums is None else osums
-    lsums = line_sums(spark, d)
+    sums = country_year_sums(spark, d) if sums is None else sums
+    osums, lsums = order_sums(spark, d, sums), line_sums(spark, d, sums)
     gdp = osums.select("country_code", _ys().alias("year_string"),
                        _ratio("s_price", "n_price").alias("gdp_per_capita")) \
         .withColumn("country", display_name("country_code"))
@@ -190,12 +211,12 @@ def indicator_sources(spark: SparkSession, d: str, osums: DataFrame | None = Non
     return gdp, rates, glob
 
 
-def outcome(spark: SparkSession, d: str, osums: DataFrame | None = None) -> DataFrame:
+def outcome(spark: SparkSession, d: str, sums: DataFrame | None = None) -> DataFrame:
     """Outcome keyed by display name: mean balance of the customers who
     ordered in the year (each customer once)."""
     from ridgeline.operators.facts import display_name
 
-    osums = order_sums(spark, d) if osums is None else osums
+    osums = order_sums(spark, d, sums)
     return osums.select(display_name("country_code").alias("country"),
                         F.col("y").alias("year"), _ratio("s_bal", "n_bal").alias("happiness"))
 
@@ -210,26 +231,27 @@ def developed_members(spark: SparkSession, d: str) -> DataFrame:
             .select(display_name("n_name").alias("country")))
 
 
-def econ(spark: SparkSession, d: str, osums: DataFrame | None = None) -> DataFrame:
+def econ(spark: SparkSession, d: str, sums: DataFrame | None = None) -> DataFrame:
     """Indicators joined per country-year plus the global series."""
     from ridgeline.operators import facts as fx
 
     lo, hi = FACT_YEARS
-    gdp, rates, glob = indicator_sources(spark, d, osums)
+    gdp, rates, glob = indicator_sources(spark, d, sums)
     joined = fx.join_indicators([fx.clean_years(gdp, lo, hi), fx.clean_years(rates, lo, hi)],
                                 ["year", "country_code", "country"])
     return fx.attach_global_series(joined, glob, "year")
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    """Country-year fact table (C2-C7). Every branch below reads only the two
-    materialised sums, so re-reading this frame never re-scans the inputs."""
+    """Country-year fact table (C2-C7). Every branch below reads only the
+    materialised country-year sums, so re-reading this frame never re-scans
+    the inputs."""
     from ridgeline.operators import facts as fx
 
     lo, hi = FACT_YEARS
-    osums = order_sums(spark, d)
-    econ_df = econ(spark, d, osums)
-    happy = fx.restrict_to_known(outcome(spark, d, osums), econ_df, "country",
+    sums = country_year_sums(spark, d)
+    econ_df = econ(spark, d, sums)
+    happy = fx.restrict_to_known(outcome(spark, d, sums), econ_df, "country",
                                  period="year", lo=lo, hi=hi)
     merged = fx.merge_outcome(econ_df, happy, ["year", "country"])
     flagged = fx.membership_flag(merged, "country", developed_members(spark, d), "developed_country")
