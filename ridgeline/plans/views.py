@@ -190,7 +190,7 @@ def _ratio(s: str, n: str, factor: int = 1):
 
 def indicator_sources(spark: SparkSession, d: str, sums: DataFrame | None = None):
     """Raw indicator frames (code, name, year_string, value...) and the
-    per-year global series, all derived from the two materialised sums.
+    per-year global series, all derived from the materialised country-year sums.
     The global series adds up the per-country sums (the same value as a
     mean over all rows, without another scan)."""
     from ridgeline.operators.facts import display_name
