@@ -24,9 +24,21 @@ from ridgeline.session import checkpoint_dir
 from ridgeline.sources.io import TEXT_LANGUAGE_SCHEMA, publish_partitioned
 
 
-def moods_batch(texts: DataFrame, routes: Mapping[str, str], *, size: int = 512,
+def moods_batch(texts: DataFrame, routes: Mapping[str, str] | None = None, *, size: int = 512,
                 threshold: float = 0.75) -> DataFrame:
-    """(track_id, language, mood) for one batch of texts."""
+    """(track_id, language, mood) for one batch of texts. Without ``routes``
+    the fixed per-language route table applies (rule and chunking per
+    language)."""
+    if routes is None:
+        chunks = sentiment.explode_chunks_by_language(texts, "lyrics", "language")
+        scored = sentiment.score_chunks_lexicon(chunks)
+        stars = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
+        raw = F.when(F.col("language").isin(stars), F.col("stars")).otherwise(F.col("label"))
+        scored = scored.withColumn("__raw", raw).withColumn(
+            "chunk_label", sentiment.normalise_by_language("__raw", "score", "language",
+                                                           threshold=threshold))
+        counted = sentiment.count_labels(scored, ["track_id", "language"], "chunk_label")
+        return sentiment.vote(counted).select("track_id", "language", "mood")
     routed = sentiment.route_by_language(texts, "language", routes)
     chunks = sentiment.explode_chunks(routed, "lyrics", size=size)
     scored = sentiment.score_chunks_lexicon(chunks)
@@ -38,7 +50,8 @@ def moods_batch(texts: DataFrame, routes: Mapping[str, str], *, size: int = 512,
     return sentiment.vote(counted).select("track_id", "language", "mood")
 
 
-def start_mood_stream(spark: SparkSession, source: str, sink: str, routes: Mapping[str, str], *,
+def start_mood_stream(spark: SparkSession, source: str, sink: str,
+                      routes: Mapping[str, str] | None = None, *,
                       name: str = "moods", fmt: str = "json", available_now: bool = True,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental job; ``available_now`` processes what is there

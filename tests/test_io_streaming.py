@@ -101,6 +101,9 @@ def test_mood_stream_matches_batch(spark, tmp_out):
     assert got == sorted((r["track_id"], r["mood"]) for r in batch.collect())
     # t0 has empty text: no chunk, hence no mood
     assert len(got) == 5 and "t0" not in dict(got)
+    # the per-language route table gives the same moods for English
+    table_moods = moods_batch(io.read_json(spark, src))
+    assert sorted((r["track_id"], r["mood"]) for r in table_moods.collect()) == got
 
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_out):
