@@ -209,8 +209,13 @@ SELECT i.track_id, i.name, i.artists,
             THEN d.lang END AS language
 FROM items i LEFT JOIN documents d ON i.track_id = d.doc_id"""))
 def q_enrich_status(spark, d):
-    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
-    return enrich.enrich_status(items(spark, d), docs, "track_id", "doc_id", text="text",
+    # The items (top-k tracks) are few: materialise them once and keep only
+    # the documents they need, filtered where the documents are read
+    # (size-checked broadcast of the item keys), before the left join.
+    it = materialize(items(spark, d))
+    docs = enrich.restrict_to_keys(table(spark, d, "documents", ["doc_id", "text", "lang"]),
+                                   it.select(F.col("track_id").alias("doc_id")), "doc_id")
+    return enrich.enrich_status(it, docs, "track_id", "doc_id", text="text",
                                 lang="lang", required=["name", "artists"]) \
         .withColumnRenamed("text", "lyrics").withColumnRenamed("lang", "language")
 

@@ -243,3 +243,13 @@ def test_decode_dimension_nfc(spark):
     dim = spark.createDataFrame([("cw", decomposed)], "code string, name string")
     out = enrich.decode_dimension(df, "c", dim, normalize=True).first()["c"]
     assert out == composed
+
+
+def test_restrict_to_keys_broadcast_and_fallback(spark):
+    big = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    keys = spark.createDataFrame([(3,), (5,), (5,), (500,)], "k long")
+    for bound in (10, 1):  # broadcast, then the shuffle fallback (3 distinct keys > 1)
+        out = enrich.restrict_to_keys(big, keys, "k", max_broadcast_rows=bound)
+        assert sorted(r["k"] for r in out.collect()) == [3, 5]
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert ("broadcast" in plan.lower()) == (bound == 10)
