@@ -126,9 +126,20 @@ def q_lang_weights(spark, d):
 
 
 # ---------------------------------------------------------------- mood (H)
+def chart_moods(spark: SparkSession, d: str, top: DataFrame) -> DataFrame:
+    """Moods of the chart's tracks only: the (few) top-k track keys filter
+    the documents where they are read (size-checked broadcast), so only
+    those texts are chunked and scored."""
+    keys = top.select(F.col("track_id").alias("doc_id"))
+    docs = enrich.restrict_to_keys(table(spark, d, "documents", ["doc_id", "text", "lang"]),
+                                   keys, "doc_id")
+    return moods(spark, d, docs)
+
+
 def mood_wide(spark: SparkSession, d: str) -> DataFrame:
-    joined = enrich.label_items(chart_top(spark, d).select("country", "year", "track_id"),
-                                moods(spark, d).select("track_id", "mood"), "track_id", "mood")
+    top = materialize(chart_top(spark, d).select("country", "year", "track_id"))
+    joined = enrich.label_items(top, chart_moods(spark, d, top).select("track_id", "mood"),
+                                "track_id", "mood")
     sample = ranking.sample_n_per_group(joined, ["country", "year"], ["track_id"], MOOD_SAMPLE)
     return reshape.label_counts_wide(sample, ["year", "country"], "mood", MOODS, "track_id")
 
@@ -186,8 +197,8 @@ MOOD_CTES = CHART_CTES + (MOODS_SQL, views.FACTS_SQL, MOOD_SQL)
 SELECT t.country, t.year, count(*) AS n_rows, CAST(count_if(m.mood IS NULL) AS BIGINT) AS n_unlabelled
 FROM topk t LEFT JOIN moods m ON t.track_id = m.track_id GROUP BY t.country, t.year"""))
 def q_mood_coverage(spark, d):
-    return enrich.coverage(chart_top(spark, d), moods(spark, d), "track_id", ["country", "year"],
-                           "mood")
+    top = materialize(chart_top(spark, d).select("country", "year", "track_id"))
+    return enrich.coverage(top, chart_moods(spark, d, top), "track_id", ["country", "year"], "mood")
 
 
 @register("mood_wide", with_ctes(*MOOD_CTES, body="SELECT * FROM mood_wide"))

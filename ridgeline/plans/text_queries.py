@@ -47,10 +47,12 @@ def unmatched(spark: SparkSession, d: str) -> DataFrame:
     return enrich.without_match(it, matched(spark, d, it), "track_id")
 
 
-def moods(spark: SparkSession, d: str) -> DataFrame:
+def moods(spark: SparkSession, d: str, docs: DataFrame | None = None) -> DataFrame:
     """Mood per document: route -> chunk -> lexicon score -> normalise ->
-    count -> vote. Output (track_id, language, counts..., mood)."""
-    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    count -> vote. Output (track_id, language, counts..., mood). ``docs``
+    restricts the documents (default: all)."""
+    if docs is None:
+        docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
     routed = sentiment.route_by_language(docs, "lang", ROUTES)
     chunks = sentiment.explode_chunks(routed, "text", size=CHUNK_CHARS)
     scored = sentiment.score_chunks_lexicon(chunks)
