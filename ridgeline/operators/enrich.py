@@ -50,13 +50,18 @@ def assemble_text(df: DataFrame, key: str | Sequence[str], text: str, order: Seq
 
 
 def text_stats_by(df: DataFrame, key: Sequence[str], text: str, *, lang: str | None = None,
-                  sep_len: int = 1) -> DataFrame:
+                  sep_len: int = 1, length_col: str | None = None) -> DataFrame:
     """D3 (distributive form): per key, number of non-NULL texts, characters
     of their ``sep``-joined concatenation, and max language. Mergeable
-    partial aggregates, so a hot key costs one row per map task."""
+    partial aggregates, so a hot key costs one row per map task.
+
+    ``length_col`` names a precomputed ``length(text)`` column (NULL for a
+    NULL text): computing it where the texts are read keeps the texts
+    themselves out of any join or shuffle before this aggregate."""
+    n = F.col(length_col) if length_col else F.length(text)
     aggs = [
-        F.count(text).alias("n_docs"),
-        (F.sum(F.length(text)) + F.lit(sep_len) * (F.count(text) - 1)).alias("n_chars"),
+        F.count(n).alias("n_docs"),
+        (F.sum(n) + F.lit(sep_len) * (F.count(n) - 1)).alias("n_chars"),
     ]
     if lang:
         aggs.append(F.max(lang).alias(lang))

@@ -33,8 +33,9 @@ def items(spark: SparkSession, d: str) -> DataFrame:
 
 def matched(spark: SparkSession, d: str, it: DataFrame | None = None) -> DataFrame:
     it = (items(spark, d) if it is None else it).withColumn("artist", first_of_list_literal("artists"))
-    stats = enrich.text_stats_by(views.corpus(spark, d), ["title", "artist"], "lyrics",
-                                 lang="language").withColumnRenamed("artist", "c_artist")
+    stats = enrich.text_stats_by(views.corpus_lengths(spark, d), ["title", "artist"], "lyrics",
+                                 lang="language", length_col="text_len") \
+        .withColumnRenamed("artist", "c_artist")
     m = enrich.match_items(it, stats, [("name", "title"), ("artist", "c_artist")])
     return enrich.consolidate_matches(m, "track_id")
 

@@ -10,7 +10,8 @@ Mapping (chart-like activity records):
 * ``facts``: one row per nation and year built from indicator sources
   (order value, discount, tax) plus an outcome measure (account balance of
   the ordering customers), see ``ridgeline.operators.facts``.
-* ``corpus``: documents titled by the name of the part with the same key.
+* ``corpus_lengths``: documents titled by the name of the part with the
+  same key (text lengths only).
 
 No broadcast hints: dimension joins are left to Catalyst / AQE, which
 broadcast a side only after checking its (estimated or measured) size.
@@ -83,18 +84,16 @@ chart AS (
 )"""
 
 
-def corpus(spark: SparkSession, d: str) -> DataFrame:
-    """Text corpus: (id, title, artist, tag, lyrics, language)."""
-    docs = table(spark, d, "documents", ["doc_id", "text", "lang", "source"])
+def corpus_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Text corpus (id, title, artist, text_len, language): documents titled
+    by the part with the same key. Each text's length is taken where the
+    documents are read, so the join with the parts moves numbers, not texts."""
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"]).select(
+        "doc_id", F.length("text").alias("text_len"), "lang")
     p = table(spark, d, "part", ["p_partkey", "p_name", "p_brand"])
     return docs.join(p, docs.doc_id == p.p_partkey).select(
-        F.col("doc_id").alias("id"),
-        F.col("p_name").alias("title"),
-        F.col("p_brand").alias("artist"),
-        F.col("source").alias("tag"),
-        F.col("text").alias("lyrics"),
-        F.col("lang").alias("language"),
-    )
+        F.col("doc_id").alias("id"), F.col("p_name").alias("title"),
+        F.col("p_brand").alias("artist"), "text_len", F.col("lang").alias("language"))
 
 
 CORPUS_SQL = """
