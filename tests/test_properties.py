@@ -1,5 +1,7 @@
 """Property tests: operators against brute force on random small inputs."""
 
+import os
+
 import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 from ridgeline.functions import chunk_chars, majority_label
 from ridgeline.operators import batching, period, ranking
 
-SETTINGS = settings(max_examples=12, deadline=None,
-                    suppress_health_check=[HealthCheck.function_scoped_fixture])
+# RIDGELINE_PROPERTY_EXAMPLES raises the number of random cases for a deeper run
+SETTINGS = settings(max_examples=int(os.environ.get("RIDGELINE_PROPERTY_EXAMPLES", "12")),
+                    deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5)),
                    min_size=1, max_size=40)
