@@ -73,13 +73,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is configured (local
-    tests) do we fall back to a fresh scratch folder, so that reliable
-    ``DataFrame.checkpoint()`` works.
+    The cluster's setting always wins. Only on a ``local*`` master with nothing
+    configured (tests) a fresh scratch folder is made, so that reliable
+    ``DataFrame.checkpoint()`` works; any other master needs the setting,
+    because its executors cannot see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             f"executors share (master is {sc.master})")
         d = tempfile.mkdtemp(prefix="ridgeline-ckpt-")
     if sc.getCheckpointDir() is None:
         if d.startswith("/"):
@@ -88,6 +92,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def is_local(master: str) -> bool:
+    """True for ``local`` and ``local[...]``: one process, one machine."""
+    return master == "local" or master.startswith("local[")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/ridgeline-tables/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df, *, as_table: bool = False):
     """Compute ``df`` once and cut its lineage, for intermediate results that
     several branches of a plan read, so the expensive input is not scanned
@@ -99,9 +113,9 @@ def materialize(df, *, as_table: bool = False):
     planned from Spark's own size check (worth it for larger intermediates;
     for the small ones here the checkpoint is cheaper)."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
+    checkpoint_dir(spark)
     if not as_table:
         return df.checkpoint(eager=True)
-    path = f"{base.rstrip('/')}/ridgeline-tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -26,3 +26,19 @@ def test_cluster_conf_sizes_shuffle_from_volume():
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     small = cluster_conf(0.001, executors=10, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 80  # at least two waves of slots
+
+
+def test_checkpoint_folder_is_required_off_a_local_master():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ridgeline.session import is_local
+
+    assert is_local("local") and is_local("local[4]") and is_local("local[*]")
+    assert not is_local("yarn") and not is_local("local-cluster[2,1,1024]")
+    spark = SimpleNamespace(
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None),
+        conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(spark)
