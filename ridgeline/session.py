@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -92,6 +93,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, once per context, unless their
+    path (``PYTHONPATH``) already has it."""
+    sc = spark.sparkContext
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root in map(os.path.abspath, filter(None, on_path)) or getattr(sc, "_ridgeline_shipped", False):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="ridgeline-code-"), "ridgeline")
+    sc.addPyFile(shutil.make_archive(target, "zip", root, os.path.basename(package)))
+    sc._ridgeline_shipped = True
+
+
 def is_local(master: str) -> bool:
     """True for ``local`` and ``local[...]``: one process, one machine."""
     return master == "local" or master.startswith("local[")
