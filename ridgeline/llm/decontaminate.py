@@ -76,10 +76,9 @@ def word_lists(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return pa.DictionaryArray.from_arrays(pa.array(index[keep]), words.dictionary), ends
 
 
-def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
-    """Levenshtein distance of two integer sequences, or most + 1 if it is larger."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
+def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int]:
+    """Least Levenshtein distance of ``a`` to a beginning of ``b``, and the length of that
+    beginning (of equal ones, nearest to a's length); most + 1 and 0 if it is larger."""
     place = np.arange(len(b) + 1)
     row = place.copy()
     for i, x in enumerate(a, 1):
@@ -87,8 +86,9 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         row = np.concatenate([[i], best])
         row = np.minimum.accumulate(row - place) + place      # insertions along the row
         if row.min() > most:
-            return most + 1
-    return int(row[-1])
+            return most + 1, 0
+    n = min(np.flatnonzero(row == row.min()).tolist(), key=lambda j: (abs(j - len(a)), j))
+    return int(row[n]), n
 
 
 @dataclass
@@ -217,10 +217,10 @@ class Index:
             for (d, i, s), _ in sorted(seen.items(), key=lambda x: (x[0][:2], -x[1], x[0][2])):
                 best = found.get((d, i), (self.most(size) + 1,))
                 if best[0]:
-                    e = min(s + size, int(ends[d]))
-                    edits = edit_distance(self.items[i][1], words[s:e], self.most(size))
+                    e, at = min(s + size + self.most(size), int(ends[d])), s - int(begins[d])
+                    edits, n = edit_distance(self.items[i][1], words[s:e], self.most(size))
                     if edits <= self.most(size):
-                        found[d, i] = min(best, (edits, s - int(begins[d]), e - int(begins[d])))
+                        found[d, i] = min(best, (edits, at, at + n))
         return found
 
 

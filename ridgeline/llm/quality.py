@@ -166,7 +166,7 @@ def judge_quality(features: DataFrame, references: Sequence[dict],
     and ``kept``."""
     near = lambda shares, key: F.least(
         *[js_distance(shares, F.array(*[F.lit(float(v)) for v in r[key]])) for r in references],
-        F.lit(1.0))
+        F.lit(1.0), F.lit(1.0))
     known = F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in references])
     judged = known if references else F.lit(False)
     n = F.col("f.n_words")

@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -29,11 +29,15 @@ from ridgeline.sources.tables import table
 #: Path of the tokenizer; a parameter of the deployment.
 TOKENIZER = os.environ.get("RIDGELINE_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
 SHARDS = 40
-HELD_OUT = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
 RULES = [urls.Rule("allow", "com/"), urls.Rule("block", "example.com/en/"),
          urls.Rule("allow", "www.example.com/en/"), urls.Rule("block", "net/es/"), urls.Rule("block", "net/fr/")]
 
 
+def held_out() -> Column:
+    """One fifth of the documents, by the CRC-32 of doc_id as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 ids, one row per piece."""
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -59,8 +63,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels outside the held-out fold."""
-    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~HELD_OUT)
-    return scored.select("doc_id", HELD_OUT.alias("held_out"), "score",
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out())
+    return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"),
                          F.size("passages").alias("n_passages"))
 
