@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from ridgeline.session import scratch_path
 
 END_ID = 2
-CACHE_PIECES = 400_000       # remembered pieces per worker, about 100 MB
-BATCH_CHARS = 1_000_000      # text encoded at a time
+CACHE_PIECES = 1_000_000     # remembered pieces per worker, about 200 MB
+BATCH_CHARS = 2_000_000      # text encoded at a time
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 64 << 10
 
@@ -56,7 +57,7 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))
+        flat = np.array(list(chain.from_iterable(found)), np.uint32)
         n, k = len(self.known), len(pieces)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
