@@ -177,13 +177,7 @@ def coverage(chart: DataFrame, labelled: DataFrame, key: str, group: Sequence[st
     )
 
 
-def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str, *,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``big`` whose ``key`` occurs in ``keys`` (left semi join).
-
-    The distinct keys are counted first; at most ``max_broadcast_rows`` of
-    them are broadcast, so ``big`` is filtered where it is read and never
-    shuffled. Beyond the bound the semi join shuffles both sides."""
-    k = keys.select(F.col(key)).distinct()
-    small = k.count() <= max_broadcast_rows
-    return big.join(F.broadcast(k) if small else k, key, "left_semi")
+def restrict_to_keys(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``big`` whose ``key`` occurs in ``keys`` (left semi join). Spark
+    picks the join from the measured size of the distinct keys."""
+    return big.join(keys.select(F.col(key)).distinct(), key, "left_semi")

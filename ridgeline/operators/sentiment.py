@@ -20,13 +20,14 @@ from ridgeline.functions.rules import NEGATIVE, NEUTRAL, POSITIVE, majority_labe
 
 # ---- fixed values: polarity word lists ------------------------------------
 POSITIVE_WORDS = (
-    "good great best love happy joy win free beautiful wonderful "
+    "good great best love happy joy win free beautiful wonderful haha "
     "bon bien heureux amour joie belle "
     "gut liebe glück schön froh "
     "bueno feliz amor alegría bonito"
 ).split()
 NEGATIVE_WORDS = (
     "bad worst hate sad fail lose pain awful terrible "
+    "idiot pathetic moron disgusting loser clown worthless trash stupid scum "
     "mauvais triste haine douleur mal "
     "schlecht hass traurig schmerz "
     "malo odio triste dolor"
@@ -92,6 +93,27 @@ def explode_chunks_by_language(df: DataFrame, text: str, lang: str, *,
     return ex.select(*keep, pos, chunk.alias(out))
 
 
+def raw_label_by_language(lang: str, *, routes: Mapping[str, tuple[str, str, int]] = LANGUAGE_ROUTES,
+                          maps: Mapping[str, Mapping[str, str]] = LABEL_MAPS) -> Column:
+    """E5: the scorer's raw label in the vocabulary of the row's route: stars,
+    two classes, signs, the route's own mood names or plain moods. Needs the
+    columns of ``score_chunks_lexicon``."""
+    def pick(pos: str, neu: str, neg: str) -> Column:
+        return (F.when(F.col("pos_hits") > F.col("neg_hits"), F.lit(pos))
+                .when(F.col("neg_hits") > F.col("pos_hits"), F.lit(neg)).otherwise(F.lit(neu)))
+
+    e = None
+    for code, (rule, _, _) in routes.items():
+        if rule == "mapping":
+            names = {mood: raw for raw, mood in maps[code].items()}
+            v = pick(names[POSITIVE], names[NEUTRAL], names[NEGATIVE])
+        else:
+            v = {"stars": F.col("stars"), "signed": pick("1", "0", "-1")}.get(
+                rule, F.col("label") if rule.startswith("binary") else pick(POSITIVE, NEUTRAL, NEGATIVE))
+        e = F.when(F.col(lang) == code, v) if e is None else e.when(F.col(lang) == code, v)
+    return e
+
+
 def normalise_by_language(label: str, score: str, lang: str, *,
                           routes: Mapping[str, tuple[str, str, int]] = LANGUAGE_ROUTES,
                           maps: Mapping[str, Mapping[str, str]] = LABEL_MAPS,

@@ -179,7 +179,7 @@ def ols_simple(df: DataFrame, y: str, x: str, *, group: Sequence[str] = (),
 
 def _adjusted(r2: str, n: str, p: int) -> Column:
     """Adjusted R^2 for p predictors plus an intercept."""
-    return F.lit(1.0) - (F.lit(1.0) - F.col(r2)) * (F.col(n) - 1) / (F.col(n) - p - 1)
+    return F.lit(1.0) - F.try_divide((F.lit(1.0) - F.col(r2)) * (F.col(n) - 1), F.col(n) - p - 1)
 
 
 SUM_SQ_SIG = 10  # sums of squares and F are reported to 10 significant digits
@@ -222,8 +222,9 @@ def _two_moments(y: str, a: str, b: str) -> list[Column]:
 
 def _two_solution(m: DataFrame) -> DataFrame:
     det = F.col("va") * F.col("vb") - F.col("cab") * F.col("cab")
-    b1 = (F.col("cya") * F.col("vb") - F.col("cyb") * F.col("cab")) / det
-    b2 = (F.col("cyb") * F.col("va") - F.col("cya") * F.col("cab")) / det
+    # NULL for a constant predictor or an exactly collinear pair
+    b1 = F.try_divide(F.col("cya") * F.col("vb") - F.col("cyb") * F.col("cab"), det)
+    b2 = F.try_divide(F.col("cyb") * F.col("va") - F.col("cya") * F.col("cab"), det)
     m = m.withColumn("b1", b1).withColumn("b2", b2)
     m = m.withColumn("b0", F.col("my") - F.col("b1") * F.col("ma") - F.col("b2") * F.col("mb"))
     return m.withColumn("rss", F.col("n") * (F.col("vy") - F.col("b1") * F.col("cya")
@@ -239,7 +240,7 @@ def ols_two(df: DataFrame, y: str, a: str, b: str, *, group: Sequence[str] = (),
     m = _two_solution(df.dropna(subset=[y, a, b]).groupBy(*group).agg(*_two_moments(y, a, b)))
     out = m.select(*group, F.col("b0").alias("intercept"), F.col("b1").alias(a),
                    F.col("b2").alias(b),
-                   (F.lit(1.0) - F.col("rss") / (F.col("n") * F.col("vy"))).alias("r2"),
+                   (F.lit(1.0) - F.try_divide(F.col("rss"), F.col("n") * F.col("vy"))).alias("r2"),
                    "rss", "n", (F.col("n") - 3).alias("df"))
     out = out.withColumn("adj_r2", _adjusted("r2", "n", 2))
     return _round(out, ["intercept", a, b, "r2", "adj_r2", "rss"], digits)
@@ -272,7 +273,7 @@ def ols_two_by_flag(df: DataFrame, y: str, a: str, b: str, flag: str, *,
         (F.col("i1") - F.col("i0")).alias(flag),
         (F.col("a1") - F.col("a0")).alias(f"{a}:{flag}"),
         (F.col("c1") - F.col("c0")).alias(f"{b}:{flag}"),
-        (F.lit(1.0) - F.col("rss") / tss).alias("r2"),
+        (F.lit(1.0) - F.try_divide(F.col("rss"), tss)).alias("r2"),
         "rss", "n", (F.col("n") - 6).alias("df"))
     out = out.withColumn("adj_r2", _adjusted("r2", "n", 5))
     return _round(out, ["intercept", a, b, flag, f"{a}:{flag}", f"{b}:{flag}", "r2", "adj_r2", "rss"],
@@ -291,8 +292,8 @@ def anova_nested(small: DataFrame, large: DataFrame, *, digits: int | None = 6)
     j = both.agg(pick("rss", 0).alias("rss0"), pick("df", 0).alias("df0"),
                  pick("rss", 1).alias("rss1"), pick("df", 1).alias("df1"))
     out = j.select("rss0", "df0", "rss1", "df1",
-                   (((F.col("rss0") - F.col("rss1")) / (F.col("df0") - F.col("df1")))
-                    / (F.col("rss1") / F.col("df1"))).alias("f"))
+                   F.try_divide(F.try_divide(F.col("rss0") - F.col("rss1"), F.col("df0") - F.col("df1")),
+                                F.try_divide(F.col("rss1"), F.col("df1"))).alias("f"))
     return _round(out, ["rss0", "rss1", "f"], digits)
 
 
@@ -313,19 +314,20 @@ def _group_fit(y: str, xs: Sequence[str]) -> tuple[list[Column], dict[str, Colum
         aggs.append(F.covar_pop(X[0], X[1]).alias("c12"))
     c = F.col
     if len(X) == 1:
-        b1 = c("c1y") / c("v1")
+        b1 = F.try_divide(c("c1y"), c("v1"))
         e = {"b1": b1, "b0": c("my") - b1 * c("m1"),
              "rss": c("n") * (c("vy") - b1 * c("c1y")),
-             "a11": F.lit(1.0) / (c("n") * c("v1"))}
+             "a11": F.try_divide(F.lit(1.0), c("n") * c("v1"))}
         e["v0"] = F.lit(1.0) / c("n") + c("m1") * c("m1") * e["a11"]
     elif len(X) == 2:
         det = c("v1") * c("v2") - c("c12") * c("c12")
-        b1 = (c("c1y") * c("v2") - c("c2y") * c("c12")) / det
-        b2 = (c("c2y") * c("v1") - c("c1y") * c("c12")) / det
+        b1 = F.try_divide(c("c1y") * c("v2") - c("c2y") * c("c12"), det)
+        b2 = F.try_divide(c("c2y") * c("v1") - c("c1y") * c("c12"), det)
         nd = c("n") * det
         e = {"b1": b1, "b2": b2, "b0": c("my") - b1 * c("m1") - b2 * c("m2"),
              "rss": c("n") * (c("vy") - b1 * c("c1y") - b2 * c("c2y")),
-             "a11": c("v2") / nd, "a22": c("v1") / nd, "a12": -c("c12") / nd}
+             "a11": F.try_divide(c("v2"), nd), "a22": F.try_divide(c("v1"), nd),
+             "a12": F.try_divide(-c("c12"), nd)}
         e["v0"] = (F.lit(1.0) / c("n") + c("m1") * c("m1") * e["a11"]
                    + c("m2") * c("m2") * e["a22"] + 2 * c("m1") * c("m2") * e["a12"])
     else:
@@ -351,7 +353,7 @@ def ols_inference(df: DataFrame, y: str, xs: Sequence[str], *, flag: str | None
     if flag is None:
         fit = base.agg(*aggs).select(*[v.alias(k) for k, v in e.items()], "n")
         k = p + 1
-        s2 = F.col("rss") / (F.col("n") - k)
+        s2 = F.try_divide(F.col("rss"), F.col("n") - k)
         terms = [("(intercept)", F.col("b0"), s2 * F.col("v0"))]
         terms += [(x, F.col(f"b{i}"), s2 * F.col(f"a{i}{i}")) for i, x in enumerate(xs, 1)]
         dfree = F.col("n") - k
@@ -367,7 +369,7 @@ def ols_inference(df: DataFrame, y: str, xs: Sequence[str], *, flag: str | None
         src = per.agg(*[pick(kk, v) for kk in keys for v in (False, True)])
         k = 2 * (p + 1)
         n_all = F.col("n_0") + F.col("n_1")
-        s2 = (F.col("rss_0") + F.col("rss_1")) / (n_all - k)
+        s2 = F.try_divide(F.col("rss_0") + F.col("rss_1"), n_all - k)
 
         def g(name, v):
             return F.col(f"{name}_{v}")
@@ -381,7 +383,7 @@ def ols_inference(df: DataFrame, y: str, xs: Sequence[str], *, flag: str | None
     rows = []
     for name, est, var in terms:
         se = F.sqrt(var)
-        t = est / se
+        t = F.try_divide(est, se)
         vals = [est, se, t]
         if digits is not None:
             vals = [F.round(v, digits) for v in vals]

@@ -154,7 +154,9 @@ def mood_facts(spark: SparkSession, d: str) -> DataFrame:
 
 def mood_scores(spark: SparkSession, d: str) -> DataFrame:
     p = stats.prepare(mood_facts(spark, d), flags=["developed_country"], fill=MOODS)
-    scaled = p.select("year", "country", *[(F.col(m) / MOOD_SAMPLE * 10).alias(m) for m in MOODS],
+    # rows sampled in the group: an under-full group still has shares of 10
+    n = sum(F.col(m) for m in MOODS)
+    scaled = p.select("year", "country", *[(F.col(m) / n * 10).alias(m) for m in MOODS],
                       "happiness", "developed_country")
     comb = F.col("positive") - F.col("negative")
     out = scaled.withColumn("comb", comb).withColumn("in_one", comb + 0.5 * F.col("neutral"))
@@ -162,6 +164,7 @@ def mood_scores(spark: SparkSession, d: str) -> DataFrame:
                         for c in out.columns])
 
 
+MOOD_N = "(coalesce(positive, 0) + coalesce(neutral, 0) + coalesce(negative, 0))"
 MOOD_SQL = f"""
 mood_joined AS (
   SELECT t.country, t.year, t.track_id, m.mood FROM topk t JOIN moods m ON t.track_id = m.track_id
@@ -182,11 +185,11 @@ mood_facts AS (
 ),
 mood_scores AS (
   SELECT year, country,
-         {', '.join(f'round(coalesce({m}, 0) / {MOOD_SAMPLE} * 10, 6) AS {m}' for m in MOODS)},
+         {', '.join(f'round(coalesce({m}, 0) / {MOOD_N} * 10, 6) AS {m}' for m in MOODS)},
          happiness, developed_country,
-         round(coalesce(positive, 0) / {MOOD_SAMPLE} * 10 - coalesce(negative, 0) / {MOOD_SAMPLE} * 10, 6) AS comb,
-         round(coalesce(positive, 0) / {MOOD_SAMPLE} * 10 - coalesce(negative, 0) / {MOOD_SAMPLE} * 10
-               + 0.5 * (coalesce(neutral, 0) / {MOOD_SAMPLE} * 10), 6) AS in_one
+         round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10, 6) AS comb,
+         round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10
+               + 0.5 * (coalesce(neutral, 0) / {MOOD_N} * 10), 6) AS in_one
   FROM mood_facts
 )"""
 
@@ -315,6 +318,24 @@ def q_stat_ols_two(spark, d):
     return stats.ols_two(views.facts(spark, d), OLS_Y, OLS_A, OLS_B)
 
 
+@register("mood_ols_two", with_ctes(*MOOD_CTES, f"""
+mm AS ({_solution_sql(_moments_sql('happiness', 'comb', 'neutral', 'mood_scores'))})""", body=f"""
+SELECT round(b0, 6) AS intercept, round(b1, 6) AS comb, round(b2, 6) AS neutral,
+       round(1.0 - rss / (n * vy), 6) AS r2, {stats.significant_sql('rss')} AS rss, n, n - 3 AS df,
+       round(1.0 - (rss / (n * vy)) * (n - 1) / (n - 3), 6) AS adj_r2 FROM mm"""))
+def q_mood_ols_two(spark, d):
+    """Outcome on the mood score and the neutral share."""
+    return stats.ols_two(mood_scores(spark, d), "happiness", "comb", "neutral")
+
+
+@register("mood_corr", with_ctes(*MOOD_CTES, body=stats.correlation_matrix_sql(
+    "mood_scores", ["happiness", "positive", "neutral", "negative", "comb"], group=["developed_country"])))
+def q_mood_corr(spark, d):
+    """I4: correlations of the moods and the outcome per flag."""
+    return stats.correlation_matrix(mood_scores(spark, d), ["happiness", "positive", "neutral", "negative", "comb"],
+                                    group=["developed_country"])
+
+
 @register("stat_ols_flag", with_ctes(*FACTS_BODY, OLS_SQL, body=f"""
 SELECT round(i0, 6) AS intercept, round(a0, 6) AS {OLS_A}, round(c0, 6) AS {OLS_B},
        round(i1 - i0, 6) AS {OLS_FLAG}, round(a1 - a0, 6) AS "{OLS_A}:{OLS_FLAG}",

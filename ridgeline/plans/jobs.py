@@ -165,7 +165,10 @@ def text_match_job(spark: SparkSession, top_csv: str, corpus_csv: str, matched_o
     items = materialize(enrich.distinct_items(read_top_chart(spark, top_csv),
                                               ["track_id", "artists", "name"]))
     corpus = io.read_text_corpus(spark, corpus_csv)
-    docs = enrich.assemble_text(corpus, "id", "lyrics", ["id"], exclude=("tag", [exclude_tag]),
+    # only documents with a wanted title are assembled; parts are ordered by their text
+    wanted = items.select(F.col("name").alias("title")).distinct()
+    ids = corpus.join(wanted, "title", "left_semi").select("id").distinct()
+    docs = enrich.assemble_text(corpus.join(ids, "id", "left_semi"), "id", "lyrics", ["lyrics"], exclude=("tag", [exclude_tag]),
                                 keep_max=["title", "language"], parts=None)
     by_title = docs.groupBy("title").agg(
         F.expr("listagg(lyrics, ' ') WITHIN GROUP (ORDER BY id)").alias("lyrics"),
@@ -206,8 +209,7 @@ def mood_job(spark: SparkSession, texts_parquet: str, output: str,
     if routes is None:
         chunks = sentiment.explode_chunks_by_language(df, "lyrics", "language")
         scored = sentiment.score_chunks_lexicon(chunks)
-        stars = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
-        raw = F.when(F.col("language").isin(stars), F.col("stars")).otherwise(F.col("label"))
+        raw = sentiment.raw_label_by_language("language")
         label = sentiment.normalise_by_language("__raw", "score", "language", threshold=threshold)
         scored = scored.withColumn("__raw", raw).withColumn("chunk_label", label)
     else:

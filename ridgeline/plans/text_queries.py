@@ -326,9 +326,9 @@ def q_mood_vote(spark, d):
 
 @register("mood_unrouted", f"""
 SELECT lang, count(*) AS n_rows FROM documents
-WHERE lang NOT IN ({', '.join(f"'{k}'" for k in ROUTES)}) OR lang IS NULL GROUP BY lang""")
+WHERE lang NOT IN ({', '.join(f"'{k}'" for k in sentiment.LANGUAGE_ROUTES)}) OR lang IS NULL GROUP BY lang""")
 def q_mood_unrouted(spark, d):
-    return sentiment.unrouted(table(spark, d, "documents", ["lang"]), "lang", ROUTES)
+    return sentiment.unrouted(table(spark, d, "documents", ["lang"]), "lang", sentiment.LANGUAGE_ROUTES)
 
 
 @register("lang_detect_accuracy", "WITH " + _detect_sql() + """
@@ -357,8 +357,7 @@ def moods_by_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
     chunks = sentiment.explode_chunks_by_language(docs, "text", "lang")
     scored = sentiment.score_chunks_lexicon(chunks)
-    stars_langs = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
-    raw = F.when(F.col("lang").isin(stars_langs), F.col("stars")).otherwise(F.col("label"))
+    raw = sentiment.raw_label_by_language("lang")
     labelled = scored.withColumn("raw_label", raw).withColumn(
         "chunk_label", sentiment.normalise_by_language("raw_label", "score", "lang",
                                                        threshold=THRESHOLD))
@@ -399,7 +398,20 @@ def _routes_sql() -> str:
             return "CASE " + " ".join(f"WHEN raw_label = '{a}' THEN '{b}'" for a, b in m.items()) + " END"
         raise ValueError(rule)
 
-    stars_langs = ", ".join(f"'{k}'" for k, (r, _, _) in routes.items() if r == "stars")
+    def raw_sql(code, rule):
+        if rule == "stars":
+            return "CASE WHEN stars_n = 1 THEN '1 star' ELSE CAST(stars_n AS VARCHAR) || ' stars' END"
+        if rule.startswith("binary"):
+            return "label"
+        names = {"positive": "positive", "neutral": "neutral", "negative": "negative"}
+        if rule == "signed":
+            names = {"positive": "1", "neutral": "0", "negative": "-1"}
+        if rule == "mapping":
+            names = {mood: raw for raw, mood in sentiment.LABEL_MAPS[code].items()}
+        return (f"CASE WHEN pos_hits > neg_hits THEN '{names['positive']}' "
+                f"WHEN neg_hits > pos_hits THEN '{names['negative']}' ELSE '{names['neutral']}' END")
+
+    raw = "CASE " + " ".join(f"WHEN lang = '{k}' THEN {raw_sql(k, r)}" for k, (r, _, _) in routes.items()) + " END"
     norm = "CASE " + " ".join(f"WHEN lang = '{k}' THEN {rule_sql(k, r)}"
                               for k, (r, _, _) in routes.items()) + " END"
     return f"""
@@ -417,9 +429,7 @@ r_chunked AS (
         FROM r_routed WHERE mode IS NOT NULL)
 ),
 r_scored AS (
-  SELECT *, CASE WHEN lang IN ({stars_langs})
-                 THEN CASE WHEN stars_n = 1 THEN '1 star' ELSE CAST(stars_n AS VARCHAR) || ' stars' END
-                 ELSE label END AS raw_label
+  SELECT *, {raw} AS raw_label
   FROM (
     SELECT *, least(greatest(pos_hits - neg_hits, -2), 2) + 3 AS stars_n,
            CASE WHEN pos_hits >= neg_hits THEN 'LABEL_1' ELSE 'LABEL_0' END AS label,

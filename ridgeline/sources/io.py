@@ -124,13 +124,19 @@ def read_partitioned(spark: SparkSession, path: str, *, fmt: str = "parquet",
 
 def publish_partitioned(df: DataFrame, path: str, by: Sequence[str], *,
                         cols: Sequence[str] | None = None, fmt: str = "parquet",
-                        mode: str = "overwrite", **options) -> None:
-    """Ordered projection written hive-style, partitions replaced
-    dynamically (only those present in ``df``). The partition columns end up
-    last when read back."""
+                        mode: str = "overwrite", replace_only: bool = False,
+                        files_per_partition: int = 1, **options) -> None:
+    """Ordered projection written hive-style. The whole output is
+    replaced, so groups that a re-run no longer has are gone; with
+    ``replace_only`` just the partitions present in ``df`` are replaced (sinks
+    written batch by batch). Rows are dealt by the partition columns first, to
+    at most ``files_per_partition`` tasks each (raise it where one partition
+    is large). The partition columns end up last when read back."""
     out = df.select(*cols) if cols else df
-    w = (out.write.mode(mode).format(fmt).partitionBy(*by)
-         .option("partitionOverwriteMode", "dynamic"))
+    rest = [c for c in out.columns if c not in by]
+    salt = F.pmod(F.xxhash64(*(rest or by)), F.lit(files_per_partition))
+    w = (out.repartition(*by, salt).write.mode(mode).format(fmt).partitionBy(*by)
+         .option("partitionOverwriteMode", "dynamic" if replace_only else "static"))
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)

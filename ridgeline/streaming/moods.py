@@ -20,7 +20,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridgeline.functions.rules import normalise_label
 from ridgeline.operators import sentiment
-from ridgeline.session import checkpoint_dir
 from ridgeline.sources.io import TEXT_LANGUAGE_SCHEMA, publish_partitioned
 
 
@@ -32,8 +31,7 @@ def moods_batch(texts: DataFrame, routes: Mapping[str, str] | None = None, *, si
     if routes is None:
         chunks = sentiment.explode_chunks_by_language(texts, "lyrics", "language")
         scored = sentiment.score_chunks_lexicon(chunks)
-        stars = [k for k, (rule, _, _) in sentiment.LANGUAGE_ROUTES.items() if rule == "stars"]
-        raw = F.when(F.col("language").isin(stars), F.col("stars")).otherwise(F.col("label"))
+        raw = sentiment.raw_label_by_language("language")
         scored = scored.withColumn("__raw", raw).withColumn(
             "chunk_label", sentiment.normalise_by_language("__raw", "score", "language",
                                                            threshold=threshold))
@@ -52,7 +50,7 @@ def moods_batch(texts: DataFrame, routes: Mapping[str, str] | None = None, *, si
 
 def start_mood_stream(spark: SparkSession, source: str, sink: str,
                       routes: Mapping[str, str] | None = None, *,
-                      name: str = "moods", fmt: str = "json", available_now: bool = True,
+                      checkpoint: str | None = None, fmt: str = "json", available_now: bool = True,
                       max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental job; ``available_now`` processes what is there
     and stops (batch-style scheduling with exactly-once bookkeeping)."""
@@ -65,9 +63,9 @@ def start_mood_stream(spark: SparkSession, source: str, sink: str,
         # (language, batch_id) partitions: a replayed batch replaces only its
         # own output, later batches never touch earlier ones.
         out = moods_batch(batch, routes).withColumn("batch_id", F.lit(batch_id))
-        publish_partitioned(out, sink, ["language", "batch_id"])
+        publish_partitioned(out, sink, ["language", "batch_id"], replace_only=True)
 
     w = (stream.writeStream.foreachBatch(publish)
-         .option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"))
+         .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}-checkpoint"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ridgeline.operators import enrich
-from ridgeline.session import checkpoint_dir
 from ridgeline.sources.io import publish_partitioned
 
 QUEUE_SCHEMA = T.StructType([
@@ -36,7 +35,7 @@ def enrich_queue(queue: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def start_queue_stream(spark: SparkSession, queue_dir: str, texts: DataFrame, sink: str, *,
-                       name: str = "queue", available_now: bool = True,
+                       checkpoint: str | None = None, available_now: bool = True,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     reader = (spark.readStream.schema(QUEUE_SCHEMA).option("header", "true")
               .option("basePath", queue_dir))
@@ -49,9 +48,9 @@ def start_queue_stream(spark: SparkSession, queue_dir: str, texts: DataFrame, si
         # (batch_id, epoch) partitions keep every micro-batch's rows apart,
         # and a replayed micro-batch replaces only its own.
         out = enrich_queue(batch, texts).withColumn("epoch", F.lit(epoch))
-        publish_partitioned(out, sink, ["batch_id", "epoch"])
+        publish_partitioned(out, sink, ["batch_id", "epoch"], replace_only=True)
 
     w = (stream.writeStream.foreachBatch(publish)
-         .option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"))
+         .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}-checkpoint"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()

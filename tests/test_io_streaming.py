@@ -52,12 +52,24 @@ def test_publish_partitioned_is_rerunnable(spark, tmp_out):
     df = spark.createDataFrame([(2019, "gb", 1.0), (2019, "jp", 2.0)],
                                "year int, country_code string, v double")
     io.publish_partitioned(df, out, ["country_code"], cols=["year", "v", "country_code"])
-    io.publish_partitioned(df.filter("country_code = 'gb'"), out, ["country_code"])
+    io.publish_partitioned(df.filter("country_code = 'gb'"), out, ["country_code"], replace_only=True)
     back = io.read_partitioned(spark, out)
     assert back.columns[-1] == "country_code"
     assert sorted((r["country_code"], r["v"]) for r in back.collect()) == [("gb", 1.0), ("jp", 2.0)]
     sub = io.read_partitioned(spark, os.path.join(out, "country_code=gb"), base_path=out)
     assert [r["country_code"] for r in sub.collect()] == ["gb"]
+    # by default the whole output is replaced: vanished groups do not stay
+    io.publish_partitioned(df.filter("country_code = 'gb'"), out, ["country_code"])
+    assert [r["country_code"] for r in io.read_partitioned(spark, out).collect()] == ["gb"]
+
+
+def test_publish_partitioned_bounds_files(spark, tmp_out):
+    import glob
+
+    out = os.path.join(tmp_out, "many")
+    df = spark.range(0, 1000, 1, 16).select("id", (F.col("id") % 5).alias("k"))
+    io.publish_partitioned(df, out, ["k"])
+    assert len(glob.glob(f"{out}/k=*/part-*")) == 5
 
 
 def test_single_and_sorted_csv(spark, tmp_out):
@@ -93,8 +105,7 @@ def test_mood_stream_matches_batch(spark, tmp_out):
                 f.write(json.dumps(r) + "\n")
     sink = os.path.join(tmp_out, "moods")
     routes = {"en": "stars"}
-    q = start_mood_stream(spark, src, sink, routes, name=os.path.basename(tmp_out),
-                          max_files_per_trigger=1)
+    q = start_mood_stream(spark, src, sink, routes, max_files_per_trigger=1)
     q.awaitTermination(120)
     got = sorted((r["track_id"], r["mood"]) for r in io.read_partitioned(spark, sink).collect())
     batch = moods_batch(io.read_json(spark, src), routes)
@@ -139,7 +150,7 @@ def test_queue_stream_matches_batch(spark, tmp_out):
     texts = spark.createDataFrame([(f"t{i}", f"text {i}", "en") for i in range(0, 120, 3)],
                                   "track_id string, lyrics string, language string")
     sink = os.path.join(tmp_out, "enriched")
-    q = start_queue_stream(spark, qdir, texts, sink, name=os.path.basename(tmp_out) + "-q",
+    q = start_queue_stream(spark, qdir, texts, sink,
                            max_files_per_trigger=1)
     q.awaitTermination(180)
     got = io.read_partitioned(spark, sink)

@@ -245,11 +245,18 @@ def test_decode_dimension_nfc(spark):
     assert out == composed
 
 
-def test_restrict_to_keys_broadcast_and_fallback(spark):
+def test_restrict_to_keys(spark):
     big = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     keys = spark.createDataFrame([(3,), (5,), (5,), (500,)], "k long")
-    for bound in (10, 1):  # broadcast, then the shuffle fallback (3 distinct keys > 1)
-        out = enrich.restrict_to_keys(big, keys, "k", max_broadcast_rows=bound)
-        assert sorted(r["k"] for r in out.collect()) == [3, 5]
-        plan = out._jdf.queryExecution().optimizedPlan().toString()
-        assert ("broadcast" in plan.lower()) == (bound == 10)
+    assert sorted(r["k"] for r in enrich.restrict_to_keys(big, keys, "k").collect()) == [3, 5]
+
+
+def test_default_routes_vote_both_ways(spark):
+    from ridgeline.operators import sentiment
+    from ridgeline.streaming.moods import moods_batch
+
+    rows = [(f"{code}{i}", code, text) for code in sentiment.LANGUAGE_ROUTES
+            for i, text in enumerate(["love love happy joy great", "bad sad awful hate pain"])]
+    df = spark.createDataFrame(rows, "track_id string, language string, lyrics string")
+    got = {r["track_id"]: r["mood"] for r in moods_batch(df).collect()}
+    assert got == {f"{c}{i}": m for c in sentiment.LANGUAGE_ROUTES for i, m in enumerate(["positive", "negative"])}
