@@ -220,8 +220,12 @@ def _two_moments(y: str, a: str, b: str) -> list[Column]:
     ]
 
 
+COLLINEAR = 1e-9  # 1 - r^2 of two predictors at or below this counts as collinear
+
+
 def _two_solution(m: DataFrame) -> DataFrame:
     det = F.col("va") * F.col("vb") - F.col("cab") * F.col("cab")
+    det = F.when(det > COLLINEAR * F.col("va") * F.col("vb"), det)
     # NULL for a constant predictor or an exactly collinear pair
     b1 = F.try_divide(F.col("cya") * F.col("vb") - F.col("cyb") * F.col("cab"), det)
     b2 = F.try_divide(F.col("cyb") * F.col("va") - F.col("cya") * F.col("cab"), det)

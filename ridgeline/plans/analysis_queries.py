@@ -290,8 +290,8 @@ def _moments_sql(y, a, b, src, group=""):
 
 def _solution_sql(moments: str) -> str:
     return f"""SELECT *, n * (vy - b1 * cya - b2 * cyb) AS rss, my - b1 * ma - b2 * mb AS b0 FROM (
-  SELECT *, (cya * vb - cyb * cab) / (va * vb - cab * cab) AS b1,
-            (cyb * va - cya * cab) / (va * vb - cab * cab) AS b2
+  SELECT *, (cya * vb - cyb * cab) / (CASE WHEN va * vb - cab * cab > {stats.COLLINEAR} * va * vb THEN va * vb - cab * cab END) AS b1,
+            (cyb * va - cya * cab) / (CASE WHEN va * vb - cab * cab > {stats.COLLINEAR} * va * vb THEN va * vb - cab * cab END) AS b2
   FROM ({moments}))"""
 
 
