@@ -15,9 +15,9 @@ in the order of their texts' hashes. An empty table writes empty files.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +30,60 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from ridgeline.session import scratch_path
 
 END_ID = 2
-CACHE_PIECES = 1_000_000     # remembered pieces per worker, about 200 MB
-BATCH_CHARS = 2_000_000      # text encoded at a time
+CACHE_PIECES = 1_000_000     # remembered strings of each kind per worker, about 200 MB
+CACHE_BYTES = 64 << 20        # their text
+BATCH_CHARS = 4_000_000      # text encoded at a time
+#: Letters, then ASCII marks but for the apostrophe (some vocabularies join it to letters).
+WORD_AND_MARKS = r"^(?P<word>\p{L}+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 64 << 10
 
 
+class Memory:
+    """Ids of strings, kept until there are too many of them."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.zeros(1 << 20, np.uint32)
+        self.starts, self.lengths = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
+        self.used = self.bytes = 0
+
+    def slots(self, strings: pa.Array, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Number of each of the distinct ``strings``; ``learn`` gives the lengths and ids of new ones."""
+        keys, size = strings.to_pylist(), pc.sum(pc.binary_length(strings)).as_py() or 0
+        if self.known and (len(self.known) + len(keys) > CACHE_PIECES or self.bytes + size > CACHE_BYTES):
+            self.known, self.used, self.bytes = {}, 0, 0
+        slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            strings = strings.take(pa.array(new))
+            lengths, flat = learn(strings)
+            n, k = len(self.known), len(new)
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            while n + k > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
+            self.ids[self.used:self.used + len(flat)] = flat
+            self.starts[n:n + k] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[n:n + k] = lengths
+            self.used += len(flat)
+            self.bytes += pc.sum(pc.binary_length(strings)).as_py() or 0
+            slot[new] = np.arange(n, n + k)
+            self.known.update(zip(map(keys.__getitem__, new.tolist()), range(n, n + k), strict=True))
+        return slot
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of the strings of these numbers, one after the other."""
+        lengths = self.lengths[slots]
+        done = np.cumsum(lengths)
+        at = np.repeat(self.starts[slots] - (done - lengths), lengths)
+        at += np.arange(len(at))
+        return lengths, self.ids[at]
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, with a memory of pieces."""
+    """Ids of texts by the tokenizers library, with a memory of pieces and of their words."""
 
     def __init__(self, path: str, end_id: int | None = END_ID):
         import os
@@ -47,47 +93,46 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts, self.lengths, self.used = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64), 0
+        self.pieces, self.words = Memory(), Memory()
 
-    def _learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _tokenize(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(strings.to_pylist(), add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.array(list(chain.from_iterable(found)), np.uint32)
-        n, k = len(self.known), len(pieces)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + k > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.starts[n:n + k] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n:n + k] = lengths
-        self.used += len(flat)
-        self.known.update(zip(pieces, range(n, n + k), strict=True))
+        return lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A piece of letters and closing marks is a word and its marks: the vocabulary's
+        pre-tokenizer cuts there, and lower-cases. Any other piece is kept whole."""
+        if not self.cuts_words:
+            return self._tokenize(pieces)
+        parts = pc.extract_regex(pieces, WORD_AND_MARKS)
+        word = pc.if_else(parts.is_valid(), pc.ascii_lower(pc.struct_field(parts, 0)), pieces)
+        marks = pc.fill_null(pc.struct_field(parts, 1), "")
+        both = pa.concat_arrays([word, marks]).dictionary_encode()
+        slot = self.words.slots(both.dictionary, self._tokenize)[np.asarray(both.indices)]
+        lengths, ids = self.words.gather(slot.reshape(2, -1).T.ravel())
+        return lengths.reshape(-1, 2).sum(axis=1), ids
+
+    @cached_property
+    def cuts_words(self) -> bool:
+        """Whether the tokenizer encodes letters and the marks after them apart, in lower
+        case. Told by the normaliser and the pre-tokenizer themselves."""
+        normalizer, cutter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normalizer is None or cutter is None:
+            return False
+        samples = ["Ab" + chr(c) * 2 for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
+        return all(normalizer.normalize_str(t) == t.lower()
+                   and [span for _, span in cutter.pre_tokenize_str(t.lower())] == [(0, 2), (2, 4)] for t in samples)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and each text's end in it; each text is closed by the end id."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         split = pc.ascii_split_whitespace(texts)
         pieces = split.flatten().dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        if len(self.known) + len(distinct) > CACHE_PIECES and self.known:
-            self._clear()
-        new = [p for p in distinct if p not in self.known]
-        if new:
-            self._learn(new)
-        slot = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        at = slot[pieces.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.lengths[at]
+        slot = self.pieces.slots(pieces.dictionary, self._learn)
+        lengths, ids = self.pieces.gather(slot[np.asarray(pieces.indices)])
         done = np.concatenate([[0], np.cumsum(lengths)])
         ends = done[np.asarray(split.offsets)[1:] - split.offsets[0].as_py()]
-        gather = np.repeat(self.starts[at] - done[:-1], lengths) + np.arange(done[-1])
-        ids = self.ids[gather]
         k = len(self.end)
         if k:
             ids = np.insert(ids, np.repeat(ends, k), np.tile(self.end, len(ends)))
