@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import SPACE, let, words_of
+from ridgeline.llm.common import SPACE, let, stored, words_of
 
 # Frequent function words of each language.
 COMMON_WORDS = {
@@ -127,10 +127,7 @@ def quality_features(docs: DataFrame, *, text: str = "text", lang: str = "lang")
         long(duplicate_lines(F.col("text"))).alias("n_dup_lines"),
         long(repeated_window_words(F.col("words"), F.col("keys"))).alias("n_repeat_words"),
         F.array(lower, *CLASSES, "wide").alias("chars"),
-        F.concat("counts", F.array(F.col("n_words") - total)).alias("common")).alias("f"),
-        # a filter that uses this number is not pushed below the features, where they
-        # would be computed again for each of its terms
-        F.monotonically_increasing_id().alias("row"))
+        F.concat("counts", F.array(F.col("n_words") - total)).alias("common")).alias("f"))
 
 
 def _shares(counts: Column) -> Column:
@@ -182,6 +179,7 @@ def judge_quality(features: DataFrame, references: Sequence[dict],
 
 def quality_filter(docs: DataFrame, rules: QualityRules = QualityRules(), *, text: str = "text",
                    lang: str = "lang") -> DataFrame:
-    """Rows of ``docs`` that the rules keep, unchanged."""
-    features = quality_features(docs, text=text, lang=lang)
-    return judge_quality(features, language_references(features, rules), rules).where("kept and row >= 0").select("doc.*")
+    """Rows of ``docs`` that the rules keep, unchanged. The rows are written once with
+    their features, which both the references and the verdicts read."""
+    features = stored(quality_features(docs, text=text, lang=lang))
+    return judge_quality(features, language_references(features, rules), rules).where("kept").select("doc.*")
