@@ -428,21 +428,43 @@ def q_stat_ols_inference(spark, d):
     return inference(spark, d)
 
 
-@register("stat_ols_pvalues", no_oracle="Student t tail probabilities have no SQL built-in; "
-          "checked against textbook critical values in tests/test_stats.py")
+TAIL_STEPS = 20_000  # of the midpoint rule in the oracle's F tail
+
+
+def f_tail_sql(f: str, d1: str, d2: str) -> str:
+    """P(F_{d1,d2} >= f) by quadrature, for the oracle: with u = cos^2 the incomplete
+    beta integral becomes one of powers of cosine and sine over a finite range.
+    A two-sided t tail is the case f = t^2, d1 = 1."""
+    lo = f"atan(sqrt({d1} * ({f}) / {d2}))"
+    step = f"((pi() / 2 - {lo}) / {TAIL_STEPS})"
+    at = f"({lo} + (i + 0.5) * {step})"
+    front = f"2 * exp(lgamma(({d1} + {d2}) / 2.0) - lgamma({d1} / 2.0) - lgamma({d2} / 2.0))"
+    return (f"round({front} * sum(pow(cos({at}), {d2} - 1) * pow(sin({at}), {d1} - 1)"
+            f" * {step}), 6)")
+
+
+@register("stat_ols_pvalues", with_ctes(*FACTS_BODY, _inference_sql(), body=f"""
+SELECT model, term, round(est, 6) AS estimate, round(t, 6) AS t_value, CAST(df AS BIGINT) AS df,
+       {f_tail_sql('t * t', '1', 'df')} AS p_value
+FROM (SELECT *, est / sqrt(var) AS t FROM inf_rows), range({TAIL_STEPS}) r(i)
+GROUP BY model, term, est, t, df"""))
 def q_stat_ols_pvalues(spark, d):
     inf = inference(spark, d, digits=None)
     return inf.select("model", "term", F.round("estimate", 6).alias("estimate"),
                       F.round("t_value", 6).alias("t_value"), "df",
-                      t_test_p(F.col("t_value"), F.col("df")).alias("p_value"))
+                      F.round(t_test_p(F.col("t_value"), F.col("df")), 6).alias("p_value"))
 
 
-@register("stat_anova_pvalue", no_oracle="F distribution tail probabilities have no SQL "
-          "built-in; checked against textbook critical values in tests/test_stats.py")
+@register("stat_anova_pvalue", with_ctes(*FACTS_BODY, OLS_SQL, """
+test AS (SELECT m0.n - 3 AS df0, m1.n - 6 AS df1,
+                ((m0.rss - m1.rss) / ((m0.n - 3) - (m1.n - 6))) / (m1.rss / (m1.n - 6)) AS f FROM m0, m1)""",
+                                         body=f"""
+SELECT df0, df1, {stats.significant_sql('f')} AS f, {f_tail_sql('f', '(df0 - df1)', 'df1')} AS p_value
+FROM test, range({TAIL_STEPS}) r(i) GROUP BY df0, df1, f"""))
 def q_stat_anova_pvalue(spark, d):
     f = views.facts(spark, d)
     small = stats.ols_two(f, OLS_Y, OLS_A, OLS_B, digits=None)
     large = stats.ols_two_by_flag(f, OLS_Y, OLS_A, OLS_B, OLS_FLAG, digits=None)
     a = stats.anova_nested(small, large, digits=None)
-    return a.select("df0", "df1", stats.significant(F.col("f")).alias("f"),
-                    f_test_p(F.col("f"), F.col("df0") - F.col("df1"), F.col("df1")).alias("p_value"))
+    p = f_test_p(F.col("f"), F.col("df0") - F.col("df1"), F.col("df1"))
+    return a.select("df0", "df1", stats.significant(F.col("f")).alias("f"), F.round(p, 6).alias("p_value"))
