@@ -366,3 +366,20 @@ def test_pipeline_against_its_parts(spark, docs):
         assert not brute_secrets(r["text"]) and r["n_chars"] == len(r["text"])
     kept = {r["doc_id"] for r in d.collect()}
     assert kept <= {r["doc_id"] for r in docs.collect() if brute_quality(r["text"])[0] >= 50}
+
+
+def test_encoder_remembers_words_apart_from_marks():
+    """Ids equal the library's, whether a piece is cut into word and marks or kept whole."""
+    import pyarrow as pa
+
+    from ridgeline.llm.queries import TOKENIZER
+    from ridgeline.llm.tokens import Encoder
+
+    enc = Encoder(TOKENIZER)
+    assert enc.cuts_words
+    texts = ["Ab%%x", "<|ENDOFTEXT|>", "a<|endoftext|>b", "Foo<| bar,,", "ÉÀ!!", "don't'!!", "x́abc,,", "İstanbul!!", "ΑΣ,", "ß,",
+             "a b,, c", "ﬁx..", "ªº,,", "中文,,", "ẹ́!!", None, "", "Ⅷ,,", "٣,", "x,̸y", "a≠", "word word, WORD;"]
+    for _ in range(2):                       # learnt, then remembered
+        ids, ends = enc.encode(pa.array(texts))
+        for t, a, z in zip(texts, [0, *ends], ends, strict=False):
+            assert ids[a:z].tolist() == [*enc.tokenizer.encode(t or "", add_special_tokens=False).ids, 2], t
