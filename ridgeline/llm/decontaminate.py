@@ -15,7 +15,7 @@ enough pairs that occur in items of its size. That test is exact; it loses nothi
 The benchmark is the stated query set: it is read in blocks of bounded size,
 and each block is searched against all rows. Null and empty texts have no
 windows. A text shorter than an item by more than the edit distance cannot
-match it; one a little shorter is compared whole. Items without words match
+match it; a window that the document's end cuts off may lack as many words. Items without words match
 nothing; repeated items and rows each give their matches. An empty table on
 either side gives no matches.
 """
@@ -185,7 +185,8 @@ class Index:
         for k, (size, need) in enumerate(zip(self.sizes.tolist(), needs, strict=True)):
             own = places[self.of_size[number, k]]
             end = np.minimum(starts + size, ends[doc])
-            whole = (end - starts == size) | ((starts == begins[doc]) & (end - starts >= size - self.most(size)))
+            # a copy that ends the document may lack as many words as edits are allowed
+            whole = end - starts >= size - self.most(size)
             good = whole & (np.searchsorted(own, end - 1) - np.searchsorted(own, starts) >= need)
             if good.any():
                 yield size, starts[good]

@@ -170,6 +170,38 @@ def test_decontamination_finds_exact_and_edited_passages(spark, docs):
     assert len({(i, i) for i in items} & got) >= 0.95 * len(items)
 
 
+def leak_recall(size, edit, trials=40, after=30):
+    """Share of edited copies of random items that are found inside documents, without Spark."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(size)
+    word = lambda: f"w{rnd.randrange(50_000)}"
+    items = [[word() for _ in range(size)] for _ in range(trials)]
+    index = decontaminate.build_index([(i, " ".join(w)) for i, w in enumerate(items)], decontaminate.Search())
+    number = {w: k for k, w in enumerate(index.vocabulary)}
+    found = 0
+    for i, w in enumerate(items):
+        text = [word() for _ in range(30)] + edit(rnd, w) + [word() for _ in range(after)]
+        numbers = np.array([number.get(x, -1) for x in text])
+        hits = index.find(numbers, np.array([0]), np.array([len(text)]))
+        found += (0, i) in hits
+    return found / trials
+
+
+def without(rnd, words, share):
+    gone = set(rnd.sample(range(len(words)), int(share * len(words))))
+    return [w for k, w in enumerate(words) if k not in gone]
+
+
+@pytest.mark.parametrize("size", [15, 38, 57])
+def test_decontamination_finds_copies_that_end_the_document(size):
+    cut = lambda rnd, w: w[:len(w) - int(0.2 * len(w))]
+    assert leak_recall(size, cut, after=0) >= 0.95
+    assert leak_recall(size, lambda rnd, w: without(rnd, w, 0.1), after=0) >= 0.95
+
+
 def test_decontamination_edit_distance():
     import numpy as np
 
