@@ -3,10 +3,13 @@
 Texts are sequences of normalised words (case, punctuation and spacing do not
 count). The CGK random walk embeds a sequence so that edit distance becomes
 Hamming distance: a random bit per (step, word) says whether the walk moves on.
-Windows of the size of a benchmark item are embedded, sampled positions of the
-embedding are their LSH keys, and repetitions bring recall to the target.
-Windows that share a key with an item are verified by exact edit distance on
-words.
+Agreement of two embeddings falls with the number of edits, not with their share,
+so items are cut into parts, so many that one part of any copy has at most
+``part_edits`` edits, whatever the item's size. Windows of a part's size are
+embedded, sampled positions of the embedding are their LSH keys, and the
+repetitions that bring recall to the target are measured on simulated edits.
+Text around a window that shares a key with a part is searched for the whole
+item by exact edit distance on words.
 
 Before embedding, windows are left out that cannot be within the edit distance:
 each edit breaks at most two pairs of neighbouring words, so a window must hold
@@ -22,10 +25,9 @@ either side gives no matches.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +47,19 @@ STRIP = "[^\\p{L}\\p{N}]+"    # what does not count in a word
 class Search:
     max_edit_share: float = 0.2       # edits per word of the item
     samples: int = 3                  # embedding positions in a key
-    step_agreement: float = 0.5       # share of embedding steps that agree at the most edits allowed
-    target_recall: float = 0.98
+    part_edits: int = 1               # most edits in the least edited part of a copy
+    target_recall: float = 0.98       # of a part with the most edits
     seed: int = 11
 
-    @property
-    def repetitions(self) -> int:
-        return max(1, math.ceil(math.log(1 - self.target_recall)
-                                / math.log(1 - self.step_agreement ** self.samples)))
+    def most(self, size: int) -> int:
+        return int(self.max_edit_share * size)
+
+    def parts(self, size: int) -> tuple[int, int, int]:
+        """Number of parts of an item, their words, and the edits that one of them has at
+        most: with fewer than (part_edits + 1) edits a part on average, one has part_edits."""
+        most = self.most(size)
+        n = most // (self.part_edits + 1) + 1
+        return n, size // n, most // n
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,24 +83,96 @@ def word_lists(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     return pa.DictionaryArray.from_arrays(pa.array(index[keep]), words.dictionary), ends
 
 
+def embed(search: Search, words: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int,
+          repetitions: int) -> np.ndarray:
+    """LSH keys [repetition, window] of the windows of ``size`` words from the starts, not
+    beyond the stops. A step of the walk reads the word it stands on, and a random bit
+    of (step, word) moves it on; a key is made of the words at sampled steps."""
+    rng = np.random.default_rng((search.seed, size))
+    sampled = np.argsort(rng.random((repetitions, 2 * size)), axis=1)[:, :search.samples]
+    salt = rng.integers(0, 1 << 63, (repetitions, 1), dtype=np.uint64)
+    stops = np.minimum(starts + size, stops)
+    at = np.tile(starts, (repetitions, 1))
+    key = np.zeros(at.shape, np.uint64)
+    for step in range(int(sampled.max()) + 1):
+        inside = at < stops
+        word = np.where(inside, words[np.minimum(at, len(words) - 1)], -1).astype(np.uint64)
+        own = (sampled == step).any(axis=1)
+        if own.any():
+            key[own] = _mix(key[own] * np.uint64(31) + word[own] + np.uint64(step))
+        move = _mix(word * np.uint64(0x9E3779B97F4A7C15) + salt + np.uint64(step * 0x5851F42D)) & np.uint64(1)
+        at += inside & move.astype(bool)
+    return key
+
+
+@lru_cache(maxsize=256)
+def repetitions(search: Search, size: int, edits: int, trials: int = 150, most: int = 200) -> int:
+    """Keys that a part of ``size`` words needs for the target recall at so many edits:
+    the least number at which simulated copies inside a text reach it on average, for
+    deletions, insertions and substitutions each."""
+    if not edits:
+        return 1                     # copies without an edit share every key
+    rng = np.random.default_rng(search.seed)
+    need = 1
+    for kind in ("delete", "insert", "replace"):
+        pieces = []
+        for _ in range(trials):
+            item = rng.integers(0, 1 << 40, size).tolist()
+            copy = list(item)
+            for _ in range(edits):
+                k = int(rng.integers(len(copy)))
+                copy[k:k + (kind != "insert")] = [] if kind == "delete" else [int(rng.integers(1 << 40))]
+            pieces += [item, copy + rng.integers(0, 1 << 40, size).tolist()]
+        stops = np.cumsum([len(p) for p in pieces])
+        starts = stops - [len(p) for p in pieces]
+        keys = embed(search, np.concatenate(pieces).astype(np.int64), starts, stops, size, most)
+        agree = (keys[:, ::2] == keys[:, 1::2]).mean(axis=0)
+        while need < most and (1 - (1 - agree) ** need).mean() < search.target_recall:
+            need += 1
+    return need
+
+
+def _last_row(a: np.ndarray, b: np.ndarray, most: int, row: np.ndarray) -> np.ndarray | None:
+    """Least edits * (len(b) + 1) + start of ``a`` against the words of ``b`` before each
+    place, from the row of no word of ``a``; None if all have more than ``most`` edits."""
+    unit = len(b) + 1
+    place = np.arange(unit) * unit
+    for i, x in enumerate(a, 1):
+        best = np.minimum(row[1:] + unit, row[:-1] + unit * (b != x))
+        row = np.concatenate([[i * unit], best])
+        row = np.minimum.accumulate(row - place) + place      # insertions along the row
+        if row.min() >= (most + 1) * unit:
+            return None
+    return row
+
+
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int]:
     """Least Levenshtein distance of ``a`` to a beginning of ``b``, and the length of that
     beginning (of equal ones, nearest to a's length); most + 1 and 0 if it is larger."""
-    place = np.arange(len(b) + 1)
-    row = place.copy()
-    for i, x in enumerate(a, 1):
-        best = np.minimum(row[1:] + 1, row[:-1] + (b != x))
-        row = np.concatenate([[i], best])
-        row = np.minimum.accumulate(row - place) + place      # insertions along the row
-        if row.min() > most:
-            return most + 1, 0
+    unit = len(b) + 1
+    row = _last_row(a, b, most, np.arange(unit) * unit)
+    if row is None:
+        return most + 1, 0
     n = min(np.flatnonzero(row == row.min()).tolist(), key=lambda j: (abs(j - len(a)), j))
-    return int(row[n]), n
+    return int(row[n]) // unit, n
+
+
+def best_place(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int, int]:
+    """Least Levenshtein distance of ``a`` to any piece of ``b``, and the piece's start and
+    end: of equal ones the first, its length nearest to a's; most + 1, 0, 0 if larger."""
+    unit = len(b) + 1
+    row = _last_row(a, b, most, np.arange(unit))
+    if row is None:
+        return most + 1, 0, 0
+    edits, start = row // unit, row % unit
+    ends = np.flatnonzero(edits == edits.min()).tolist()
+    n = min(ends, key=lambda j: (start[j], abs(j - start[j] - len(a)), j))
+    return int(edits[n]), int(start[n]), n
 
 
 @dataclass
 class Index:
-    """Items of one block: their words as numbers, and LSH keys by size and repetition."""
+    """Items of one block: their words as numbers, and LSH keys of their parts."""
 
     search: Search
     vocabulary: list[str]
@@ -103,7 +182,9 @@ class Index:
     pairs: np.ndarray = field(init=False)        # all pairs of neighbouring words in items
     of_size: np.ndarray = field(init=False)      # [pair, size]: an item of the size holds the pair
     repeats: int = field(init=False)             # most times that one pair occurs in one item
-    keys: dict[int, list[tuple[np.ndarray, dict[int, list[int]]]]] = field(init=False)
+    codes: list[np.ndarray] = field(init=False)  # each item's pairs
+    # by (words, edits) of the parts: item and offset of each, sorted keys and their parts by repetition
+    parts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]] = field(init=False)
 
     def __post_init__(self) -> None:
         self.sizes = np.unique([len(w) for _, w in self.items]).astype(np.int64)
@@ -114,42 +195,23 @@ class Index:
         for (_, w), c in zip(self.items, codes, strict=True):
             self.of_size[np.searchsorted(self.pairs, c), np.searchsorted(self.sizes, len(w))] = True
         self.repeats = max([1, *(int(np.unique(c, return_counts=True)[1].max()) for c in codes if len(c))])
-        self.keys = {}
-        for n in self.sizes.tolist():
-            own = [i for i, (_, w) in enumerate(self.items) if len(w) == n]
-            words = np.concatenate([self.items[i][1] for i in own])
-            starts = np.arange(len(own)) * n
-            tables = []
-            for row in self.embed(words, starts, starts + n, n):
-                table: dict[int, list[int]] = {}
-                for i, k in zip(own, row.tolist(), strict=True):
-                    table.setdefault(k, []).append(i)
-                tables.append((np.array(list(table), np.uint64), table))
-            self.keys[n] = tables
+        self.codes = [np.unique(c) for c in codes]
+        self.parts = {}
+        words = np.concatenate([np.zeros(0, np.int64), *[w for _, w in self.items]])
+        begin = np.cumsum([0, *[len(w) for _, w in self.items]])
+        own: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for i, (_, w) in enumerate(self.items):
+            number, size, edits = self.search.parts(len(w))
+            own.setdefault((size, edits), []).extend((i, k * size) for k in range(number))
+        for (size, edits), places in own.items():
+            item, offset = np.array(places, np.int64).T
+            starts = begin[item] + offset
+            keys = embed(self.search, words, starts, starts + size, size, repetitions(self.search, size, edits))
+            orders = [np.argsort(k, kind="stable") for k in keys]
+            self.parts[size, edits] = item, offset, [(k[o], o) for k, o in zip(keys, orders, strict=True)]
 
     def most(self, size: int) -> int:
-        return int(self.search.max_edit_share * size)
-
-    def embed(self, words: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int) -> np.ndarray:
-        """LSH keys [repetition, window] of the windows of ``size`` words from the starts, not
-        beyond the stops. A step of the walk reads the word it stands on, and a random bit
-        of (step, word) moves it on; a key is made of the words at sampled steps."""
-        search = self.search
-        rng = np.random.default_rng((search.seed, size))
-        sampled = np.argsort(rng.random((search.repetitions, 2 * size)), axis=1)[:, :search.samples]
-        salt = rng.integers(0, 1 << 63, (search.repetitions, 1), dtype=np.uint64)
-        stops = np.minimum(starts + size, stops)
-        at = np.tile(starts, (search.repetitions, 1))
-        key = np.zeros(at.shape, np.uint64)
-        for step in range(int(sampled.max()) + 1):
-            inside = at < stops
-            word = np.where(inside, words[np.minimum(at, len(words) - 1)], -1).astype(np.uint64)
-            own = (sampled == step).any(axis=1)
-            if own.any():
-                key[own] = _mix(key[own] * np.uint64(31) + word[own] + np.uint64(step))
-            move = _mix(word * np.uint64(0x9E3779B97F4A7C15) + salt + np.uint64(step * 0x5851F42D)) & np.uint64(1)
-            at += inside & move.astype(bool)
-        return key
+        return self.search.most(size)
 
     def candidates(self, words: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(size, starts) of the windows that can be within the edits allowed. Words outside
@@ -191,37 +253,61 @@ class Index:
             if good.any():
                 yield size, starts[good]
 
+    def places(self, words: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Rows document, item, place, each once and in order: the item may begin at about
+        that place, for a part of it shares a key with the window where the part would be."""
+        near: dict[tuple[int, int], np.ndarray] = {}
+        for size, starts in self.candidates(words, begins, ends):
+            stop = np.minimum(starts + size + self.most(size), ends[np.searchsorted(ends, starts, side="right")])
+            edge = np.bincount(starts, minlength=len(words) + 1) - np.bincount(stop, minlength=len(words) + 1)
+            inside = np.cumsum(edge)[:-1] > 0
+            part = self.search.parts(size)[1:]
+            near[part] = near[part] | inside if part in near else inside
+        found = [np.zeros((3, 0), np.int64)]
+        for (size, edits), inside in near.items():
+            item, offset, tables = self.parts[size, edits]
+            at = np.flatnonzero(inside)
+            doc = np.searchsorted(ends, at, side="right")
+            whole = ends[doc] - at >= size - edits
+            at, doc = at[whole], doc[whole]
+            for a in range(0, len(at), WINDOWS):
+                p, d = at[a:a + WINDOWS], doc[a:a + WINDOWS]
+                hits = []
+                for keys, (known, order) in zip(embed(self.search, words, p, ends[d], size, len(tables)), tables, strict=True):
+                    first = np.searchsorted(known, keys)
+                    n = np.searchsorted(known, keys, side="right") - first
+                    w = np.repeat(np.arange(len(p)), n)
+                    part = order[np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n) + first[w]]
+                    hits.append(np.stack([d[w], item[part], p[w] - offset[part]]))
+                found.append(np.unique(np.concatenate(hits, axis=1), axis=1))
+        return np.unique(np.concatenate(found, axis=1), axis=1).T
+
     def find(self, words: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], tuple[int, int, int]]:
-        """Best window (edits, start, end) of each (document, item) within the item's edits.
-        Of equal edits the first window counts, of
-        exact copies the first of those that share the most keys."""
+        """Best place (edits, start, end) of each (document, item) within the item's edits; of
+        equal edits the first. Places near each other are searched together."""
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
-        power = np.uint64(0x9E3779B97F4A7C15)
-        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(len(words), power))])
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((words + 2).astype(np.uint64) * powers[:-1])])
-        for size, starts in self.candidates(words, begins, ends):
-            doc = np.searchsorted(ends, starts, side="right")
-            stop = np.minimum(starts + size, ends[doc])
-            # the same words again in a document are one window, its first
-            content = (total[stop] - total[starts]) * powers[len(words) - starts]
-            order = np.lexsort((starts, content, doc))
-            new = np.concatenate([[True], (np.diff(doc[order]) != 0) | (np.diff(content[order]) != 0)])
-            starts, doc = starts[order][new], doc[order][new]
-            seen: Counter = Counter()
-            for a in range(0, len(starts), WINDOWS):
-                d, s = doc[a:a + WINDOWS], starts[a:a + WINDOWS]
-                for r, keys in enumerate(self.embed(words, s, ends[d], size)):
-                    table = self.keys[size][r]
-                    for w in np.flatnonzero(np.isin(keys, table[0])).tolist():
-                        seen.update((int(d[w]), i, int(s[w])) for i in table[1][int(keys[w])])
-            # windows of the most common keys first: after an exact copy no other counts
-            for (d, i, s), _ in sorted(seen.items(), key=lambda x: (x[0][:2], -x[1], x[0][2])):
-                best = found.get((d, i), (self.most(size) + 1,))
-                if best[0]:
-                    e, at = min(s + size + self.most(size), int(ends[d])), s - int(begins[d])
-                    edits, n = edit_distance(self.items[i][1], words[s:e], self.most(size))
-                    if edits <= self.most(size):
-                        found[d, i] = min(best, (edits, at, at + n))
+        rows = self.places(words, begins, ends)
+        if not len(rows):
+            return found
+        sizes = np.array([len(w) for _, w in self.items])[rows[:, 1]]
+        most = np.array([self.most(n) for n in range(int(self.sizes.max()) + 1)])[sizes]
+        new = (np.diff(rows[:, :2], axis=0) != 0).any(axis=1) | (np.diff(rows[:, 2]) > (sizes + 2 * most)[1:])
+        first = np.flatnonzero(np.concatenate([[True], new]))
+        last = np.concatenate([first[1:], [len(rows)]]) - 1
+        code = np.where((words[:-1] >= 0) & (words[1:] >= 0), words[:-1] * self.base + words[1:], -1)
+        low = np.maximum(rows[first, 2] - most[first], begins[rows[first, 0]])
+        high = np.minimum(rows[last, 2] + sizes[first] + most[first], ends[rows[first, 0]])
+        for (d, i), n, k, a, b in zip(rows[first, :2].tolist(), sizes[first].tolist(), most[first].tolist(),
+                                      low.tolist(), high.tolist(), strict=True):
+            best = found.get((d, i), (k + 1,))
+            if not best[0]:
+                continue                                  # an exact copy before this place
+            if np.isin(code[a:b - 1], self.codes[i]).sum() < n - 1 - 2 * k:
+                continue
+            edits, start, end = best_place(self.items[i][1], words[a:b], k)
+            if edits <= k:
+                at = a - int(begins[d])
+                found[d, i] = min(best, (edits, at + start, at + end))
         return found
 
 

@@ -202,6 +202,27 @@ def test_decontamination_finds_copies_that_end_the_document(size):
     assert leak_recall(size, lambda rnd, w: without(rnd, w, 0.1), after=0) >= 0.95
 
 
+def edited(rnd, words):
+    words = list(words)
+    for _ in range(int(0.2 * len(words))):
+        k = rnd.randrange(len(words))
+        words[k:k + rnd.randrange(2)] = rnd.choice([[], ["other"]])
+    return words
+
+
+@pytest.mark.parametrize("size", [15, 38, 57, 120, 250])
+def test_decontamination_recall_at_a_fifth_of_the_words(size):
+    assert leak_recall(size, lambda rnd, w: without(rnd, w, 0.2)) >= 0.95
+    assert leak_recall(size, edited) >= 0.95
+
+
+def test_decontamination_best_place():
+    import numpy as np
+
+    d = lambda a, b: decontaminate.best_place(np.array(a), np.array(b), 1)
+    assert (d([1, 2, 3], [7, 1, 2, 3, 4]), d([1, 2, 3], [9, 2, 3]), d([1, 2, 3], [4, 5])) == ((0, 1, 4), (1, 0, 3), (2, 0, 0))
+
+
 def test_decontamination_edit_distance():
     import numpy as np
 
