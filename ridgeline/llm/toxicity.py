@@ -117,6 +117,12 @@ def training_sample(labels: DataFrame, use: Column, training: Training, *, key:
         rows.where("y = 0").orderBy(*order).limit(training.rows)).dropDuplicates(["key"])
 
 
+def class_weights(labels: DataFrame, use: Column, training: Training, *, label: str) -> dict[int, float]:
+    """Training rows of each class that one of the sample stands for, counted over all rows."""
+    rows = labels.where(use & F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("y")).count().collect()
+    return {r["y"]: max(1.0, r["count"] / max(1, training.rows)) for r in rows}
+
+
 def fit_odds(texts: DataFrame, training: Training) -> Model:
     """Log-odds from a frame (text, y). A token counts once per document, so that one
     document cannot make a token. The driver gets at most ``vocabulary`` rows."""
@@ -189,9 +195,10 @@ def evidence(model: Model, segments: list, words: int) -> float:
     return min(60.0, sum(max(0.0, model.significance(s["score"], max(words, 1))) for s in segments))
 
 
-def calibrate(model: Model, rows: list) -> None:
+def calibrate(model: Model, rows: list, weights: dict[int, float]) -> None:
     """Extreme-value law from the non-toxic training rows, then a logistic fit of the
-    label on the evidence; weights make the classes' prior that of the sample."""
+    label on the evidence; the weights of the classes make their prior that of all
+    training rows, whatever the bound on the sample."""
     y = np.array([r["y"] for r in rows], float)
     words = np.array([max(1, r["n_words"]) for r in rows], float)
     best = np.array([r["segments"][0]["score"] if r["segments"] else 0.0 for r in rows])
@@ -199,11 +206,13 @@ def calibrate(model: Model, rows: list) -> None:
         return
     model.decay, model.scale = extreme_value_fit(best[y == 0], words[y == 0])
     x = np.array([evidence(model, r["segments"], r["n_words"]) for r in rows])
+    weight = np.array([weights.get(int(k), 1.0) for k in y])
+    weight *= len(y) / weight.sum()
     w, c = 0.1, 0.0
     for _ in range(100):                       # Newton steps, with a small ridge
         p = 1 / (1 + np.exp(-np.clip(w * x + c, -30, 30)))
-        g = np.array([((p - y) * x).sum() + 1e-2 * w, (p - y).sum()])
-        q = np.maximum(p * (1 - p), 1e-9)
+        g = np.array([(weight * (p - y) * x).sum() + 1e-2 * w, (weight * (p - y)).sum()])
+        q = weight * np.maximum(p * (1 - p), 1e-9)
         h = np.array([[(q * x * x).sum() + 1e-2, (q * x).sum()], [(q * x).sum(), q.sum() + 1e-6]])
         step = np.clip(np.linalg.solve(h, g), -2, 2)
         w, c = w - step[0], c - step[1]
@@ -225,7 +234,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, use: Column, training: Tr
     model = fit_odds(learnt, training)
     if model.odds:
         rows = _features(learnt, model, ["y"]).select("y", "n_words", F.slice("segments", 1, 50).alias("segments"))
-        calibrate(model, rows.collect())       # 2 * rows rows of a few numbers
+        calibrate(model, rows.collect(), class_weights(labels, use, training, label=label))   # 2 * rows small rows
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("score double, passages array<struct<start:int,end:int,score:double,expected:double>>")

@@ -240,6 +240,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert right >= 0.9 * len(r)
 
 
+def test_toxicity_prior_does_not_follow_the_sample_bound(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(4000):
+        toxic = i % 20 == 0
+        bad = [w for w in ("vile", "rude", "crude", "nasty") if rnd.random() < (0.5 if toxic else 0.08)]
+        words = [f"w{'abcdefghij'[rnd.randrange(10)]}" for _ in range(rnd.randrange(10, 40))] + bad
+        rnd.shuffle(words)
+        rows.append((i, " ".join(words), int(toxic)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    for bound in (10_000, 250):          # the mean score is the labels' share, 5%
+        out = toxicity.score_toxicity(texts, texts, F.lit(True), toxicity.Training(rows=bound))
+        assert out.agg(F.avg("score")).first()[0] == pytest.approx(0.05, abs=0.02), bound
+
+
 def test_maximal_segments_equal_brute_force():
     import random
 
