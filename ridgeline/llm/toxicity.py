@@ -20,11 +20,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,9 +80,6 @@ class Model:
         """- log of the expected number of segments of this score in so many words."""
         return self.decay * score - math.log(max(self.scale * words, 1e-9))
 
-    def probability(self, evidence: float) -> float:
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.slope * evidence + self.offset))))
-
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[float, int, int]]:
     """All maximal-scoring segments (score, start, end) in one pass. Runs of positive
@@ -123,6 +119,19 @@ def class_weights(labels: DataFrame, use: Column, training: Training, *, label:
     return {r["y"]: max(1.0, r["count"] / max(1, training.rows)) for r in rows}
 
 
+def sure_odds(a: float, b: float, toxic: float, other: float, sds: float = 3.0) -> float:
+    """Log-odds of a token of ``a`` toxic and ``b`` other documents, moved towards 0 by the
+    uncertainty of its toxic share: down to the bound of the share's score interval, which
+    also holds where a count is 0. 0 if the sign is not sure."""
+    t, o = a / toxic, b / other
+    z = math.log(t / (1 - t + 1e-9)) - math.log(o / (1 - o + 1e-9))
+    if z < 0:
+        return -sure_odds(b, a, other, toxic, sds) if b > 0 else 0.0
+    n, share, s2 = a + b, a / (a + b), sds * sds
+    low = (share + s2 / (2 * n) - sds * math.sqrt(share * (1 - share) / n + s2 / (4 * n * n))) / (1 + s2 / n)
+    return max(0.0, z - math.log(a / b) + math.log(low / (1 - low)))
+
+
 def fit_odds(texts: DataFrame, training: Training) -> Model:
     """Log-odds from a frame (text, y). A token counts once per document, so that one
     document cannot make a token. The driver gets at most ``vocabulary`` rows."""
@@ -149,32 +158,38 @@ def fit_odds(texts: DataFrame, training: Training) -> Model:
     if toxic and other:
         for w, (a, b) in by.items():
             p = (a + b) / (toxic + other)       # the prior: both classes together
-            t, o = (a + prior * p) / (toxic + prior), (b + prior * p) / (other + prior)
-            z = math.log(t / (1 - t + 1e-9)) - math.log(o / (1 - o + 1e-9))
-            sd = math.sqrt(1 / (a + prior * p) + 1 / (b + prior * p))
             # only what is surely toxic, or surely not, moves the score
-            odds[w] = math.copysign(max(0.0, abs(z) - 3 * sd), z)
+            odds[w] = sure_odds(a + prior * p, b + prior * p, toxic + prior, other + prior)
     return Model(odds, drift=0.1)
 
 
 def _features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """keep columns, n_words and the segments' scores, best first, of each whole text."""
+    """keep columns, n_words, best (the best segment's score), evidence and passages (the
+    significant segments, best first) of each whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-                       + ["n_words long", "segments array<struct<score:double,start:int,end:int>>"])
-    arrow = pa.list_(pa.struct([("score", pa.float64()), ("start", pa.int32()), ("end", pa.int32())]))
+                       + ["n_words long, best double, evidence double",
+                          "passages array<struct<start:int,end:int,score:double,expected:double>>"])
+    arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()),
+                                ("expected", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            words, found = [], []
+            words, best, total, found = [], [], [], []
             for t in b.column(b.num_columns - 1):
                 s = m.scores(t.as_py() or "")
+                segments = maximal_segments(s)
+                sure = [(x, a, z, v) for x, a, z in segments if (v := m.significance(x, max(len(s), 1))) > 0]
                 words.append(len(s))
-                found.append([{"score": x, "start": a, "end": z}
-                              for x, a, z in sorted(maximal_segments(s), key=lambda q: (-q[0], q[1])) if x >= 1.0])
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(words, pa.int64()), pa.array(found, arrow)],
-                                             names=[*keep, "n_words", "segments"])
+                best.append(max((x for x, _, _ in segments), default=0.0))
+                total.append(evidence(v for *_, v in sure))
+                found.append([{"start": a, "end": z, "score": x, "expected": math.exp(-min(700.0, v))}
+                              for x, a, z, v in sorted(sure, key=lambda q: (-q[0], q[1]))])
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns[:-1], pa.array(words, pa.int64()), pa.array(best, pa.float64()),
+                 pa.array(total, pa.float64()), pa.array(found, arrow)],
+                names=[*keep, "n_words", "best", "evidence", "passages"])
 
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
@@ -190,22 +205,23 @@ def extreme_value_fit(best: np.ndarray, words: np.ndarray) -> tuple[float, float
     return decay, float(np.mean(np.exp(np.minimum(decay * best[seen], 50.0))) ** -1 * seen.mean())
 
 
-def evidence(model: Model, segments: list, words: int) -> float:
+def evidence(significances: Iterable[float]) -> float:
     """Significance of all significant segments together; 0 where there is none."""
-    return min(60.0, sum(max(0.0, model.significance(s["score"], max(words, 1))) for s in segments))
+    return min(60.0, sum(significances))
 
 
-def calibrate(model: Model, rows: list, weights: dict[int, float]) -> None:
-    """Extreme-value law from the non-toxic training rows, then a logistic fit of the
-    label on the evidence; the weights of the classes make their prior that of all
-    training rows, whatever the bound on the sample."""
-    y = np.array([r["y"] for r in rows], float)
-    words = np.array([max(1, r["n_words"]) for r in rows], float)
-    best = np.array([r["segments"][0]["score"] if r["segments"] else 0.0 for r in rows])
+def calibrate(model: Model, rows: DataFrame, weights: dict[int, float]) -> None:
+    """Extreme-value law from the non-toxic training rows (text, y), then a logistic fit
+    of the label on the evidence under that law; the weights of the classes make their
+    prior that of all training rows, whatever the bound on the sample. Two numbers of
+    each row reach the driver, in either step."""
+    table = _features(rows, model, ["y"]).select("y", "n_words", "best").toArrow()
+    y, words, best = (table[c].to_numpy().astype(float) for c in ("y", "n_words", "best"))
     if not (0 < y.sum() < len(y)):
         return
-    model.decay, model.scale = extreme_value_fit(best[y == 0], words[y == 0])
-    x = np.array([evidence(model, r["segments"], r["n_words"]) for r in rows])
+    model.decay, model.scale = extreme_value_fit(best[y == 0], np.maximum(words[y == 0], 1.0))
+    table = _features(rows, model, ["y"]).select("y", "evidence").toArrow()
+    y, x = (table[c].to_numpy().astype(float) for c in ("y", "evidence"))
     weight = np.array([weights.get(int(k), 1.0) for k in y])
     weight *= len(y) / weight.sum()
     w, c = 0.1, 0.0
@@ -227,25 +243,13 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, use: Column, training: Tr
     end in words, score, expected number by chance). ``use`` marks the rows of ``labels``
     that may be learnt from. The sample (at most 2 * rows small rows) is broadcast; no
     text is shuffled."""
-    spark = docs.sparkSession
     sample = F.broadcast(training_sample(labels, use, training, key=key, label=label))
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     learnt = stored(texts.join(sample, "key"))
     model = fit_odds(learnt, training)
     if model.odds:
-        rows = _features(learnt, model, ["y"]).select("y", "n_words", F.slice("segments", 1, 50).alias("segments"))
-        calibrate(model, rows.collect(), class_weights(labels, use, training, label=label))   # 2 * rows small rows
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf("score double, passages array<struct<start:int,end:int,score:double,expected:double>>")
-    def judge(words, segments):
-        m, scores, passages = shared.value, [], []
-        for n, s in zip(words, segments, strict=True):
-            scores.append(m.probability(evidence(m, s, n)) if m.odds else 0.0)
-            passages.append([{"start": int(q["start"]), "end": int(q["end"]), "score": float(q["score"]),
-                              "expected": math.exp(-min(700.0, v))}
-                             for q in s if (v := m.significance(q["score"], max(n, 1))) > 0])
-        return pd.DataFrame({"score": scores, "passages": passages})
-
-    return (_features(texts, model, ["key"]).withColumn("j", judge("n_words", "segments"))
-            .select(F.col("key").alias(key), "j.score", "n_words", "j.passages"))
+        calibrate(model, learnt, class_weights(labels, use, training, label=label))
+    score = F.lit(0.0) if not model.odds else 1.0 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(
+        F.lit(30.0), model.slope * F.col("evidence") + model.offset))))
+    return (_features(texts, model, ["key"])
+            .select(F.col("key").alias(key), score.alias("score"), "n_words", "passages"))

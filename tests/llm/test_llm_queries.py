@@ -257,6 +257,21 @@ def test_toxicity_prior_does_not_follow_the_sample_bound(spark):
         assert out.agg(F.avg("score")).first()[0] == pytest.approx(0.05, abs=0.02), bound
 
 
+def test_toxicity_surest_tokens_count_most():
+    odds = lambda a, b, n=10_000: toxicity.sure_odds(a + 20 * (a + b) / (2 * n), b + 20 * (a + b) / (2 * n), n + 20, n + 20)
+    assert 1 < odds(50, 0) < odds(100, 0) < odds(180, 0)
+    assert odds(100, 0) > odds(100, 5) > odds(100, 50) > odds(100, 90) == 0
+    assert odds(0, 100) == -odds(100, 0) and odds(4, 0) == 0
+
+
+def test_toxicity_rare_toxic_word_is_seen(spark):
+    rows = [(i, f"calm words of text {'vile' if i % 60 == 0 else 'plain'} and so on", int(i % 2 == 0 and i % 60 < 4))
+            for i in range(6000)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_odds(texts.withColumnRenamed("toxic", "y"), toxicity.Training())
+    assert model.odds["vile"] > 1          # 100 documents, all toxic
+
+
 def test_maximal_segments_equal_brute_force():
     import random
 
