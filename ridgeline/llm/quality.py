@@ -2,20 +2,19 @@
 
 A document's histogram of character classes and of common words is compared to
 references of its language by Jensen-Shannon distance. References are means
-over all documents of a language (one row per language leaves the cluster).
+over all documents of a language, one row per value of ``lang``.
 Only DataFrame functions are used.
 
 Null text counts as empty: no words, so the base rule rejects it. Texts under
 the minimum lengths are not judged by the histograms. A language without
-common words here or without a reference is not judged by divergence; a null
-language is compared to every reference. Repeated rows get the same result
+common words here is judged by its character classes only, one without a
+reference not at all; a null language is compared to every reference. Repeated rows get the same result
 each. Columns of the input never clash with the operator's: they travel inside
 one struct.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,6 +49,7 @@ class QualityRules:
     max_char_distance: float = 0.14    # of an endless text; short ones vary more, so
     char_slack: float = 0.9            # char_slack / sqrt(words) is added
     max_word_distance: float = 0.255
+    min_documents: int = 20        # that make a reference of a language not in COMMON_WORDS
 
 
 def _windows(words: Column, size: int, item) -> Column:
@@ -139,38 +139,45 @@ def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (base 2) of two arrays of shares."""
     part = lambda a, m: F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
     terms = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)))
+    total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+    return F.sqrt(F.when(total < 0, 0.0).otherwise(total))     # null where a side is null
 
 
 def base_failed(f: Column, rules: QualityRules) -> Column:
     return (f["n_words"] < rules.min_words) | (100 * f["n_repeat_words"] > rules.max_repeat_pct * f["n_words"])
 
 
-def language_references(features: DataFrame, rules: QualityRules = QualityRules()) -> list[dict]:
-    """Mean shares by language over all documents that are long enough; the languages
-    are those of COMMON_WORDS, so at most that many rows reach the driver."""
-    rows = (features.where(F.col("lang").isin(list(COMMON_WORDS)) & (F.col("f.n_words") >= rules.min_words))
+def language_references(features: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """Mean shares (lang, chars, common) by value of lang over all documents that are long
+    enough; ``common`` is null for languages without common words. Written once, so that
+    joins see its real size."""
+    rows = (features.where(F.col("lang").isNotNull() & (F.col("f.n_words") >= rules.min_words))
             .select("lang", _shares(F.col("f.chars")).alias("c"), _shares(F.col("f.common")).alias("w")))
     mean = lambda name, n: F.array(*[F.avg(F.col(name)[i]) for i in range(n)])
+    known = F.col("lang").isin(list(COMMON_WORDS))
     out = rows.groupBy("lang").agg(mean("c", len(CLASSES) + 2).alias("chars"),
-                                   mean("w", len(VOCABULARY) + 1).alias("common"))
-    return [r.asDict() for r in out.orderBy("lang").collect()]
+                                   mean("w", len(VOCABULARY) + 1).alias("common"), F.count("*").alias("n"))
+    return stored(out.where(known | (F.col("n") >= rules.min_documents))
+                  .select("lang", "chars", F.when(known, F.col("common")).alias("common")))
 
 
-def judge_quality(features: DataFrame, references: Sequence[dict],
+def judge_quality(features: DataFrame, references: DataFrame,
                   rules: QualityRules = QualityRules()) -> DataFrame:
-    """Adds ``base_failed``, the least distances to a reference (null where not judged)
-    and ``kept``."""
-    near = lambda shares, key: F.least(
-        *[js_distance(shares, F.array(*[F.lit(float(v)) for v in r[key]])) for r in references],
-        F.lit(1.0), F.lit(1.0))
-    known = F.col("lang").isNull() | F.col("lang").isin([r["lang"] for r in references])
-    judged = known if references else F.lit(False)
+    """Adds ``base_failed``, the distances to the reference of the row's lang (the least to
+    any where it is null; null where not judged) and ``kept``."""
+    own = references.select(F.col("lang").alias("__lang"), F.struct("chars", "common").alias("own"))
+    every = references.agg(F.collect_list(F.struct("chars", "common")).alias("every"))
+    df = features.join(own, F.col("lang") == F.col("__lang"), "left").crossJoin(F.broadcast(every))
+
+    def near(shares: Column, key: str) -> Column:
+        least = F.array_min(F.transform("every", lambda r: js_distance(shares, r[key])))
+        return F.when(F.col("lang").isNull(), least).otherwise(js_distance(shares, F.col("own")[key]))
+
     n = F.col("f.n_words")
-    df = features.withColumns({
-        "char_distance": F.when(judged & (n >= rules.char_words), near(_shares(F.col("f.chars")), "chars")),
-        "word_distance": F.when(judged & (n >= rules.word_words), near(_shares(F.col("f.common")), "common")),
-        "base_failed": base_failed(F.col("f"), rules)})
+    df = df.withColumns({
+        "char_distance": F.when(n >= rules.char_words, near(_shares(F.col("f.chars")), "chars")),
+        "word_distance": F.when(n >= rules.word_words, near(_shares(F.col("f.common")), "common")),
+        "base_failed": base_failed(F.col("f"), rules)}).drop("__lang", "own", "every")
     most = rules.max_char_distance + rules.char_slack / F.sqrt(F.greatest(n, F.lit(1)))
     far = (F.coalesce(F.col("char_distance") > most, F.lit(False))
            | F.coalesce(F.col("word_distance") > rules.max_word_distance, F.lit(False)))

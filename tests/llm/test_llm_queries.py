@@ -408,6 +408,18 @@ def test_quality_counts_equal_brute_force(spark, docs, odd):
     assert [r["n"] for r in words[:2]] == [9, 4]
 
 
+def test_quality_judges_every_language_by_its_own_reference(spark):
+    plain, loud = "words in a row without marks and so on " * 12, "ABC; DEF! 12, GHI? 345: JKL. " * 12
+    mixed = lambda i, t: " ".join(f"{w}{'abcdefgh'[(i + k * k) % 8]}" for k, w in enumerate(t.split()))
+    rows = [(i, mixed(i, plain), "xx") for i in range(60)] + [(100 + i, mixed(i, loud), "fr") for i in range(60)]
+    rows += [(200 + i, mixed(i, plain), "en") for i in range(60)]
+    rows += [(1000, mixed(1, loud), "xx"), (1001, mixed(1, loud), "en"), (1002, mixed(1, loud), None),
+             (1003, mixed(1, loud), "rare")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in quality.quality_filter(df, quality.QualityRules(max_repeat_pct=100, max_word_distance=2.0)).collect()}
+    assert {r[0] for r in rows} - kept >= {1000, 1001} and {1002, 1003, 0, 100, 200} <= kept
+
+
 def test_js_distance(spark):
     d = spark.range(1).select(*[quality.js_distance(F.array(*map(F.lit, a)), F.array(*map(F.lit, b))).alias(str(i))
                                 for i, (a, b) in enumerate([([1.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [0.0, 1.0])])]).first()
