@@ -2,8 +2,9 @@
 
 Two smoothed variable-order Markov models, one of accepted and one of rejected
 URLs, are compared by their length-normalised log-likelihood difference. Both
-are tables of n-gram counts of a fixed number of buckets, so what the driver
-holds and broadcasts is bounded whatever the input.
+are one Spark table of the n-grams that occur, which grows with the input; no two
+n-grams share a count. URLs are scored by joining their n-grams to it; only the
+most frequent ones, at most ``FREQUENT``, are broadcast.
 
 Null URLs and URLs without ``://`` have an empty host and path. Their score is
 the models' score of the empty string; every row gets a verdict. Repeated rows
@@ -17,18 +18,21 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import stored
+
 ORDER = 5            # longest context, in characters
-BUCKET_BITS = 17     # 2^17 buckets of context and n-gram counts: at most 4 MB
+FREQUENT = 10_000    # one n-gram of so many occurrences is summed without a join
 SMOOTHING = 2.0      # weight of the shorter context's estimate
 ALPHABET = 256       # characters beyond it share the last symbol
 BINS = 400           # of the calibration histogram, over scores from -4 to 4
 RANGE = 4.0
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+BITS = 9             # of a symbol in a gram: 6 symbols fit a long
+UNIT = 1e12          # scores are summed as whole multiples of 1 / UNIT, in any order alike
 
 
 @dataclass(frozen=True)
@@ -67,105 +71,106 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
-def _grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of every (order, character): contexts, n-grams, and the text's number.
-    Each text starts after ORDER start symbols and ends with an end symbol."""
-    mask, shift = np.uint64((1 << BUCKET_BITS) - 1), np.uint64(64 - BUCKET_BITS)
-    codes = [np.zeros(ORDER, np.uint64)]
-    owner = [np.zeros(ORDER, np.int64)]
+def _grams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every character, which is it (lowest BITS) and the ORDER before it, and
+    the text's number. Each text starts after ORDER start symbols and ends with an end
+    symbol."""
+    codes = [np.zeros(ORDER, np.int64)]
+    owner = [np.full(ORDER, -1)]
     for i, t in enumerate(texts):
         c = np.minimum(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32), ALPHABET - 2) + 1
-        codes += [c.astype(np.uint64), np.array([ALPHABET], np.uint64), np.zeros(ORDER, np.uint64)]
+        codes += [c.astype(np.int64), np.array([ALPHABET]), np.zeros(ORDER, np.int64)]
         owner += [np.full(len(c) + 1, i), np.full(ORDER, -1)]
     x, who = np.concatenate(codes), np.concatenate(owner)
-    who[:ORDER] = -1
     at = np.flatnonzero(who >= 0)
-    contexts, grams = [], []
-    h = np.zeros(len(at), np.uint64)
-    for order in range(ORDER + 1):
-        if order:
-            h = (h ^ (x[at - order] + np.uint64(1))) * _MIX
-            h ^= h >> np.uint64(29)
-        base = (h + np.uint64(order + 1)) * _MIX
-        contexts.append(((base >> shift) & mask).astype(np.int64))
-        g = (base ^ (x[at] + np.uint64(7))) * _MIX
-        g ^= g >> np.uint64(31)
-        grams.append((((g * _MIX) >> shift) & mask).astype(np.int64))
-    return np.stack(contexts), np.stack(grams), who[at]
-
+    return sum(x[at - k] << (BITS * k) for k in range(ORDER + 1)), who[at]
 
-@dataclass
-class UrlModel:
-    """Counts by bucket of both classes, and the calibrated threshold."""
 
-    contexts: np.ndarray    # [2, buckets]: rejected, accepted
-    grams: np.ndarray
-    threshold: float = 0.0
-
-    @property
-    def usable(self) -> bool:
-        return bool((self.contexts.sum(axis=1) > 0).all())
-
-    def scores(self, texts: Sequence[str]) -> np.ndarray:
-        """Mean over characters of log p(accepted model) - log p(rejected model)."""
-        if not len(texts):
-            return np.zeros(0)
-        contexts, grams, who = _grams(texts)
-        logs = []
-        for k in (0, 1):
-            p = np.full(contexts.shape[1], 1.0 / (ALPHABET + 1))
-            for order in range(ORDER + 1):
-                n, c = self.contexts[k][contexts[order]], self.grams[k][grams[order]]
-                p = (np.minimum(c, n) + SMOOTHING * p) / (n + SMOOTHING)
-            logs.append(np.log(p))
-        total = np.bincount(who, weights=logs[1] - logs[0], minlength=len(texts))
-        return total / np.bincount(who, minlength=len(texts))
-
-
-def _count(texts: Column, label: Column, df: DataFrame) -> DataFrame:
-    """Rows (bucket, kind, label, n): each task sums its own texts first."""
-    size = 1 << BUCKET_BITS
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """Rows (gram, n, n0, n1) from (t, y): occurrences in all texts, and in the rejected
+    and accepted ones to learn from (y 0, 1, else null). Each batch sums its own first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                grams, who = _grams(b.column(0).to_pylist())
+                y = pc.fill_null(b.column(1), -1).to_numpy()[who]
+                gram, at = np.unique(grams, return_inverse=True)
+                count = lambda rows, at=at, gram=gram: np.bincount(at[rows], minlength=len(gram))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v) for v in (gram, count(y > -2), count(y == 0), count(y == 1))],
+                    names=["gram", "n", "n0", "n1"])
+
+    return (texts.select("t", "y").mapInArrow(run, "gram long, n long, n0 long, n1 long").groupBy("gram")
+            .agg(*[F.sum(c).alias(c) for c in ("n", "n0", "n1")]))
+
+
+def gram_scores(counts: DataFrame) -> DataFrame:
+    """Rows (gram, n, s): log p(accepted model) - log p(rejected model) of the gram's last
+    character after the others, times UNIT. From order to order, at most ALPHABET + 1
+    grams share a context or a shorter gram, so no key is large."""
+    below = None
+    for order in range(ORDER + 1):
+        gram = F.col("gram").bitwiseAND(F.lit((1 << (BITS * (order + 1))) - 1))
+        own = counts.groupBy(gram.alias("gram")).agg(*[F.sum(c).alias(c) for c in ("n", "n0", "n1")])
+        context = Window.partitionBy(F.shiftright("gram", BITS))
+        own = own.withColumns({f"c{k}": F.sum(f"n{k}").over(context) for k in (0, 1)})
+        if below is None:
+            own = own.withColumns({f"q{k}": F.lit(1.0 / (ALPHABET + 1)) for k in (0, 1)})
+        else:
+            short = F.col("gram").bitwiseAND(F.lit((1 << (BITS * order)) - 1))
+            own = own.withColumn("short", short).join(below, "short")
+        below = own.select("gram", "n", *[((F.col(f"n{k}") + SMOOTHING * F.col(f"q{k}"))
+                                           / (F.col(f"c{k}") + SMOOTHING)).alias(f"q{k}") for k in (0, 1)])
+        if order < ORDER:
+            below = below.select(F.col("gram").alias("short"), "q0", "q1")
+    return below.select("gram", "n", F.round((F.log("q1") - F.log("q0")) * UNIT).cast("long").alias("s"))
+
+
+def score_texts(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """Rows (id, score) from (id, t): mean over characters of the grams' scores. A text's
+    frequent grams are summed in its task; the others are joined to the model."""
+    total = model.agg(F.sum("n")).first()[0] or 0
+    top = model.where(F.col("n") * FREQUENT >= total).select("gram", "s").orderBy("gram").toArrow()
+    shared = texts.sparkSession.sparkContext.broadcast((top["gram"].to_numpy(), top["s"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((2, 2, size), np.int64)     # label, kind, bucket
+        known, value = shared.value
         for b in batches:
-            t, y = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy()
-            for k in (0, 1):
-                if len(own := t[y == k]):
-                    contexts, grams, _ = _grams(own)
-                    totals[k, 0] += np.bincount(contexts.ravel(), minlength=size)
-                    totals[k, 1] += np.bincount(grams.ravel(), minlength=size)
-        k, kind, bucket = np.nonzero(totals)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket.astype(np.int32)), pa.array(kind.astype(np.int32)),
-             pa.array(k.astype(np.int32)), pa.array(totals[k, kind, bucket])],
-            names=["bucket", "kind", "label", "n"])
-
-    rows = df.select(texts.alias("t"), label.cast("int").alias("y"))
-    return (rows.mapInArrow(run, "bucket int, kind int, label int, n long")
-            .groupBy("bucket", "kind", "label").agg(F.sum("n").alias("n")))
-
-
-def fit_url_model(df: DataFrame, text: Column, accepted: Column) -> UrlModel:
-    """Models from all rows where ``accepted`` is not null: counts from four fifths
-    of the distinct texts (by hash), the threshold from the others. The counts that
-    reach the driver are sums by bucket, at most 4 * 2^BUCKET_BITS rows."""
-    rows = (df.select(text.alias("t"), accepted.alias("y")).where("y is not null and t is not null")
-            .groupBy("t").agg(F.max("y").alias("y")))
-    fold = F.pmod(F.xxhash64("t"), F.lit(5))
-    size = 1 << BUCKET_BITS
-    model = UrlModel(np.zeros((2, size)), np.zeros((2, size)))
-    table = _count(F.col("t"), F.col("y"), rows.where(fold != 0)).toArrow()
-    for kind, target in ((0, model.contexts), (1, model.grams)):
-        part = table.filter(pa.compute.equal(table["kind"], kind))
-        target[part["label"].to_numpy(), part["bucket"].to_numpy()] = part["n"].to_numpy()
-    if model.usable:
-        held = rows.where(fold == 0)
-        scored = held.select("y", _scorer(model, held)(F.col("t")).alias("s"))
-        at = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("s") + RANGE) * BINS / (2 * RANGE))))
-        counts = scored.groupBy(F.col("y").cast("int").alias("y"), at.alias("bin")).count().collect()
-        model.threshold = _threshold(counts)
-    return model
+            if b.num_rows:
+                grams, who = _grams(b.column(1).to_pylist())
+                at = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
+                hit = known[at] == grams if len(known) else np.zeros(len(grams), bool)
+                summed = np.zeros(b.num_rows, np.int64)
+                np.add.at(summed, who[hit], value[at[hit]])
+                ids = b.column(0).to_numpy()
+                none = np.zeros((~hit).sum(), np.int64)
+                # a text's own row has a gram that no other has, and none of the model
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(v)) for v in (
+                        (ids, ids[who[~hit]]), (-1 - ids, grams[~hit]), (summed, none),
+                        (np.bincount(who, minlength=b.num_rows), none))], names=["id", "gram", "own", "n"])
+
+    rows = texts.select("id", "t").mapInArrow(run, "id long, gram long, own long, n long")
+    joined = rows.join(model.select("gram", "s"), "gram", "left")
+    return joined.groupBy("id").agg(
+        (F.sum(F.col("own") + F.coalesce("s", F.lit(0))) / F.sum("n") / UNIT).alias("score"))
+
+
+def fit_and_score(df: DataFrame, text: Column, accepted: Column) -> tuple[DataFrame | None, float]:
+    """Scores (t, score) of all distinct texts, and the threshold. The models learn from
+    four fifths of the texts (by hash) where ``accepted`` is not null, the threshold from
+    the others. None if a class has no text to learn from."""
+    rows = df.select(text.alias("t"), accepted.cast("int").alias("y")).groupBy("t").agg(F.max("y").alias("y"))
+    texts = stored(rows.withColumn("id", F.monotonically_increasing_id()))
+    held = F.pmod(F.xxhash64("t"), F.lit(5)) == 0
+    counts = stored(gram_counts(texts.select("t", F.when(~held, F.col("y")).alias("y"))))
+    learnt = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not (learnt["n0"] and learnt["n1"]):
+        return None, 0.0
+    scored = stored(texts.join(score_texts(texts, stored(gram_scores(counts))), "id").select("t", "y", "score"))
+    at = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("score") + RANGE) * BINS / (2 * RANGE))))
+    bins = scored.where(held & F.col("y").isNotNull()).groupBy("y", at.alias("bin")).count().collect()
+    return scored.select("t", "score"), _threshold(bins)
 
 
 def _threshold(counts: list) -> float:
@@ -185,16 +190,6 @@ def _threshold(counts: list) -> float:
     return float(mid * 2 * RANGE / BINS - RANGE)
 
 
-def _scorer(model: UrlModel, df: DataFrame):
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores(texts.fillna("").tolist()))
-
-    return score
-
-
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url",
                keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """``keep`` columns, host, path, rule (pattern or null), score and verdict of every
@@ -207,8 +202,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], *, url: str = "url",
     allowed = F.col("rule").isin([r.pattern for r in rules if r.verdict == "allow"])
     decided = F.when(F.col("rule").isNotNull(), allowed)
     rest = F.regexp_replace(F.coalesce(F.col("__url"), F.lit("")), r"(?s)^.*?://", "")
-    model = fit_url_model(df, rest, decided)
-    scored = df.withColumn("score", _scorer(model, df)(rest) if model.usable else F.lit(0.0))
-    by_model = F.col("score") >= F.lit(model.threshold)
-    verdict = F.when(F.coalesce(decided, by_model), F.lit("allow")).otherwise(F.lit("block"))
+    scores, threshold = fit_and_score(df, rest, decided)
+    if scores is None:
+        scored = df.withColumn("score", F.lit(0.0))
+    else:
+        scored = df.withColumn("__t", rest).join(scores.withColumnRenamed("t", "__t"), "__t", "left").drop("__t")
+    verdict = F.when(F.coalesce(decided, F.col("score") >= F.lit(threshold)), F.lit("allow")).otherwise(F.lit("block"))
     return scored.withColumn("verdict", verdict).drop("__url")

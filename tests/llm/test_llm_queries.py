@@ -382,6 +382,38 @@ def test_url_rules_and_models(spark):
         assert r["verdict"] == best.verdict if best else r["verdict"] in ("allow", "block")
 
 
+def test_url_models_equal_exact_counts(spark):
+    import math
+    import random
+
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz0123456789/.-") for _ in range(40)) for _ in range(3000)]
+    df = spark.createDataFrame([(t, i % 3) for i, t in enumerate(texts)], "t string, c int")
+    scores, _ = urls.fit_and_score(df, F.col("t"), F.when(F.col("c") < 2, F.col("c") == 1))
+    got = {r["t"]: r["score"] for r in scores.collect()}
+    learnt = {r["t"] for r in df.where(F.pmod(F.xxhash64("t"), F.lit(5)) != 0).collect()}
+    assert set(got) == set(texts)
+    context, gram = ([collections.Counter(), collections.Counter()] for _ in "ab")
+    pad = lambda t: ["<"] * 5 + list(t) + [">"]
+    for i, t in enumerate(texts):
+        if i % 3 < 2 and t in learnt:
+            x = pad(t)
+            for j in range(5, len(x)):
+                for k in range(6):
+                    context[i % 3][k, tuple(x[j - k:j])] += 1
+                    gram[i % 3][k, tuple(x[j - k:j + 1])] += 1
+    for t in texts[:60]:
+        x, logs = pad(t), [0.0, 0.0]
+        for y in (0, 1):
+            for j in range(5, len(x)):
+                p = 1 / 257
+                for k in range(6):
+                    n, c = context[y][k, tuple(x[j - k:j])], gram[y][k, tuple(x[j - k:j + 1])]
+                    p = (c + 2 * p) / (n + 2)
+                logs[y] += math.log(p)
+        assert got[t] == pytest.approx((logs[1] - logs[0]) / (len(t) + 1), abs=1e-9)
+
+
 def brute_quality(text):
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text or "") if x]
     t = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
