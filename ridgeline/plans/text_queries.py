@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions.rules import normalise_label
@@ -40,6 +40,25 @@ def matched(spark: SparkSession, d: str, it: DataFrame | None = None) -> DataFra
     return enrich.consolidate_matches(m, "track_id")
 
 
+def matched_texts(spark: SparkSession, d: str) -> DataFrame:
+    """D3-D5 with the texts: items matched by title alone, and per track the texts of the
+    title's documents in order. Only documents of a wanted title are read into a join. A
+    track of one item has its title's text as it is, so only other tracks' are shuffled."""
+    spellings = F.count(F.lit(1)).over(Window.partitionBy("track_id"))
+    it = materialize(items(spark, d).withColumn("spellings", spellings))
+    p = table(spark, d, "part", ["p_partkey", "p_name"])
+    titles = p.join(it.select(F.col("name").alias("p_name")).distinct(), "p_name", "left_semi")
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    by_title = enrich.assemble_text(
+        docs.join(titles, docs.doc_id == titles.p_partkey), "p_name", "text", ["doc_id", "text"],
+        keep_max=["lang"], out="lyrics", parts=None).withColumnRenamed("lang", "language")
+    texts = lambda own: enrich.match_items(own, by_title, [("name", "p_name")]).filter(
+        F.col("lyrics").isNotNull() & F.col("language").isNotNull())
+    more = enrich.assemble_text(texts(it.filter("spellings > 1")), "track_id", "lyrics", ["name", "artists"],
+                                keep_max=["language"], parts=None)
+    return texts(it.filter("spellings = 1")).select("track_id", "lyrics", "language").unionByName(more)
+
+
 def unmatched(spark: SparkSession, d: str) -> DataFrame:
     # Items feed both sides of the anti join; they are few (top-k per
     # country-year), so they are materialised once instead of recomputing
@@ -170,6 +189,17 @@ def q_text_match(spark, d):
     return matched(spark, d)
 
 
+@register("text_match_lyrics", with_ctes(*TEXT_CTES, body="""
+SELECT track_id, string_agg(lyrics, ' ' ORDER BY name, artists) AS lyrics, max(language) AS language
+FROM items JOIN (
+  SELECT title, string_agg(lyrics, ' ' ORDER BY id, lyrics) AS lyrics, max(language) AS language
+  FROM corpus GROUP BY title) t ON name = title
+WHERE t.lyrics IS NOT NULL AND t.language IS NOT NULL
+GROUP BY track_id"""))
+def q_text_match_lyrics(spark, d):
+    return matched_texts(spark, d)
+
+
 @register("text_unmatched", with_ctes(*TEXT_CTES, body="SELECT * FROM unmatched"))
 def q_text_unmatched(spark, d):
     return unmatched(spark, d)
