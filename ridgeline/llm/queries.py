@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,11 @@ from ridgeline.llm import (
     jaccard,
     packing,
     quality,
+    runs,
     secrets,
     sharding,
+    simhash,
+    spelling,
     tokens,
     toxicity,
     urls,
@@ -112,9 +117,64 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "f.n_repeat_words", "base_failed", "kept")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the words of all documents, one run in 97 with a letter left out."""
+    found = spelling.letter_runs(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    name = F.concat(F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    found = found.select("run", F.crc32(name.cast("binary")).alias("h"))
+    at = F.pmod("h", F.char_length("run")).cast("int")
+    short = F.concat(F.col("run").substr(F.lit(1), at), F.col("run").substr(at + 2, F.char_length("run")))
+    words = found.select(F.when(F.col("h") % 97 == 0, short).otherwise(F.col("run")).alias("word"))
+    counts = (words.where(F.char_length("word") >= 5).groupBy("word").agg(F.count("*").alias("n"))
+              .where("n >= 3"))
+    return spelling.spelling_variants(counts)
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and its component over fingerprints at most 2 bits apart."""
+    rows = simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def periodic_tenth(doc: dict, n: int) -> np.ndarray | None:
+    """Places of the words of a document: one in ten repeats a phrase from some word on."""
+    if doc["doc_id"] is None or not n:
+        return None
+    h = zlib.crc32(str(doc["doc_id"]).encode())
+    if h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % (1 + (n - a) // (3 + g % 8))
+    return places
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, the strongest of them, and its words without repeats."""
+    rows = runs.detect_runs(table(spark, sf_dir, "documents"), keep=("doc_id",), arrange=periodic_tenth)
+
+    def stronger(x: Column, y: Column) -> Column:
+        a, b = x["length"] * y["period"], y["length"] * x["period"]
+        return (F.when(a != b, F.when(a > b, -1).otherwise(1))
+                .when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1))
+                .when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0))
+
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n"))))
+    best = F.get(F.array_sort("runs", stronger), F.lit(0))
+    return (rows.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_jaccard_join, op3_decontamination, op4_token_files, op5_toxicity, op6_sharding,
-    op7_secrets, op8_warc_audit, op9_url_filter, op10_quality)}
+    op7_secrets, op8_warc_audit, op9_url_filter, op10_quality, op11_spelling_variants, op12_simhash,
+    op13_periodic_runs)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL: dict[str, str] = {
