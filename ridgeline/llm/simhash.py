@@ -53,6 +53,7 @@ class SimHash:
     leaf: int = 4096                 # stored fingerprints of a cell
     work: int = 1 << 28              # comparisons of a cell
     hashes: int = 250_000            # hashes whose bits are counted at a time
+    shares: int = 16                 # tasks to which the copies of one fingerprint are dealt
 
 
 def shingle_hashes(text: Column, size: int) -> Column:
@@ -234,9 +235,16 @@ def simhash_duplicates(docs: DataFrame, method: SimHash = SimHash(), *, key: str
                        text: str = "text") -> DataFrame:
     """Rows key, fp (long), component_id (least key reachable over links of fingerprints)."""
     rows = stored(fingerprints(docs, method, key=key, text=text))
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc").alias("least")))
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc").alias("least"), F.count("*").alias("n")))
     classes = components(near_links(distinct.select("fp"), method)).withColumnRenamed("node", "fp")
     least = (distinct.join(classes, "fp").groupBy("class").agg(F.min("least").alias("component_id")))
     of_fp = distinct.join(classes.join(least, "class"), "fp", "left").select(
-        "fp", F.when(F.col("class").isNotNull(), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    return rows.join(of_fp, "fp").select(F.col("doc").alias(key), "fp", "component_id")
+        "fp", "n", "class", F.when(F.col("class").isNotNull(), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
+    # a fingerprint of one document without links names it itself; the others' components are
+    # dealt to several tasks, so that many copies of one text are not one task's
+    shares = F.sequence(F.lit(0), F.lit(method.shares - 1))
+    of_many = of_fp.where((F.col("n") > 1) | F.col("class").isNotNull()).select(
+        "fp", "component_id", F.explode(shares).alias("share"))
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("doc"), F.lit(method.shares)).cast("int"))
+    return dealt.join(of_many, ["fp", "share"], "left").select(
+        F.col("doc").alias(key), "fp", F.coalesce("component_id", "doc").alias("component_id"))
