@@ -1,17 +1,18 @@
 """Language detection from a word profile, re-labelling of unknown
 values, distinct and frequent values.
 
-Detection is a Spark job, not a per-row library call: texts are split into
-lower-cased letter runs, exploded, joined to a (token, language) profile,
-and the hits are counted per (document, language). The default profile is a
-fixed word list (its size does not grow with the data), so it is broadcast.
+Detection by words counts the hits of each language's words in a text. For a
+fixed list this happens within the row (``label_by_words``); for a profile given
+as a frame the texts' letter runs are joined to it and counted per document and
+language (``detect_language``). ``operators.ngrams`` learns n-gram profiles.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -96,6 +97,32 @@ def detect_language(df: DataFrame, key: str, text: str, *, profile: DataFrame |
         F.coalesce("second_hits", F.lit(0).cast("long")).alias("second_hits"))
 
 
+def label_by_words(df: DataFrame, text: str, *, words: Mapping[str, Sequence[str]] = FUNCTION_WORDS,
+                   min_hits: int = 3, min_ratio: float = 2.0, out: str = "detected",
+                   unknown: str | None = UNKNOWN) -> DataFrame:
+    """D10 for a fixed word list, within each row: the columns of ``df`` and out, best_hits and
+    second_hits by the rules of ``detect_language``, without a join or a shuffle. One scan of
+    the text finds all listed words; they are then counted per language."""
+    by_lang: dict[str, list[str]] = {}
+    for w, lang in profile_rows(words):
+        by_lang.setdefault(lang, []).append(w)
+    alt = "|".join(re.escape(w) for w in sorted((w for ws in by_lang.values() for w in ws), key=lambda w: (-len(w), w)))
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(rf"(?<!\p{{L}})(?:{alt})(?!\p{{L}})"), 0)
+
+    def count(lang: str) -> Column:
+        listed = F.array(*[F.lit(w) for w in by_lang[lang]])
+        n = F.size(F.filter("__found", lambda w: F.array_contains(listed, w)))
+        return F.struct((-n).cast("long").alias("minus"), F.lit(lang).alias("lang"))
+
+    marked = df.withColumn("__found", F.coalesce(found, F.array().cast("array<string>"))).withColumn(
+        "__ranked", F.array_sort(F.array(*[count(lang) for lang in by_lang])))
+    best, second = F.get("__ranked", F.lit(0)), F.get("__ranked", F.lit(1))
+    best_hits, second_hits = -best["minus"], -second["minus"]
+    reliable = (best_hits >= min_hits) & (best_hits >= F.lit(min_ratio) * second_hits)
+    return (marked.withColumns({out: F.when(reliable, best["lang"]).otherwise(F.lit(unknown).cast("string")),
+                                "best_hits": best_hits, "second_hits": second_hits}).drop("__found", "__ranked"))
+
+
 def recheck_unknown(df: DataFrame, col: str, detected: str, *, sentinel: str = "no",
                     drop_null: bool = False) -> DataFrame:
     """Replace the sentinel by the detected value in one pass.

@@ -1,8 +1,9 @@
 """Route by language, chunk, score chunks, normalise labels, count
 and vote -- one job for every language instead of one script per language.
 
-The default scorer is a word lexicon counted with one regular-expression
-scan per chunk (JVM-side, no Python worker, no shuffle). A user-supplied
+Chunks are scored by a word list counted with one regular-expression scan per
+chunk (JVM-side, no Python worker, no shuffle), or by a lexicon learnt from the
+corpus (``operators.polarity``). A user-supplied
 model can be plugged in with ``score_chunks_with`` (Arrow batches through
 ``mapInPandas``; the callable is created once per Python worker).
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.rules import NEGATIVE, NEUTRAL, POSITIVE, majority_label
+from ridgeline.operators.polarity import polarity_hits
 
 # ---- fixed values: polarity word lists ------------------------------------
 POSITIVE_WORDS = (
@@ -198,15 +200,27 @@ def score_chunks_lexicon(df: DataFrame, chunk: str = "chunk", *,
            .withColumn("pos_hits", F.size(F.filter("__found", lambda w: F.array_contains(pos_arr, w))))
            .withColumn("neg_hits", F.size(F.filter("__found", lambda w: F.array_contains(neg_arr, w))))
            .drop("__found"))
+    return raw_outputs(out)
+
+
+def raw_outputs(df: DataFrame) -> DataFrame:
+    """``stars``, ``label`` and ``score`` from the columns pos_hits and neg_hits."""
     diff = F.least(F.greatest(F.col("pos_hits") - F.col("neg_hits"), F.lit(-2)), F.lit(2)) + 3
     stars = F.when(diff == 1, F.lit("1 star")).otherwise(F.concat(diff.cast("string"), F.lit(" stars")))
     win = F.greatest("pos_hits", "neg_hits")
-    return (out.withColumn("stars", stars)
+    return (df.withColumn("stars", stars)
             .withColumn("label", F.when(F.col("pos_hits") >= F.col("neg_hits"), F.lit("LABEL_1"))
                         .otherwise(F.lit("LABEL_0")))
             .withColumn("score", (win + 1) / (F.col("pos_hits") + F.col("neg_hits") + 2)))
 
 
+def score_chunks_polarity(chunks: DataFrame, keys: Sequence[str], lexicon: DataFrame, *, lang: str = "lang",
+                          chunk: str = "chunk") -> DataFrame:
+    """E5 (learnt scorer): the same outputs from the polarity lexicon of the corpus
+    (``operators.polarity``), one row per chunk: keys, lang, hits, stars, label, score."""
+    return raw_outputs(polarity_hits(chunks, keys, lexicon, lang=lang, chunk=chunk))
+
+
 def score_chunks_with(df: DataFrame, make_scorer: Callable[[], Callable], chunk: str = "chunk",
                       label: str = "label", score: str = "score") -> DataFrame:
     """E5 (plug-in scorer): ``make_scorer()`` is called once per Python

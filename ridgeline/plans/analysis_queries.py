@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.functions.distributions import f_test_p, t_test_p
-from ridgeline.operators import distribution, enrich, ranking, reshape, stats
+from ridgeline.operators import distribution, enrich, ranking, regression, reshape, stats
 from ridgeline.operators.facts import display_name
 from ridgeline.plans import views
 from ridgeline.plans.chart_queries import CHART_CTES, chart_top
@@ -187,9 +187,9 @@ mood_scores AS (
   SELECT year, country,
          {', '.join(f'round(coalesce({m}, 0) / {MOOD_N} * 10, 6) AS {m}' for m in MOODS)},
          happiness, developed_country,
-         round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10, 6) AS comb,
-         round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10
-               + 0.5 * (coalesce(neutral, 0) / {MOOD_N} * 10), 6) AS in_one
+         coalesce(nullif(round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10, 6), 0), 0) AS comb,
+         coalesce(nullif(round(coalesce(positive, 0) / {MOOD_N} * 10 - coalesce(negative, 0) / {MOOD_N} * 10
+               + 0.5 * (coalesce(neutral, 0) / {MOOD_N} * 10), 6), 0), 0) AS in_one
   FROM mood_facts
 )"""
 
@@ -328,6 +328,60 @@ def q_mood_ols_two(spark, d):
     return stats.ols_two(mood_scores(spark, d), "happiness", "comb", "neutral")
 
 
+# The outcome on the moods: m0 without and m1 with the flag in every term, m3 on the score of all
+# moods, m4 on the flag alone. Terms of one call share one pass over the scores.
+MOOD_Y, MOOD_FLAG = "happiness", "developed_country"
+MOOD_MODELS = {
+    "m0": ["comb", "neutral"],
+    "m1": ["comb", "neutral", MOOD_FLAG, f"comb:{MOOD_FLAG}", f"neutral:{MOOD_FLAG}"],
+    "m3": regression.interacted(["in_one"], MOOD_FLAG),
+    "m4": [MOOD_FLAG],
+}
+MOOD_FIT_CTES = MOOD_CTES + tuple(regression.fits_sql("mood_scores", MOOD_Y, MOOD_MODELS, "mood"))
+
+
+def _each_model(select: str) -> str:
+    return " UNION ALL ".join(select.format(m=m) for m in MOOD_MODELS)
+
+
+@register("mood_models", with_ctes(*MOOD_FIT_CTES, body=_each_model("""
+SELECT '{m}' AS model, term, round(estimate, 6) AS estimate,
+       round(sqrt(rss / (n - 1 - rank) * factor), 6) AS std_error,
+       round(estimate / sqrt(rss / (n - 1 - rank) * factor), 6) AS t_value, n - 1 - rank AS df FROM mood_{m}""")))
+def q_mood_models(spark, d):
+    """Coefficients of every mood model, from one aggregate of the scores."""
+    return regression.coefficient_table(regression.fit_models(mood_scores(spark, d), MOOD_Y, MOOD_MODELS))
+
+
+@register("mood_model_fit", with_ctes(*MOOD_FIT_CTES, body=_each_model(f"""
+SELECT '{{m}}' AS model, round(1 - rss / tss, 6) AS r2, round(1 - (rss / tss) * (n - 1) / (n - 1 - rank), 6) AS adj_r2,
+       {stats.significant_sql('rss')} AS rss, n, n - 1 - rank AS df FROM mood_{{m}} WHERE place = 0""")))
+def q_mood_model_fit(spark, d):
+    return regression.model_table(regression.fit_models(mood_scores(spark, d), MOOD_Y, MOOD_MODELS))
+
+
+@register("mood_anova", with_ctes(*MOOD_FIT_CTES, body=f"""
+SELECT {stats.significant_sql('a.rss')} AS rss0, a.n - 1 - a.rank AS df0,
+       {stats.significant_sql('b.rss')} AS rss1, b.n - 1 - b.rank AS df1,
+       {stats.significant_sql('((a.rss - b.rss) / (b.rank - a.rank)) / (b.rss / (b.n - 1 - b.rank))')} AS f
+FROM mood_m0 a, mood_m1 b WHERE a.place = 0 AND b.place = 0"""))
+def q_mood_anova(spark, d):
+    """Does the flag add to the moods? One pass, one sweep of the larger model."""
+    a = regression.nested_anova(mood_scores(spark, d), MOOD_Y, MOOD_MODELS["m0"], MOOD_MODELS["m1"])
+    return a.withColumns({k: F.col(k).cast("long") for k in ("df0", "df1")})
+
+
+@register("mood_anova_terms", with_ctes(*MOOD_FIT_CTES, body=f"""
+SELECT 'm1' AS model, CAST(place - 1 AS INTEGER) AS place, term, CAST(estimate IS NOT NULL AS INTEGER) AS df,
+       CASE WHEN estimate IS NOT NULL THEN {stats.significant_sql('before - rss_after')} END AS sum_sq,
+       CASE WHEN estimate IS NOT NULL THEN {stats.significant_sql('(before - rss_after) / (rss / (n - 1 - rank))')} END AS f
+FROM (SELECT *, lag(rss_after) OVER (ORDER BY place) AS before FROM mood_m1) WHERE place > 0"""))
+def q_mood_anova_terms(spark, d):
+    """The terms of m1 one after the other."""
+    fits = regression.fit_models(mood_scores(spark, d), MOOD_Y, {"m1": MOOD_MODELS["m1"]})
+    return regression.sequential_anova(fits)
+
+
 @register("mood_corr", with_ctes(*MOOD_CTES, body=stats.correlation_matrix_sql(
     "mood_scores", ["happiness", "positive", "neutral", "negative", "comb"], group=["developed_country"])))
 def q_mood_corr(spark, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.rules import normalise_label
 from ridgeline.functions.text import first_of_list_literal
-from ridgeline.operators import batching, enrich, language, sentiment
+from ridgeline.operators import batching, enrich, language, ngrams, polarity, sentiment
 from ridgeline.plans import views
 from ridgeline.plans.chart_queries import CHART_CTES, chart_top
 from ridgeline.plans.registry import register, with_ctes
@@ -67,15 +67,42 @@ def unmatched(spark: SparkSession, d: str) -> DataFrame:
     return enrich.without_match(it, matched(spark, d, it), "track_id")
 
 
+def mood_chunks(docs: DataFrame) -> DataFrame:
+    return sentiment.explode_chunks(sentiment.route_by_language(docs, "lang", ROUTES), "text", size=CHUNK_CHARS)
+
+
+def learn_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    chunks = mood_chunks(table(spark, d, "documents", ["doc_id", "text", "lang"]))
+    return polarity.learn_polarity(chunks, ["doc_id", "chunk_no"], sentiment.POSITIVE_WORDS, sentiment.NEGATIVE_WORDS)
+
+
+_LEXICONS: dict[tuple, DataFrame] = {}
+
+
+def mood_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """The lexicon of the documents as they are now, learnt once per application and stored as
+    a table in the shared folder; other files (path, size, time) are learnt anew."""
+    about = table(spark, d, "documents").select("_metadata.file_path", "_metadata.file_size",
+                                                "_metadata.file_modification_time").distinct()
+    seen = about.agg(F.sum(F.xxhash64(*about.columns).cast("decimal(38,0)")), F.count("*")).first()
+    key = (spark.sparkContext.applicationId, d, *seen)
+    if key not in _LEXICONS:
+        _LEXICONS.clear()
+        _LEXICONS[key] = materialize(learn_lexicon(spark, d), as_table=True)
+    return _LEXICONS[key]
+
+
 def moods(spark: SparkSession, d: str, docs: DataFrame | None = None) -> DataFrame:
-    """Mood per document: route -> chunk -> lexicon score -> normalise ->
-    count -> vote. Output (track_id, language, counts..., mood). ``docs``
-    restricts the documents (default: all)."""
+    """Mood per document: route -> chunk -> score -> normalise -> count ->
+    vote. Output (track_id, language, counts..., mood). The scorer's lexicon
+    is learnt from all routed documents; ``docs`` restricts the documents that
+    are scored (default: all)."""
     if docs is None:
         docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
-    routed = sentiment.route_by_language(docs, "lang", ROUTES)
-    chunks = sentiment.explode_chunks(routed, "text", size=CHUNK_CHARS)
-    scored = sentiment.score_chunks_lexicon(chunks)
+    chunks = mood_chunks(docs)
+    key = ["doc_id", "chunk_no"]
+    lexicon = mood_lexicon(spark, d)
+    scored = sentiment.score_chunks_polarity(chunks, [*key, "route"], lexicon)
     label = (F.when(F.col("route") == "stars", normalise_label("stars", rule="stars"))
              .when(F.col("route") == "binary_threshold",
                    normalise_label("label", "score", "binary_threshold", threshold=THRESHOLD)))
@@ -131,18 +158,23 @@ routed AS (
   SELECT doc_id, lang, text, {_route_case()} AS route FROM documents
 ),
 chunked AS (
-  SELECT doc_id, lang, route, substring(text, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS}) AS chunk FROM (
+  SELECT doc_id, lang, route, i, substring(text, i * {CHUNK_CHARS} + 1, {CHUNK_CHARS}) AS chunk FROM (
     SELECT *, unnest(range(0, CAST(ceil(length(text) / {CHUNK_CHARS}) AS BIGINT))) AS i
     FROM routed WHERE route IS NOT NULL)
+),{polarity.lexicon_sql('chunked', "concat_ws(':', doc_id, i)", sentiment.POSITIVE_WORDS, sentiment.NEGATIVE_WORDS,
+                        _LETTERS.format(x='chunk'))},
+hits AS (
+  SELECT doc_id, i, sum(CAST(polarity > 0 AS INTEGER)) AS pos, sum(CAST(polarity < 0 AS INTEGER)) AS neg
+  FROM (SELECT doc_id, i, lang, unnest({_LETTERS.format(x='chunk')}) AS word FROM chunked) JOIN lexicon USING (lang, word)
+  GROUP BY doc_id, i
 ),
 scored AS (
   SELECT *, least(greatest(pos_hits - neg_hits, -2), 2) + 3 AS stars_n,
          CASE WHEN pos_hits >= neg_hits THEN 'LABEL_1' ELSE 'LABEL_0' END AS label,
          (greatest(pos_hits, neg_hits) + 1) / (pos_hits + neg_hits + 2) AS score
   FROM (
-    SELECT *, len(list_filter(toks, lambda t: list_contains({_sql_list(sentiment.POSITIVE_WORDS)}, t))) AS pos_hits,
-              len(list_filter(toks, lambda t: list_contains({_sql_list(sentiment.NEGATIVE_WORDS)}, t))) AS neg_hits
-    FROM (SELECT *, {_LETTERS.format(x='chunk')} AS toks FROM chunked))
+    SELECT c.doc_id, c.lang, c.route, coalesce(h.pos, 0) AS pos_hits, coalesce(h.neg, 0) AS neg_hits
+    FROM chunked c LEFT JOIN hits h ON c.doc_id = h.doc_id AND c.i = h.i)
 ),
 labelled AS (
   SELECT doc_id, lang,
@@ -310,8 +342,7 @@ detected AS (
 SELECT doc_id, lang, detected, best_hits, second_hits FROM detected""")
 def q_lang_detect(spark, d):
     docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
-    det = language.detect_language(docs, "doc_id", "text")
-    return docs.select("doc_id", "lang").join(det, "doc_id")
+    return language.label_by_words(docs, "text").drop("text")
 
 
 @register("lang_recheck", "WITH " + _detect_sql() + f"""
@@ -321,8 +352,7 @@ def q_lang_recheck(spark, d):
     """D10 + D11: detected language with the unreliable sentinel replaced by
     a second opinion (here the language recorded with the document)."""
     docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
-    det = language.detect_language(docs, "doc_id", "text", out="language")
-    both = det.join(docs.select("doc_id", "lang"), "doc_id")
+    both = language.label_by_words(docs, "text", out="language")
     return language.recheck_unknown(both, "language", "lang", sentinel=language.UNKNOWN) \
         .select("doc_id", "language")
 
@@ -349,6 +379,12 @@ def q_text_token_chunks(spark, d):
     return sentiment.explode_chunks(docs, "text", mode="tokens", size=CHUNK_TOKENS)
 
 
+@register("mood_lexicon", with_ctes(MOODS_SQL, body="SELECT * FROM lexicon"))
+def q_mood_lexicon(spark, d):
+    """E5: the polarity of words as the corpus gives it, learnt anew at each call."""
+    return learn_lexicon(spark, d)
+
+
 @register("mood_vote", with_ctes(MOODS_SQL, body="SELECT * FROM moods"))
 def q_mood_vote(spark, d):
     return moods(spark, d)
@@ -370,9 +406,12 @@ def q_lang_detect_accuracy(spark, d):
     """D10 report: agreement of the detected language with the language
     recorded for each document, per recorded language."""
     docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
-    det = language.detect_language(docs, "doc_id", "text").join(docs.select("doc_id", "lang"),
-                                                                  "doc_id")
-    return det.groupBy("lang").agg(
+    return agreement(language.label_by_words(docs, "text"))
+
+
+def agreement(labelled: DataFrame) -> DataFrame:
+    """Of each recorded language, how many documents were labelled so."""
+    return labelled.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("detected") == F.col("lang")).alias("n_agree"),
         F.count_if(F.col("detected") == language.UNKNOWN).alias("n_unknown"),
@@ -380,6 +419,49 @@ def q_lang_detect_accuracy(spark, d):
         .alias("agreement"))
 
 
+NGRAM_SQL = ngrams.label_sql("documents", "doc_id", _LETTERS.format(x="text"))
+
+
+def labelled_by_ngrams(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    return ngrams.label_language(docs, "text", "lang", keep=("doc_id", "lang"))
+
+
+@register("lang_ngrams", "WITH " + NGRAM_SQL + "SELECT * FROM by_ngrams")
+def q_lang_ngrams(spark, d):
+    """D10 with profiles learnt from the labelled documents."""
+    return labelled_by_ngrams(spark, d)
+
+
+@register("lang_ngram_accuracy", "WITH " + NGRAM_SQL + """
+SELECT lang, count(*) AS n_docs, CAST(count_if(detected = lang) AS BIGINT) AS n_agree,
+       CAST(count_if(detected = 'und') AS BIGINT) AS n_unknown,
+       round(count_if(detected = lang) / count(*), 6) AS agreement
+FROM by_ngrams GROUP BY lang""")
+def q_lang_ngram_accuracy(spark, d):
+    return agreement(labelled_by_ngrams(spark, d))
+
+
+@register("lang_ngram_profile", "WITH " + NGRAM_SQL + """
+SELECT lang, gram, CAST(place AS INTEGER) AS place FROM ng_profile""")
+def q_lang_ngram_profile(spark, d):
+    return ngrams.learn_profiles(table(spark, d, "documents", ["text", "lang"]), "text", "lang")
+
+
+@register("lang_ngram_recheck", "WITH " + _detect_sql() + "," + NGRAM_SQL + f"""
+SELECT w.doc_id, CASE WHEN w.detected = '{language.UNKNOWN}' THEN n.detected ELSE w.detected END AS language
+FROM detected w JOIN by_ngrams n ON w.doc_id = n.doc_id""")
+def q_lang_ngram_recheck(spark, d):
+    """D10 + D11: labels by words, and by n-grams where the words are not enough; each text is
+    read once for the profiles and once for both labels, without a join."""
+    docs = table(spark, d, "documents", ["doc_id", "text", "lang"])
+    profiles = ngrams.collect_profiles(ngrams.learn_profiles(docs, "text", "lang"))
+    words = language.label_by_words(docs, "text", out="language")
+    both = ngrams.label_by_profiles(words, "text", profiles, keep=("doc_id", "language"))
+    return language.recheck_unknown(both, "language", "detected", sentinel=language.UNKNOWN) \
+        .select("doc_id", "language")
+
+
 # --------------------------------------------- moods over the route table
 def moods_by_language(spark: SparkSession, d: str) -> DataFrame:
     """E1-E8 with the fixed per-language route table: per-language chunking
