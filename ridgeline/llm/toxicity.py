@@ -37,9 +37,9 @@ LENGTHS = (6, 4)            # beginnings of a word that stand for it if it is ra
 @dataclass(frozen=True)
 class Training:
     rows: int = 10_000           # most training rows of each class
-    vocabulary: int = 50_000     # most tokens in the model, those of the most documents
     prior: float = 20.0          # weight of the prior, in documents
     min_documents: int = 4       # support from which a token counts for itself
+    level: float = 0.01          # expected number by chance below which a segment is significant
 
 
 def parts_of(word: str) -> list[str]:
@@ -55,6 +55,7 @@ class Model:
     drift: float
     decay: float = 1.0           # lambda of the extreme-value law
     scale: float = 1.0           # K
+    level: float = 0.01
     slope: float = 0.0
     offset: float = -10.0
 
@@ -134,7 +135,9 @@ def sure_odds(a: float, b: float, toxic: float, other: float, sds: float = 3.0)
 
 def fit_odds(texts: DataFrame, training: Training) -> Model:
     """Log-odds from a frame (text, y). A token counts once per document, so that one
-    document cannot make a token. The driver gets at most ``vocabulary`` rows."""
+    document cannot make a token. Every token of the sample with enough documents is
+    weighed, in the tasks; the driver gets those whose side is sure, which the bounded
+    sample bounds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: Counter = Counter()
@@ -149,18 +152,27 @@ def fit_odds(texts: DataFrame, training: Training) -> Model:
                 [pa.array(seen.keys(), pa.string()), pa.array([toxic[w] for w in seen], pa.int64()),
                  pa.array(seen.values(), pa.int64())], names=["token", "toxic", "n"])
 
-    counts = (texts.select("text", "y").mapInArrow(run, "token string, toxic long, n long").groupBy("token")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).where(F.col("n") >= training.min_documents))
-    rows = counts.orderBy(F.desc("n"), "token").limit(training.vocabulary + 1).collect()
-    by = {r["token"]: (int(r["toxic"]), int(r["n"]) - int(r["toxic"])) for r in rows}
-    toxic, other = by.pop("", (0, 0))
-    odds, prior = {}, training.prior
-    if toxic and other:
-        for w, (a, b) in by.items():
-            p = (a + b) / (toxic + other)       # the prior: both classes together
-            # only what is surely toxic, or surely not, moves the score
-            odds[w] = sure_odds(a + prior * p, b + prior * p, toxic + prior, other + prior)
-    return Model(odds, drift=0.1)
+    counts = stored(texts.select("text", "y").mapInArrow(run, "token string, toxic long, n long").groupBy("token")
+                    .agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
+                    .where(F.col("n") >= training.min_documents))
+    of_all = counts.where("token = ''").first()
+    toxic, other = (int(of_all["toxic"]), int(of_all["n"] - of_all["toxic"])) if of_all else (0, 0)
+    model, prior = Model({}, drift=0.1, level=training.level), training.prior
+    if not (toxic and other):
+        return model
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            a, n = b.column(1).to_numpy(), b.column(2).to_numpy()
+            # the prior: both classes together; only what is surely toxic, or surely not, moves the score
+            odds = [sure_odds(x + prior * p, m - x + prior * p, toxic + prior, other + prior)
+                    for x, m, p in zip(a.tolist(), n.tolist(), (n / (toxic + other)).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(odds, pa.float64())], names=["token", "odds"])
+
+    sure = counts.where("token <> ''").mapInArrow(weigh, "token string, odds double").where("odds <> 0")
+    table = sure.toArrow()
+    model.odds = dict(zip(table["token"].to_pylist(), table["odds"].to_pylist(), strict=True))
+    return model
 
 
 def _features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -180,7 +192,7 @@ def _features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             for t in b.column(b.num_columns - 1):
                 s = m.scores(t.as_py() or "")
                 segments = maximal_segments(s)
-                sure = [(x, a, z, v) for x, a, z in segments if (v := m.significance(x, max(len(s), 1))) > 0]
+                sure = [(x, a, z, v) for x, a, z in segments if (v := m.significance(x, max(len(s), 1))) > -math.log(m.level)]
                 words.append(len(s))
                 best.append(max((x for x, _, _ in segments), default=0.0))
                 total.append(evidence(v for *_, v in sure))
@@ -195,19 +207,21 @@ def _features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def extreme_value_fit(best: np.ndarray, words: np.ndarray) -> tuple[float, float]:
-    """decay and scale of P(best < x) = exp(-scale * words * exp(-decay * x)), by the
-    method of moments on best scores of non-toxic texts."""
+    """decay and scale of P(best < x) = exp(-scale * words * exp(-decay * x)) on best scores of
+    non-toxic texts: decay by the method of moments, scale by maximum likelihood with the
+    texts' lengths, times the share of texts that have a segment at all."""
     seen = best > 0
     if seen.sum() < 20:
         return 1.0, 0.01
     sd = max(float(best[seen].std()), 0.25)
     decay = math.pi / (sd * math.sqrt(6))
-    return decay, float(np.mean(np.exp(np.minimum(decay * best[seen], 50.0))) ** -1 * seen.mean())
+    return decay, float(seen.mean() * seen.sum() / np.sum(words[seen] * np.exp(-decay * best[seen])))
 
 
 def evidence(significances: Iterable[float]) -> float:
-    """Significance of all significant segments together; 0 where there is none."""
-    return min(60.0, sum(significances))
+    """Significance of all significant segments together, on a scale of logarithms that has no
+    upper end; 0 where there is none."""
+    return math.log1p(sum(significances))
 
 
 def calibrate(model: Model, rows: DataFrame, weights: dict[int, float]) -> None:
@@ -224,17 +238,34 @@ def calibrate(model: Model, rows: DataFrame, weights: dict[int, float]) -> None:
     y, x = (table[c].to_numpy().astype(float) for c in ("y", "evidence"))
     weight = np.array([weights.get(int(k), 1.0) for k in y])
     weight *= len(y) / weight.sum()
-    w, c = 0.1, 0.0
-    for _ in range(100):                       # Newton steps, with a small ridge
-        p = 1 / (1 + np.exp(-np.clip(w * x + c, -30, 30)))
-        g = np.array([(weight * (p - y) * x).sum() + 1e-2 * w, (weight * (p - y)).sum()])
-        q = weight * np.maximum(p * (1 - p), 1e-9)
-        h = np.array([[(q * x * x).sum() + 1e-2, (q * x).sum()], [(q * x).sum(), q.sum() + 1e-6]])
-        step = np.clip(np.linalg.solve(h, g), -2, 2)
-        w, c = w - step[0], c - step[1]
-        if np.abs(step).max() < 1e-8:
+    w, c = logistic_fit(x, y, weight)
+    model.slope, model.offset = max(w, 0.0), c
+
+
+def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> tuple[float, float]:
+    """Slope and offset of a weighted logistic regression, with a small ridge on the slope.
+    Newton steps, halved until the loss falls, so that no step leaves the minimum behind."""
+    def loss(v: np.ndarray) -> float:
+        z = v[0] * x + v[1]
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + ridge / 2 * v[0] ** 2)
+
+    v = np.array([0.0, math.log(max((weight * y).sum(), 1e-9) / max((weight * (1 - y)).sum(), 1e-9))])
+    now = loss(v)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(v[0] * x + v[1], -500, 500)))
+        g = np.array([(weight * (p - y) * x).sum() + ridge * v[0], (weight * (p - y)).sum()])
+        q = weight * p * (1 - p)
+        h = np.array([[(q * x * x).sum() + ridge, (q * x).sum()], [(q * x).sum(), q.sum() + 1e-9]])
+        step, share = np.linalg.solve(h, g), 1.0
+        while share > 1e-6 and not loss(v - share * step) <= now - 1e-4 * share * float(g @ step):
+            share /= 2
+        if share <= 1e-6:
+            break
+        v = v - share * step
+        now = loss(v)
+        if np.abs(share * step).max() < 1e-10:
             break
-    model.slope, model.offset = float(max(w, 0.0)), float(c)
+    return float(v[0]), float(v[1])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, use: Column, training: Training = Training(), *,
