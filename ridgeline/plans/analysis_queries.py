@@ -127,9 +127,10 @@ def q_lang_weights(spark, d):
 
 # ---------------------------------------------------------------- mood (H)
 def chart_moods(spark: SparkSession, d: str, top: DataFrame) -> DataFrame:
-    """Moods of the chart's tracks only: the (few) top-k track keys filter
-    the documents where they are read (size-checked broadcast), so only
-    those texts are chunked and scored."""
+    """Moods of the chart's tracks only: the top-k track keys filter the
+    documents where they are read, so only those texts are chunked and scored.
+    ``top`` is a stored table: Spark knows its size, and broadcasts the keys
+    only below its own limit."""
     keys = top.select(F.col("track_id").alias("doc_id"))
     docs = enrich.restrict_to_keys(table(spark, d, "documents", ["doc_id", "text", "lang"]),
                                    keys, "doc_id")
@@ -137,7 +138,7 @@ def chart_moods(spark: SparkSession, d: str, top: DataFrame) -> DataFrame:
 
 
 def mood_wide(spark: SparkSession, d: str) -> DataFrame:
-    top = materialize(chart_top(spark, d).select("country", "year", "track_id"))
+    top = materialize(chart_top(spark, d).select("country", "year", "track_id"), as_table=True)
     joined = enrich.label_items(top, chart_moods(spark, d, top).select("track_id", "mood"),
                                 "track_id", "mood")
     sample = ranking.sample_n_per_group(joined, ["country", "year"], ["track_id"], MOOD_SAMPLE)
@@ -200,7 +201,7 @@ MOOD_CTES = CHART_CTES + (MOODS_SQL, views.FACTS_SQL, MOOD_SQL)
 SELECT t.country, t.year, count(*) AS n_rows, CAST(count_if(m.mood IS NULL) AS BIGINT) AS n_unlabelled
 FROM topk t LEFT JOIN moods m ON t.track_id = m.track_id GROUP BY t.country, t.year"""))
 def q_mood_coverage(spark, d):
-    top = materialize(chart_top(spark, d).select("country", "year", "track_id"))
+    top = materialize(chart_top(spark, d).select("country", "year", "track_id"), as_table=True)
     return enrich.coverage(top, chart_moods(spark, d, top), "track_id", ["country", "year"], "mood")
 
 

@@ -6,6 +6,7 @@ from ridgeline.plans import (  # noqa: F401
     analysis_queries,
     chart_queries,
     genre_queries,
+    publish_queries,
     text_queries,
 )
 from ridgeline.plans.registry import NO_ORACLE, REGISTRY

@@ -275,9 +275,10 @@ SELECT i.track_id, i.name, i.artists,
 FROM items i LEFT JOIN documents d ON i.track_id = d.doc_id"""))
 def q_enrich_status(spark, d):
     # The items (top-k tracks) are few: materialise them once and keep only
-    # the documents they need, filtered where the documents are read
-    # (size-checked broadcast of the item keys), before the left join.
-    it = materialize(items(spark, d))
+    # the documents they need, filtered where the documents are read, before
+    # the left join. A stored table has a known size, so Spark broadcasts the
+    # keys below its own limit and no text is shuffled.
+    it = materialize(items(spark, d), as_table=True)
     docs = enrich.restrict_to_keys(table(spark, d, "documents", ["doc_id", "text", "lang"]),
                                    it.select(F.col("track_id").alias("doc_id")), "doc_id")
     return enrich.enrich_status(it, docs, "track_id", "doc_id", text="text",

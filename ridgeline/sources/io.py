@@ -97,6 +97,32 @@ def read_entity_files(spark: SparkSession, path: str, schema: T.StructType, *,
             .withColumn(name, F.regexp_extract(fname, r"^[^_]+_(.*)\.[^.]+$", 1)))
 
 
+def write_entity_files(df: DataFrame, path: str, code: str, name: str) -> None:
+    """The layout that ``read_entity_files`` reads: ``path/<code>_<name>.csv``, one file per entity.
+    One task writes an entity; the files are then renamed, entity by entity."""
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}-parts"
+    entity = F.concat_ws("_", code, name)
+    rest = [c for c in df.columns if c not in (code, name)]
+    (df.select(*rest, entity.alias("entity")).repartition("entity").sortWithinPartitions("entity")
+     .write.mode("overwrite").option("header", "true").partitionBy("entity").csv(folder))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(path))
+    for status in fs.globStatus(hadoop.Path(f"{folder}/entity=*/*.csv")):
+        part = status.getPath()
+        named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(
+            part.getParent().getName().split("=", 1)[1])
+        if not fs.rename(part, hadoop.Path(f"{path}/{named}.csv")):
+            raise OSError(f"cannot rename {part.toString()}")
+
+
+def write_text_corpus(df: DataFrame, path: str) -> None:
+    """Texts as the CSV that ``read_text_corpus`` reads: every value is quoted and kept as it is."""
+    (df.write.mode("overwrite").option("header", "true").option("escape", '"').option("quoteAll", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+
+
 def read_text_corpus(spark: SparkSession, path: str | Sequence[str],
                      schema: T.StructType = CORPUS_SCHEMA) -> DataFrame:
     """CSV with quoted multi-line fields and ``"`` as escape. Multi-line
@@ -111,10 +137,13 @@ def read_json(spark: SparkSession, path: str | Sequence[str],
 
 
 def read_partitioned(spark: SparkSession, path: str, *, fmt: str = "parquet",
-                     base_path: str | None = None, **options) -> DataFrame:
+                     base_path: str | None = None, schema: T.StructType | None = None, **options) -> DataFrame:
     """Hive-partitioned scan; ``base_path`` keeps the partition columns when
-    reading a sub-directory. Filters on partition columns prune folders."""
+    reading a sub-directory. Filters on partition columns prune folders. Without
+    a ``schema`` the partition columns' types are inferred from the folders."""
     r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
     if base_path:
         r = r.option("basePath", base_path)
     for k, v in options.items():
@@ -144,11 +173,11 @@ def publish_partitioned(df: DataFrame, path: str, by: Sequence[str], *,
 
 def publish_text(df: DataFrame, json_path: str | None, parquet_path: str,
                  by: Sequence[str] = ("language",)) -> None:
-    """A JSON copy and a Parquet copy partitioned by language, both
-    re-runnable (overwrite, dynamic partitions)."""
-    if json_path:
-        df.write.mode("overwrite").json(json_path)
-    publish_partitioned(df, parquet_path, list(by))
+    """A JSON copy and a Parquet copy partitioned by ``by``, both replaced whole. The
+    texts are computed once and dealt to tasks by their size (``sources.sized``)."""
+    from ridgeline.sources.sized import publish_sized
+
+    publish_sized(df, {**({"json": json_path} if json_path else {}), "parquet": parquet_path}, list(by))
 
 
 def export_single_csv(df: DataFrame, path: str, *, header: bool = True) -> None:

@@ -1,13 +1,14 @@
 """Incremental mood job: text files (track_id, lyrics, language) arriving in a
 folder are routed, chunked, scored and voted batch by batch, and the moods
-are published to a language-partitioned table.
+are merged by document into a keyed sink.
 
 The batch operators are stateless per document (every chunk of a document
 arrives in the same file), so each micro-batch is an ordinary DataFrame job
 run through ``foreachBatch``. Progress is kept in a checkpoint folder under
 the cluster's shared ``spark.checkpoint.dir`` so a restarted query resumes
-where it stopped. Output is partitioned by (language, batch_id) and
-overwritten dynamically, so a replayed batch replaces exactly its own rows.
+where it stopped. The sink holds one row per document (``sources.keyed``): a
+replayed batch, or all of them after a lost checkpoint, changes nothing, and a
+document that arrives again replaces its mood.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridgeline.functions.rules import normalise_label
 from ridgeline.operators import sentiment
-from ridgeline.sources.io import TEXT_LANGUAGE_SCHEMA, publish_partitioned
+from ridgeline.sources.io import TEXT_LANGUAGE_SCHEMA
+from ridgeline.sources.keyed import BUCKETS, merge_by_key, recover
 
 
 def moods_batch(texts: DataFrame, routes: Mapping[str, str] | None = None, *, size: int = 512,
@@ -51,7 +53,7 @@ def moods_batch(texts: DataFrame, routes: Mapping[str, str] | None = None, *, si
 def start_mood_stream(spark: SparkSession, source: str, sink: str,
                       routes: Mapping[str, str] | None = None, *,
                       checkpoint: str | None = None, fmt: str = "json", available_now: bool = True,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """Start the incremental job; ``available_now`` processes what is there
     and stops (batch-style scheduling with exactly-once bookkeeping)."""
     reader = spark.readStream.schema(TEXT_LANGUAGE_SCHEMA).format(fmt)
@@ -60,11 +62,9 @@ def start_mood_stream(spark: SparkSession, source: str, sink: str,
     stream = reader.load(source)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        # (language, batch_id) partitions: a replayed batch replaces only its
-        # own output, later batches never touch earlier ones.
-        out = moods_batch(batch, routes).withColumn("batch_id", F.lit(batch_id))
-        publish_partitioned(out, sink, ["language", "batch_id"], replace_only=True)
+        merge_by_key(moods_batch(batch, routes), sink, "track_id", buckets=buckets)
 
+    recover(spark, sink)
     w = (stream.writeStream.foreachBatch(publish)
          .option("checkpointLocation", checkpoint or f"{sink.rstrip('/')}-checkpoint"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
