@@ -74,20 +74,21 @@ def genre_wide(spark: SparkSession, d: str) -> DataFrame:
                            COUNTED, fill=0)
 
 
-def econ_renamed(spark: SparkSession, d: str) -> DataFrame:
-    return (views.facts(spark, d).drop("happiness")
-            .withColumnRenamed("country", "full_country_name")
-            .withColumnRenamed("country_code", "country")
-            .withColumnRenamed("developed_country", "is_developed_country"))
+RATES = ["gdp_per_capita", "inflation_rate", "unemployment_rate"]
+
+
+def with_rates(counts: DataFrame, facts: DataFrame, labels_: list[str]) -> DataFrame:
+    """counts per country code and year beside that country's name, flag and rates."""
+    on = (counts["country"] == facts["country_code"]) & (counts["year"] == facts["year"])
+    return counts.join(facts, on).select(counts["year"], facts["country"], *[counts[c] for c in labels_],
+                                         facts["developed_country"], *[facts[r] for r in RATES])
 
 
 def genre_facts(spark: SparkSession, d: str) -> DataFrame:
-    return (genre_wide(spark, d).join(econ_renamed(spark, d), ["year", "country"])
-            .drop("global_inflation_rate", "global_unemployment_rate", "country"))
+    return with_rates(genre_wide(spark, d), views.facts(spark, d), COUNTED)
 
 
-CORR_COLS = COUNTED + ["is_developed_country", "gdp_per_capita", "inflation_rate",
-                       "unemployment_rate"]
+CORR_COLS = COUNTED + ["developed_country", *RATES]
 SERIES = TAGS + ["other"]
 
 # ------------------------------------------------------------------ SQL
@@ -134,9 +135,9 @@ GENRE_CTES = CHART_CTES + (TAG_SQL,)
 
 GENRE_FACTS_SQL = f"""
 genre_facts AS (
-  SELECT w.year, f.country AS full_country_name,
+  SELECT w.year, f.country,
          {', '.join('w.' + c for c in COUNTED)},
-         f.developed_country AS is_developed_country, f.gdp_per_capita, f.inflation_rate,
+         f.developed_country, f.gdp_per_capita, f.inflation_rate,
          f.unemployment_rate
   FROM tag_wide w JOIN facts f ON w.year = f.year AND w.country = f.country_code
 )"""
@@ -148,24 +149,24 @@ def q_genre_remap_counts(spark, d):
 
 
 @register("genre_argmax", with_ctes(*CHART_CTES, REMAP_SQL, body="""
-SELECT country, year, genre AS most_popular_genre FROM (
+SELECT country, year, genre AS top_genre FROM (
   SELECT *, row_number() OVER (PARTITION BY country, year ORDER BY count DESC, genre DESC) AS rn
   FROM remap_counts) WHERE rn = 1"""))
 def q_genre_argmax(spark, d):
     return ranking.argmax_by(remap_counts(spark, d), ["country", "year"], "genre", "count",
-                             "most_popular_genre")
+                             "top_genre")
 
 
 @register("genre_winner_freq", with_ctes(*CHART_CTES, REMAP_SQL, body="""
-SELECT most_popular_genre, year, count(*) AS n_countries FROM (
+SELECT top_genre, year, count(*) AS n_countries FROM (
   SELECT *, row_number() OVER (PARTITION BY country, year ORDER BY count DESC, genre DESC) AS rn,
-         genre AS most_popular_genre
+         genre AS top_genre
   FROM remap_counts) WHERE rn = 1
-GROUP BY most_popular_genre, year"""))
+GROUP BY top_genre, year"""))
 def q_genre_winner_freq(spark, d):
     win = ranking.argmax_by(remap_counts(spark, d), ["country", "year"], "genre", "count",
-                            "most_popular_genre")
-    return ranking.winner_frequency(win, "most_popular_genre", "year", "n_countries")
+                            "top_genre")
+    return ranking.winner_frequency(win, "top_genre", "year", "n_countries")
 
 
 @register("genre_first_n", with_ctes(*GENRE_CTES, body="""
@@ -202,9 +203,9 @@ def q_genre_facts(spark, d):
 
 
 @register("genre_series", with_ctes(*GENRE_CTES, views.FACTS_SQL, GENRE_FACTS_SQL, body=f"""
-SELECT full_country_name, year, series, value,
+SELECT country, year, series, value,
        (series IN ({', '.join(f"'{s}'" for s in SERIES)}) AND value >= 10) AS show_label
-FROM (UNPIVOT (SELECT full_country_name, year,
+FROM (UNPIVOT (SELECT country, year,
                       {', '.join(f'CAST({s} AS DOUBLE) AS {s}' for s in SERIES)},
                       gdp_per_capita / 10000 AS gdp_per_capita_10k,
                       inflation_rate, unemployment_rate FROM genre_facts)
@@ -212,7 +213,7 @@ FROM (UNPIVOT (SELECT full_country_name, year,
       INTO NAME series VALUE value)"""))
 def q_genre_series(spark, d):
     gf = genre_facts(spark, d).withColumn("gdp_per_capita_10k", F.col("gdp_per_capita") / 10000)
-    long = reshape.series_long(gf, ["full_country_name", "year"],
+    long = reshape.series_long(gf, ["country", "year"],
                                SERIES + ["gdp_per_capita_10k", "inflation_rate",
                                          "unemployment_rate"])
     return long.withColumn("show_label", F.col("series").isin(SERIES) & (F.col("value") >= 10))
@@ -249,12 +250,10 @@ def song_genre_facts(spark: SparkSession, d: str) -> DataFrame:
     """F4 (song variant, absent genre -> 0) joined to the facts."""
     wide = reshape.to_wide(remap_counts(spark, d), ["year", "country"], "genre", "count",
                            SONG_GENRES, fill=0)
-    return (wide.join(econ_renamed(spark, d), ["year", "country"])
-            .drop("global_inflation_rate", "global_unemployment_rate", "country"))
+    return with_rates(wide, views.facts(spark, d), SONG_GENRES)
 
 
-SONG_CORR_COLS = SONG_GENRES + ["is_developed_country", "gdp_per_capita", "inflation_rate",
-                                "unemployment_rate"]
+SONG_CORR_COLS = SONG_GENRES + ["developed_country", *RATES]
 _SONG_CELLS = ", ".join(
     "CAST(coalesce(sum(CASE WHEN genre = '%s' THEN count END), 0) AS BIGINT) AS \"%s\"" % (g, g)
     for g in SONG_GENRES)
@@ -265,8 +264,8 @@ song_wide AS (
   FROM remap_counts GROUP BY year, country
 ),
 song_facts AS (
-  SELECT w.year, f.country AS full_country_name, {_SONG_COLS},
-         f.developed_country AS is_developed_country, f.gdp_per_capita, f.inflation_rate,
+  SELECT w.year, f.country, {_SONG_COLS},
+         f.developed_country, f.gdp_per_capita, f.inflation_rate,
          f.unemployment_rate
   FROM song_wide w JOIN facts f ON w.year = f.year AND w.country = f.country_code
 )"""

@@ -250,17 +250,17 @@ def genre_indicator_job(spark: SparkSession, genre_parquet: str, facts_parquet:
     table joined to the facts, correlation matrix (all as CSV). The label
     list fixes the pivot columns (no discovery job, stable schema)."""
     g = io.read_partitioned(spark, genre_parquet)
-    win = ranking.argmax_by(g, ["country", "year"], "genre", "count", "most_popular_genre")
-    ranking.winner_frequency(win, "most_popular_genre", "year", "n_countries") \
+    win = ranking.argmax_by(g, ["country", "year"], "genre", "count", "top_genre")
+    ranking.winner_frequency(win, "top_genre", "year", "n_countries") \
         .write.mode("overwrite").csv(f"{output}/winner_frequency")
     ranking.top_k_labels(g, ["country", "year"], "count", 3, label="genre",
                          exclude=list(labels_excluded)).write.mode("overwrite").csv(f"{output}/top3")
     wide = reshape.to_wide(g, ["year", "country"], "genre", "count", list(label_values), fill=0)
-    f = io.read_partitioned(spark, facts_parquet).withColumnRenamed("country", "full_country_name") \
-        .withColumnRenamed("country_code", "country")
-    joined = wide.join(f, ["year", "country"])
-    numeric = [c for c, t in joined.dtypes if t in ("int", "bigint", "double", "boolean")
-               and c not in ("year",)]
+    f = io.read_partitioned(spark, facts_parquet)
+    rates = [c for c, t in f.dtypes if t in ("int", "bigint", "double", "boolean") and c != "year"]
+    numeric = [c for c in wide.columns if c not in ("year", "country")] + rates
+    joined = wide.join(f, (wide["country"] == f["country_code"]) & (wide["year"] == f["year"])) \
+        .select(*[wide[c] for c in wide.columns], *[f[c] for c in rates])
     stats.correlation_matrix(joined, numeric).write.mode("overwrite").option("header", "true") \
         .csv(f"{output}/correlation")
 
@@ -294,6 +294,7 @@ JOBS = {
     "chart": chart_job,
     "genre-remap": genre_remap_job,
     "genre-tags": genre_tag_job,
+    "indicators": indicator_job,
     "text-match": text_match_job,
     "languages": language_job,
     "moods": mood_job,
