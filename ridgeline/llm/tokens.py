@@ -30,9 +30,10 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from ridgeline.session import scratch_path
 
 END_ID = 2
-CACHE_PIECES = 1_000_000     # remembered strings of each kind per worker, about 200 MB
+CACHE_PIECES = 300_000       # remembered pieces per worker; they are learnt anew from words
+CACHE_WORDS = 600_000        # remembered words per worker; with the pieces about 200 MB
 CACHE_BYTES = 64 << 20        # their text
-BATCH_CHARS = 4_000_000      # text encoded at a time
+BATCH_CHARS = 2_000_000      # text encoded at a time
 #: Letters, then ASCII marks but for the apostrophe (some vocabularies join it to letters).
 WORD_AND_MARKS = r"^(?P<word>\p{L}+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 ROW_GROUP_BYTES = 8 << 20
@@ -40,9 +41,10 @@ PAGE_BYTES = 64 << 10
 
 
 class Memory:
-    """Ids of strings, kept until there are too many of them."""
+    """Ids of strings, kept until there are more than ``most``."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.starts, self.lengths = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
@@ -51,7 +53,7 @@ class Memory:
     def slots(self, strings: pa.Array, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Number of each of the distinct ``strings``; ``learn`` gives the lengths and ids of new ones."""
         keys, size = strings.to_pylist(), pc.sum(pc.binary_length(strings)).as_py() or 0
-        if self.known and (len(self.known) + len(keys) > CACHE_PIECES or self.bytes + size > CACHE_BYTES):
+        if self.known and (len(self.known) + len(keys) > self.most or self.bytes + size > CACHE_BYTES):
             self.known, self.used, self.bytes = {}, 0, 0
         slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
         new = np.flatnonzero(slot < 0)
@@ -93,7 +95,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
-        self.pieces, self.words = Memory(), Memory()
+        self.pieces, self.words = Memory(CACHE_PIECES), Memory(CACHE_WORDS)
 
     def _tokenize(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(strings.to_pylist(), add_special_tokens=False)]
