@@ -41,11 +41,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of packed sequences with their ids."""
+    """Pieces of packed sequences with their ids (little-endian, 32 bits) and the ids' CRC-32."""
     from ridgeline.llm.queries import TOKENIZER
 
     pieces = packing.pack_documents(docs, TOKENIZER)
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
