@@ -83,7 +83,8 @@ def explode_chunks_by_language(df: DataFrame, text: str, lang: str, *,
     t = F.col(text)
     norm = F.trim(F.regexp_replace(t, r"\s+", " "))
     base = df.select(*keep, t.alias("__t"), case(1).alias("__mode"), case(2).alias("__size"),
-                     F.when(norm != "", F.split(norm, " ")).alias("__toks")) \
+                     # only texts cut by tokens are split
+                     F.when((case(1) == "tokens") & (norm != ""), F.split(norm, " ")).alias("__toks")) \
         .filter(F.col("__mode").isNotNull())
     units = F.when(F.col("__mode") == "chars", F.length("__t")).otherwise(F.size("__toks"))
     n = F.ceil(units / F.col("__size")).cast("int")

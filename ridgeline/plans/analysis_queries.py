@@ -408,10 +408,16 @@ SELECT {stats.significant_sql('m0.rss')} AS rss0, m0.n - 3 AS df0,
        {stats.significant_sql('((m0.rss - m1.rss) / ((m0.n - 3) - (m1.n - 6))) / (m1.rss / (m1.n - 6))')} AS f
 FROM m0, m1"""))
 def q_stat_anova(spark, d):
-    f = views.facts(spark, d)
-    small = stats.ols_two(f, OLS_Y, OLS_A, OLS_B, digits=None)
-    large = stats.ols_two_by_flag(f, OLS_Y, OLS_A, OLS_B, OLS_FLAG, digits=None)
-    return stats.anova_nested(small, large)
+    return fact_anova(spark, d).withColumns({k: stats.significant(F.col(k)) for k in ("rss0", "rss1", "f")})
+
+
+FACT_MODELS = {"m0": [OLS_A, OLS_B], "m1": regression.interacted([OLS_A, OLS_B], OLS_FLAG)}
+
+
+def fact_anova(spark: SparkSession, d: str) -> DataFrame:
+    """One row rss0, df0, rss1, df1, f: both models from one pass over the facts."""
+    a = regression.nested_anova(views.facts(spark, d), OLS_Y, FACT_MODELS["m0"], FACT_MODELS["m1"], digits=None)
+    return a.withColumns({k: F.col(k).cast("long") for k in ("df0", "df1")})
 
 
 @register("trend_series", with_ctes(*FACTS_BODY, body=f"""
@@ -468,11 +474,8 @@ inf_rows AS (
 
 
 def inference(spark: SparkSession, d: str, digits: int | None = 6) -> DataFrame:
-    f = views.facts(spark, d)
-    m0 = stats.ols_inference(f, OLS_Y, [OLS_A, OLS_B], digits=digits)
-    m1 = stats.ols_inference(f, OLS_Y, [OLS_A, OLS_B], flag=OLS_FLAG, digits=digits)
-    return m0.select(F.lit("m0").alias("model"), "*").unionByName(
-        m1.select(F.lit("m1").alias("model"), "*"))
+    """Coefficients of both models, from one aggregate of the facts."""
+    return regression.coefficient_table(regression.fit_models(views.facts(spark, d), OLS_Y, FACT_MODELS), digits=digits)
 
 
 @register("stat_ols_inference", with_ctes(*FACTS_BODY, _inference_sql(), body="""
@@ -517,9 +520,6 @@ test AS (SELECT m0.n - 3 AS df0, m1.n - 6 AS df1,
 SELECT df0, df1, {stats.significant_sql('f')} AS f, {f_tail_sql('f', '(df0 - df1)', 'df1')} AS p_value
 FROM test, range({TAIL_STEPS}) r(i) GROUP BY df0, df1, f"""))
 def q_stat_anova_pvalue(spark, d):
-    f = views.facts(spark, d)
-    small = stats.ols_two(f, OLS_Y, OLS_A, OLS_B, digits=None)
-    large = stats.ols_two_by_flag(f, OLS_Y, OLS_A, OLS_B, OLS_FLAG, digits=None)
-    a = stats.anova_nested(small, large, digits=None)
+    a = fact_anova(spark, d)
     p = f_test_p(F.col("f"), F.col("df0") - F.col("df1"), F.col("df1"))
     return a.select("df0", "df1", stats.significant(F.col("f")).alias("f"), F.round(p, 6).alias("p_value"))
