@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.tokens import END_ID, encoder, text_slices
+from ridgeline.llm.tokens import END_ID, Room, encoder, text_slices
 
 CAPACITY = 4096
 BLOCK_TOKENS = 4_000_000      # ids held at a time by a task: 16 MB
@@ -78,14 +78,14 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY, cost: Cost = Cos
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, cost: Cost = Cost(),
-                   key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
+                   key: str = "doc_id", text: str = "text", end_id: int = END_ID, room: Room = Room()) -> DataFrame:
     """One row per piece: key, start, length, doc_tokens, sequence_id, offset, and its ids
     as little-endian unsigned 32-bit integers in ``ids``."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     names = [key, "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task = encoder(tokenizer, end_id), TaskContext.get().partitionId()
+        enc, task = encoder(tokenizer, end_id, room), TaskContext.get().partitionId()
         used = 0
         held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
@@ -112,7 +112,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY,
 
         tokens = 0
         for batch in batches:
-            for b in text_slices(batch, 1):
+            for b in text_slices(batch, 1, room.chars):
                 ids, ends = enc.encode(b.column(1))
                 held.append((b.column(0), ids, ends))
                 tokens += len(ids)

@@ -16,6 +16,7 @@ in the order of their texts' hashes. An empty table writes empty files.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from itertools import chain, repeat
 
@@ -30,16 +31,27 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 from ridgeline.session import scratch_path
 
 END_ID = 2
-CACHE_PIECES = 300_000       # remembered pieces per worker; they are learnt anew from words
-CACHE_WORDS = 600_000        # remembered words per worker; with the pieces about 200 MB
-CACHE_BYTES = 64 << 20        # their text
-BATCH_CHARS = 2_000_000      # text encoded at a time
+CACHE_BYTES = 64 << 20        # text of remembered strings
 #: Letters, then ASCII marks but for the apostrophe (some vocabularies join it to letters).
 WORD_AND_MARKS = r"^(?P<word>\p{L}+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 64 << 10
 
 
+@dataclass(frozen=True)
+class Room:
+    """What a worker's encoder may hold: about 200 MB a million strings. With less room more
+    strings are encoded again, so a task that does nothing else takes more of it."""
+
+    pieces: int = 1_000_000      # remembered strings between white space
+    words: int = 1_000_000       # remembered words without their marks
+    chars: int = 4_000_000       # text encoded at a time
+
+
+WRITER = Room(pieces=700_000, words=600_000)          # beside a Parquet writer and a shuffle
+SHARED = Room(pieces=300_000, words=600_000, chars=2_000_000)      # in an executor that has other work
+
+
 class Memory:
     """Ids of strings, kept until there are more than ``most``."""
 
@@ -87,7 +99,7 @@ class Memory:
 class Encoder:
     """Ids of texts by the tokenizers library, with a memory of pieces and of their words."""
 
-    def __init__(self, path: str, end_id: int | None = END_ID):
+    def __init__(self, path: str, end_id: int | None = END_ID, room: Room = Room()):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -95,7 +107,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
-        self.pieces, self.words = Memory(CACHE_PIECES), Memory(CACHE_WORDS)
+        self.pieces, self.words = Memory(room.pieces), Memory(room.words)
 
     def _tokenize(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(strings.to_pylist(), add_special_tokens=False)]
@@ -142,13 +154,13 @@ class Encoder:
         return ids.astype(np.uint32, copy=False), ends
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, end_id: int | None = END_ID) -> Encoder:
+@lru_cache(maxsize=1)
+def encoder(path: str, end_id: int | None = END_ID, room: Room = Room()) -> Encoder:
     """One per worker process."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, room)
 
 
-def text_slices(batch: pa.RecordBatch, column: int, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: int, chars: int) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about ``chars`` bytes of text each; at least one row."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
     part = np.cumsum(sizes) // chars
@@ -159,7 +171,7 @@ def text_slices(batch: pa.RecordBatch, column: int, chars: int = BATCH_CHARS) ->
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_id", text: str = "text",
-                 end_id: int = END_ID, files: int | None = None) -> None:
+                 end_id: int = END_ID, files: int | None = None, room: Room = WRITER) -> None:
     """Write one row per document to ``path``: key, part (number of the file), part_start
     (ids before it in that file), n_tokens, ids. Ascending keys within and over the
     parts; a task encodes its part in order and holds one batch at a time."""
@@ -170,9 +182,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_
             .sortWithinPartitions(F.col("key").asc_nulls_first(), F.xxhash64("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, before = encoder(tokenizer, end_id), TaskContext.get().partitionId(), 0
+        enc, part, before = encoder(tokenizer, end_id, room), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for b in text_slices(batch, 1):
+            for b in text_slices(batch, 1, room.chars):
                 ids, ends = enc.encode(b.column(1))
                 starts = np.concatenate([[0], ends[:-1]])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
