@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import decontaminate, jaccard, packing, quality, secrets
+from ridgeline.llm import decontaminate, jaccard, packing, quality, secrets, tokens
 from ridgeline.llm.common import stored
 from ridgeline.sources.tables import table
 
@@ -44,7 +44,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pieces of packed sequences with their ids (little-endian, 32 bits) and the ids' CRC-32."""
     from ridgeline.llm.queries import TOKENIZER
 
-    pieces = packing.pack_documents(docs, TOKENIZER)
+    pieces = packing.pack_documents(docs, TOKENIZER, room=tokens.SHARED)
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
