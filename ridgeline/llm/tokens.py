@@ -48,7 +48,6 @@ class Room:
     chars: int = 4_000_000       # text encoded at a time
 
 
-WRITER = Room(pieces=700_000, words=600_000)          # beside a Parquet writer and a shuffle
 SHARED = Room(pieces=300_000, words=600_000, chars=2_000_000)      # in an executor that has other work
 
 
@@ -171,7 +170,7 @@ def text_slices(batch: pa.RecordBatch, column: int, chars: int) -> Iterator[pa.R
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_id", text: str = "text",
-                 end_id: int = END_ID, files: int | None = None, room: Room = WRITER) -> None:
+                 end_id: int = END_ID, files: int | None = None, room: Room = SHARED) -> None:
     """Write one row per document to ``path``: key, part (number of the file), part_start
     (ids before it in that file), n_tokens, ids. Ascending keys within and over the
     parts; a task encodes its part in order and holds one batch at a time."""
