@@ -1,9 +1,13 @@
 """WARC archives and their Merkle fixity audit.
 
-``write_warc`` writes records as uncompressed WARC files: a file holds a range
-of keys, in key order, so the offsets of its records are known beforehand.
+``write_warc`` writes records as compressed WARC files: a file holds a range
+of keys, in key order, and each record is a gzip member of its own, closed by an
+empty member. Records are compressed where they are read, so that only compressed
+ones are shuffled. Offsets and lengths are those of the uncompressed archive, so
+they are known beforehand and do not depend on the compressor.
 ``manifest`` gives the offsets, lengths and hashes that the files should have,
-``read_warc`` those that a replica's files do have. ``audit`` builds a hash
+``read_warc`` those that a replica's files do have. Damaged bytes spoil the
+record that holds them; reading goes on at the next empty member. ``audit`` builds a hash
 tree over each: leaves are ordered offset ranges of a file, inner nodes join a
 fixed number of neighbours, a file's nodes join in its root, and the files' roots in
 the archive's. It compares the roots and descends only into branches that
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,8 +35,8 @@ FILE_KEYS = 1024              # keys of one file
 RANGE_BYTES = 64 << 10        # leaf: records that begin in this range of offsets
 FANOUT = 16
 END = "\r\n\r\n"
+GZIP = 31                     # zlib's number for the gzip format
 _HEAD = re.compile(rb"WARC/1\.0\r\n(.*?)\r\n\r\n", re.S)
-_LENGTH = re.compile(rb"(?im)^Content-Length: *(\d+) *\r?$")
 _ID = re.compile(rb"(?im)^WARC-Record-ID: *<urn:page:(-?\d+)> *\r?$")
 
 
@@ -52,11 +57,35 @@ def _records(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
                         F.coalesce(F.col(key).cast("long"), F.lit(-1)).alias("key"), text.alias("text"))
 
 
+def pack(data: bytes) -> bytes:
+    """A gzip member, without a time stamp: equal records give equal members."""
+    deflate = zlib.compressobj(6, zlib.DEFLATED, GZIP)
+    return deflate.compress(data) + deflate.flush()
+
+
+BETWEEN = pack(b"")           # closes a record
+
+
 def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str = "url", body: str = "html") -> None:
     """One file per range of keys under ``path``/file=N."""
-    rows = _records(pages, key, url, body).withColumn("hash", F.sha2("text", 256))
-    (rows.repartition("file").sortWithinPartitions("file", "key", "hash").select("file", "text")
-     .write.mode("overwrite").partitionBy("file").option("lineSep", END).text(path))
+    rows = _records(pages, key, url, body)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                texts = [v.as_buffer().to_pybytes() for v in part.column(2)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
+                     pa.array([pack(t + END.encode()) for t in texts], pa.binary())],
+                    names=["file", "key", "hash", "member"])
+
+    members = rows.mapInArrow(run, "file long, key long, hash string, member binary")
+    # the text writer puts out a string's bytes as they are; one byte a character in the separator
+    (members.repartition("file").sortWithinPartitions("file", "key", "hash")
+     .select("file", F.col("member").cast("string").alias("member"))
+     .write.mode("overwrite").partitionBy("file").option("encoding", "ISO-8859-1")
+     .option("lineSep", BETWEEN.decode("latin-1")).text(path))
 
 
 def manifest(pages: DataFrame, *, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
@@ -69,22 +98,52 @@ def manifest(pages: DataFrame, *, key: str = "page_id", url: str = "url", body:
                        .cast("long").alias("offset"), "length", "hash")
 
 
+def _separator(content: bytes, at: int) -> int:
+    """Where the next empty member begins, or the content ends."""
+    found = content.find(BETWEEN, at)
+    return len(content) if found < 0 else found
+
+
+def _inflate(content: bytes, at: int, wbits: int = GZIP) -> tuple[bytes, int] | None:
+    """The sound member (or, by ``wbits``, bare stream) at ``at`` and its end."""
+    inflate, parts = zlib.decompressobj(wbits), []
+    try:
+        while not inflate.eof and at < len(content):
+            end = _separator(content, at + 1)       # it may lie within the member: read on
+            parts.append(inflate.decompress(content[at:end]))
+            at = end
+    except zlib.error:
+        return None
+    return (b"".join(parts), at - len(inflate.unused_data)) if inflate.eof else None
+
+
+def _spoilt(content: bytes, at: int) -> tuple[int, int]:
+    """Uncompressed length and end of a member that fails its check. Its last four bytes give the
+    length, unless the stream agrees with the checksum before them: then it is they that are damaged."""
+    end = _separator(content, at)
+    found = _inflate(content, at + 10, -zlib.MAX_WBITS)
+    if found and zlib.crc32(found[0]) == int.from_bytes(content[found[1]:found[1] + 4], "little"):
+        return len(found[0]), found[1] + 8
+    return int.from_bytes(content[max(at, end - 4):end], "little"), end
+
+
 def parse(content: bytes) -> Iterator[tuple[int, int, int, str]]:
-    """(key, offset, length, sha256) of each record; what cannot be read as a record up to
-    the next one is a record of key -1."""
-    at = 0
+    """(key, offset, length, sha256) of each record. One that is not as it was written, or whose
+    closing member is not, has key -1 and the hash of its compressed bytes; the offsets after it hold."""
+    at = offset = 0
     while at < len(content):
-        head = _HEAD.match(content, at)
-        length = _LENGTH.search(head[1]) if head else None
-        if length:
-            end = head.end() + int(length[1])
+        found = _inflate(content, at)
+        if found:
+            data, end = found
+            size = len(data)
         else:
-            end = content.find(END.encode() + b"WARC/1.0\r\n", at + 1)
-            end = len(content) if end < 0 else end
+            size, end = _spoilt(content, at)
+        text = data[:-len(END)] if found and data.endswith(END.encode()) and content.startswith(BETWEEN, end) else None
+        head = _HEAD.match(text) if text else None
         name = _ID.search(head[1]) if head else None
-        data = content[at:end]
-        yield int(name[1]) if name else -1, at, len(data), hashlib.sha256(data).hexdigest()
-        at = end + len(END)
+        digest = hashlib.sha256(content[at:end] if text is None else text).hexdigest()
+        yield int(name[1]) if name else -1, offset, max(size - len(END), 0), digest
+        at, offset = end + len(BETWEEN), offset + size
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
