@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,3 +55,39 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
             held.append(batch)
     if held:
         yield pa.Table.from_batches(held)
+
+
+SIEVE_BITS = 1 << 26          # 8 MB: what a sieve takes at most in the driver and each worker
+BITS_PER_KEY = 12
+PROBES = 6
+
+
+def sifted(rows: DataFrame, hashed: Column, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose hash (a long) is not in the column ``h`` of ``wanted``:
+    a Bloom filter ahead of a join, so that rows which cannot match are not shuffled. All
+    others stay, and the join decides. Where ``wanted`` is so long that a filter of SIEVE_BITS
+    would let most rows through, they all go to the join."""
+    n = wanted.count()
+    if n > SIEVE_BITS // 4:
+        return rows
+    bits = min(SIEVE_BITS, 1 << max(6, math.ceil(math.log2(max(1, n) * BITS_PER_KEY))))
+    low, high = F.col("h").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("h", 32)
+    probes = F.array(*[(low + high.bitwiseOR(1) * i).bitwiseAND(bits - 1) for i in range(PROBES)])
+    word = F.shiftright("at", 6)
+    found = (wanted.select(F.explode(probes).alias("at"))
+             .groupBy(word.alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("set"))
+             .toArrow())                        # at most SIEVE_BITS / 64 rows
+    words = np.zeros(bits // 64, np.uint64)
+    words[np.asarray(found["word"])] = np.asarray(found["set"]).view(np.uint64)
+
+    @F.pandas_udf("boolean")
+    def may_hold(h: pd.Series) -> pd.Series:
+        x = h.to_numpy(np.int64).view(np.uint64)
+        low, high = x & np.uint64(0xFFFFFFFF), (x >> np.uint64(32)) | np.uint64(1)
+        keep = np.ones(len(x), bool)
+        for i in range(PROBES):
+            at = (low + high * np.uint64(i)) & np.uint64(bits - 1)
+            keep &= (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return pd.Series(keep)
+
+    return rows.where(may_hold(hashed))

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import stored, whole_groups
+from ridgeline.llm.common import sifted, stored, whole_groups
 from ridgeline.llm.tokens import text_slices
 
 
@@ -173,19 +173,19 @@ def candidate_links(texts: DataFrame, join: JaccardJoin) -> DataFrame:
         i = F.explode(_children(F.col("path"), join)).alias("i")
         split = stored(rows.select("node", "sketch", "parent_n", "path", i).select(
             "node", "parent_n", F.xxhash64("path", "i", F.col("sketch")[F.col("i")]).alias("path")))
-        # sizes first: a text alone in its bucket moves no sketch
-        sizes = split.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+        # sizes first: a text alone in its bucket moves no sketch; as a table of their own, so that
+        # Spark can split the join on a path that holds many texts
+        sizes = stored(split.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("first")).where("n > 1"))
         rows = stored(split.join(sizes, "path").join(texts, "node").select(
-            "path", "node", "n", "sketch",
+            "path", "node", "n", "first", "sketch",
             F.coalesce(F.col("n") >= join.thin * F.col("parent_n"), F.lit(False)).alias("dense")))
         small = rows.where(F.col("n") <= join.bucket).select("path", "node", "sketch")
         found = (small.repartition("path").sortWithinPartitions("path")
                  .mapInArrow(lambda b: _bucket_links(b, join), "a long, b long"))
         large = rows.where(F.col("n") > join.bucket)
         last = F.lit(depth == join.depth)
-        whole = large.where(F.col("dense") | last)
-        hub = whole.groupBy("path").agg(F.min("node").alias("a"))
-        star = whole.select("path", F.col("node").alias("b")).join(hub, "path").where("a <> b").select("a", "b")
+        star = (large.where(F.col("dense") | last).where("first <> node")
+                .select(F.col("first").alias("a"), F.col("node").alias("b")))
         found = found.unionByName(star)
         links = found if links is None else links.unionByName(found)
         rows = large.where(~(F.col("dense") | last)).select(
@@ -313,10 +313,12 @@ def near_duplicates(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, key:
 
 
 def _texts(docs: DataFrame, candidates: DataFrame, key: str, text: str) -> DataFrame:
-    """Rows node, text, copies: the text of one document of each candidate."""
+    """Rows node, text, copies: the text of one document of each candidate. Few documents are
+    candidates, so most others are sifted out where they are read."""
     value = F.coalesce(F.col(text), F.lit(""))
     full = docs.select(F.col(key).cast("long").alias("doc"), F.md5(value).alias("same"), value.alias("text"))
     c = candidates.select("node", "copies", F.col("same").alias("c_same"), F.col("doc").alias("c_doc"))
+    full = sifted(full, F.xxhash64("same", "doc"), candidates.select(F.xxhash64("same", "doc").alias("h")))
     on = (full["same"] == c["c_same"]) & full["doc"].eqNullSafe(c["c_doc"])
     return full.join(c, on).select("node", "text", "copies").dropDuplicates(["node"])
 

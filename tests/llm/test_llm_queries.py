@@ -10,7 +10,20 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ridgeline.llm import decontaminate, jaccard, packing, quality, queries, secrets, sharding, tokens, toxicity, urls, warc
+from ridgeline.llm import (
+    common,
+    decontaminate,
+    jaccard,
+    packing,
+    quality,
+    queries,
+    secrets,
+    sharding,
+    tokens,
+    toxicity,
+    urls,
+    warc,
+)
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, doc string, words int, size int"
@@ -383,6 +396,15 @@ def test_warc_round_trip_and_corruption(spark):
     assert warc.manifest(empty_pages).isEmpty()
 
 
+def test_sifted_keeps_all_wanted_rows(spark):
+    df = spark.range(20000).withColumn("h", F.xxhash64("id"))
+    for n in (0, 1, 3000):
+        kept = {r["id"] for r in rows(common.sifted(df, F.col("h"), df.where(F.col("id") < n).select("h")).select("id"))}
+        assert set(range(n)) <= kept and len(kept) <= n + 400
+    whole = spark.range(common.SIEVE_BITS // 4 + 1).select(F.col("id").alias("h"))
+    assert common.sifted(df, F.col("h"), whole) is df
+
+
 def test_warc_damaged_bytes(spark, tmp_path):
     """A flipped bit of a file spoils the record that holds it and no other, or leaves all as they were."""
     import gzip
