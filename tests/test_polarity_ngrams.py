@@ -105,6 +105,24 @@ def test_no_chunks_give_no_lexicon(chunks):
     assert polarity.learn_polarity(chunks[0].where("false"), ["doc", "chunk_no"], ["joy"], ["pain"]).count() == 0
 
 
+def test_sketch_of_a_frequent_word_moves_few_chunks(spark):
+    rows = [(i, 0, "en", f"often word{i % 1500} word{i % 1500} {'some ' * (i % 3 == 0)}") for i in range(6000)] + [
+        (i, 0, "en", "often twice") for i in range(40)] + [(9000, 0, None, "often")]
+    df = spark.createDataFrame(rows, "doc long, chunk_no int, lang string, chunk string").repartition(3)
+    s = polarity.Spread(sample=5)
+    words = df.select("lang", polarity.chunk_hash(["doc", "chunk_no"]).alias("at"),
+                      F.explode(F.array_distinct(polarity.letter_words(F.col("chunk")))).alias("word"))
+    bound = {r.word: r.bound for r in polarity.frequent_words(words.where("lang = 'en'"), s).collect()}
+    assert {"often", "some"} <= set(bound)
+    at = lambda i: int(hashlib.md5(f"{i}:0".encode()).hexdigest()[:15], 16)
+    assert 5 <= sum(at(i) < bound["often"] for i in range(6000)) < 100
+    got = {r.word: r for r in polarity.word_sketches(df, ["doc", "chunk_no"], "lang", "chunk", s).collect()}
+    want = sorted([at(i) for i in range(6000)] + [at(i) for i in range(40)])[:5]
+    assert set(got["often"].chunks) == set(want) and got["often"].n_chunks == 6040
+    assert set(got["some"].chunks) == set(sorted(at(i) for i in range(0, 6000, 3))[:5]) and got["some"].n_chunks == 2000
+    assert set(got["twice"].chunks) == set(sorted(at(i) for i in range(40))[:5]) and got["twice"].n_chunks == 40
+
+
 # ------------------------------------------------------------------ n-grams
 
 def brute_grams(text, sizes):
