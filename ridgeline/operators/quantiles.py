@@ -26,6 +26,12 @@ FEW = 4_096
 ACCURACY = 2_000
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` (a row per group and rank) as a stored table: Spark knows its size and sends it to the
+    values. Of unknown size, a few groups would take all values into a task each."""
+    return materialize(df, as_table=True)
+
+
 def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
     on = F.lit(True)
     for k in keys:
@@ -43,7 +49,7 @@ def select_ranks(values: DataFrame, ranks: DataFrame, keys: Sequence[str], *, va
     ends = values.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count("*").alias("m"))
     ranks = ranks.select(*keys, F.col("rank").cast("long").alias("rank")).distinct()
     r, e = ranks.select(*named, "rank"), ends.alias("e")
-    state = materialize(e.join(r, _same(ends, r, keys)).where((F.col("rank") >= 0) & (F.col("rank") < F.col("m"))).select(
+    state = _small(e.join(r, _same(ends, r, keys)).where((F.col("rank") >= 0) & (F.col("rank") < F.col("m"))).select(
         *own, "rank", "lo", "hi", F.lit(0).cast("long").alias("below"), "m"))
     found = None
     while True:
@@ -70,14 +76,14 @@ def _narrow(values: DataFrame, state: DataFrame, keys: Sequence[str], own: list[
     near = inside.groupBy(*about).agg(F.percentile_approx(v, shares, accuracy).alias("cuts"))
     a = F.get("cuts", F.greatest(F.floor(at * 64) - 2, F.lit(0)).cast("int"))
     b = F.get("cuts", F.least(F.floor(at * 64) + 1, F.lit(62)).cast("int"))
-    cut = materialize(near.select(*about, a.alias("a"), b.alias("b")))
+    cut = _small(near.select(*about, a.alias("a"), b.alias("b")))
     inside = values.join(cut, _same(values, cut, keys)).where((v >= F.col("lo")) & (v <= F.col("hi")))
     counted = inside.groupBy(*about, "a", "b").agg(
         F.count_if(v < F.col("a")).alias("n_a"), F.count_if(v <= F.col("b")).alias("n_b"),
         F.max(F.when(v < F.col("a"), v)).alias("under_a"), F.min(F.when(v > F.col("b"), v)).alias("over_b"))
     k = F.col("rank") - F.col("below")
     low, high = k < F.col("n_a"), k >= F.col("n_b")
-    return materialize(counted.select(
+    return _small(counted.select(
         *own, "rank",
         F.when(low, F.col("lo")).when(high, F.col("over_b")).otherwise(F.col("a")).alias("lo"),
         F.when(low, F.col("under_a")).when(high, F.col("hi")).otherwise(F.col("b")).alias("hi"),
@@ -117,7 +123,7 @@ def box_hinges(df: DataFrame, y: str, group: Sequence[str] = (), *, whisker: flo
     joined = wanted.join(both, _same(wanted, both, group) & F.col("r").isin(F.floor("d") - 1, F.ceil("d") - 1))
     middle = joined.groupBy(*group, "name").agg(((F.min("v") + F.max("v")) / 2).alias("x"))
     box = middle.groupBy(*group).agg(*[F.max(F.when(F.col("name") == k, F.col("x"))).alias(k) for k in places])
-    box = materialize(box.select(*[F.col(k).alias(f"__{k}") for k in group], *places))
+    box = _small(box.select(*[F.col(k).alias(f"__{k}") for k in group], *places))
     reach = whisker * (F.col("q3") - F.col("q1"))
     within = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
     out = values.join(box, _same(values, box, group)).groupBy(*group, *places).agg(

@@ -181,3 +181,19 @@ def test_name_proposals_equal_brute_force(spark, distance):
         want[(w, best[1], best[0]) if best[0] <= distance else (w, None, None)] += 1
     want[None, None, None] += 1
     assert got == want
+
+
+def test_quantiles_do_not_deal_values_by_group(spark, monkeypatch):
+    df = spark.createDataFrame([("ab"[i % 2], float(i)) for i in range(2000)], "g string, v double")
+    seen = []
+    same = quantiles._same
+
+    def spy(a, b, keys):
+        if a.columns == ["g", "value"]:
+            seen.append(a.join(b, same(a, b, keys))._jdf.queryExecution().sparkPlan().toString())
+        return same(a, b, keys)
+
+    monkeypatch.setattr(quantiles, "_same", spy)
+    got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, "v", [0.5, 1.0], group=["g"], few=16).collect()}
+    assert got == {("a", 0.5): 999.0, ("a", 1.0): 1998.0, ("b", 0.5): 1000.0, ("b", 1.0): 1999.0}
+    assert seen and all("BroadcastHashJoin" in x and "SortMergeJoin" not in x for x in seen)
