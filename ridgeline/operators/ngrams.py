@@ -25,6 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain, repeat
+from sys import intern
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -75,10 +76,11 @@ def collect_profiles(profiles: DataFrame, ngrams: Ngrams = Ngrams()) -> Profiles
     return out
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def grams_of(word: str, sizes: tuple[int, ...]) -> tuple[str, ...]:
+    """N-grams of a word; equal ones are one object, however many remembered words have it."""
     p = f"_{word}_"
-    return tuple(g for n in sizes for g in (p[i:i + n] for i in range(len(p) - n + 1)) if g != "_")
+    return tuple(intern(g) for n in sizes for g in (p[i:i + n] for i in range(len(p) - n + 1)) if g != "_")
 
 
 def text_grams(words: list[str], ngrams: Ngrams) -> tuple[list[str], int]:

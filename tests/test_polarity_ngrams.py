@@ -125,6 +125,11 @@ def test_sketch_of_a_frequent_word_moves_few_chunks(spark):
 
 # ------------------------------------------------------------------ n-grams
 
+def test_remembered_grams_are_shared():
+    first, second = ngrams.grams_of("wording", (1, 2, 3)), ngrams.grams_of("wordless", (1, 2, 3))
+    assert first[1] == second[1] == "o" and first[first.index("wor")] is second[second.index("wor")]
+
+
 def brute_grams(text, sizes):
     out = collections.Counter()
     for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
