@@ -15,10 +15,11 @@ in the order of their texts' hashes. An empty table writes empty files.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,16 @@ END_ID = 2
 CACHE_BYTES = 64 << 20        # text of remembered strings
 #: Letters, then ASCII marks but for the apostrophe (some vocabularies join it to letters).
 WORD_AND_MARKS = r"^(?P<word>\p{L}+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
+LETTERS = r"^\p{L}+$"
+TOGETHER = 256                # words encoded as one text
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 64 << 10
 
 
 @dataclass(frozen=True)
 class Room:
-    """What a worker's encoder may hold: about 200 MB a million strings. With less room more
-    strings are encoded again, so a task that does nothing else takes more of it."""
+    """What a worker's encoder may hold. With less room more strings are encoded again, so a
+    task that does nothing else takes more of it."""
 
     pieces: int = 1_000_000      # remembered strings between white space
     words: int = 1_000_000       # remembered words without their marks
@@ -52,21 +55,24 @@ SHARED = Room(pieces=300_000, words=600_000, chars=2_000_000)      # in an execu
 
 
 class Memory:
-    """Ids of strings, kept until there are more than ``most``."""
+    """Ids of strings, kept until there are more than ``most``. The strings are an Arrow array:
+    each call hashes only the asked ones, and looks the kept ones up among them."""
 
     def __init__(self, most: int) -> None:
         self.most = most
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.zeros(1 << 20, np.uint32)
         self.starts, self.lengths = np.zeros(1 << 18, np.int64), np.zeros(1 << 18, np.int64)
         self.used = self.bytes = 0
 
     def slots(self, strings: pa.Array, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Number of each of the distinct ``strings``; ``learn`` gives the lengths and ids of new ones."""
-        keys, size = strings.to_pylist(), pc.sum(pc.binary_length(strings)).as_py() or 0
-        if self.known and (len(self.known) + len(keys) > self.most or self.bytes + size > CACHE_BYTES):
-            self.known, self.used, self.bytes = {}, 0, 0
-        slot = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        size = pc.sum(pc.binary_length(strings)).as_py() or 0
+        if len(self.known) and (len(self.known) + len(strings) > self.most or self.bytes + size > CACHE_BYTES):
+            self.known, self.used, self.bytes = pa.array([], pa.large_string()), 0, 0
+        slot = np.full(len(strings), -1, np.int64)
+        place = pc.index_in(self.known, value_set=strings)
+        slot[np.asarray(place.drop_null())] = np.flatnonzero(np.asarray(place.is_valid()))
         new = np.flatnonzero(slot < 0)
         if len(new):
             strings = strings.take(pa.array(new))
@@ -83,7 +89,7 @@ class Memory:
             self.used += len(flat)
             self.bytes += pc.sum(pc.binary_length(strings)).as_py() or 0
             slot[new] = np.arange(n, n + k)
-            self.known.update(zip(map(keys.__getitem__, new.tolist()), range(n, n + k), strict=True))
+            self.known = pa.concat_arrays([self.known, strings])
         return slot
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -107,25 +113,78 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([] if end_id is None else [end_id], np.uint32)
         self.pieces, self.words = Memory(room.pieces), Memory(room.words)
+        self.closes: dict[str, bool] = {}         # of letters met at the end of words
 
     def _tokenize(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the vocabulary marks the last id of a word, words of letters are encoded many
+        as one text, which costs less than one by one, and cut at the marks."""
+        if self.symbols is None:
+            return self._tokenize_each(strings)
+        ends, sizes = self.symbols
+        joined = np.array(pc.match_substring_regex(strings, LETTERS))
+        at = np.flatnonzero(joined)
+        words, n_bytes = strings.take(pa.array(at)).to_pylist(), np.asarray(pc.binary_length(strings))
+        lengths, flat = np.zeros(len(strings), np.int64), []
+        texts = [" ".join(words[i:i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            mine, ids = at[i * TOGETHER:(i + 1) * TOGETHER], np.array(e.ids, np.uint32)
+            cuts = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1])
+            if (len(cuts) == len(mine) + 1 and cuts[-1] == len(ids)
+                    and np.array_equal(np.add.reduceat(sizes[ids], cuts[:-1]), n_bytes[mine])):
+                lengths[mine] = np.diff(cuts)
+                flat.append(ids)
+            else:                              # some word has several ends, or is changed in length
+                joined[mine] = False
+        if not joined.all():
+            lengths[~joined], rest = self._tokenize_each(strings.filter(pa.array(~joined)))
+            ids = np.empty(int(lengths.sum()), np.uint32)
+            own = np.repeat(joined, lengths)
+            ids[own], ids[~own] = np.concatenate([*flat, np.empty(0, np.uint32)]), rest
+            return lengths, ids
+        return lengths, np.concatenate([*flat, np.empty(0, np.uint32)])
+
+    def _tokenize_each(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(strings.to_pylist(), add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return lengths, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
 
+    @cached_property
+    def symbols(self) -> tuple[np.ndarray, np.ndarray] | None:
+        """Whether an id closes a word, and its length without that mark (bytes, in a byte-level
+        vocabulary), for each id; None for a vocabulary without such a mark."""
+        mark = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        if not mark:
+            return None
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        ends, sizes = (np.zeros(max(vocabulary.values()) + 1, t) for t in (bool, np.int64))
+        for symbol, i in vocabulary.items():
+            ends[i], sizes[i] = symbol.endswith(mark), len(symbol.removesuffix(mark))
+        return ends, sizes
+
     def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A piece of letters and closing marks is a word and its marks: the vocabulary's
         pre-tokenizer cuts there, and lower-cases. Any other piece is kept whole."""
         if not self.cuts_words:
             return self._tokenize(pieces)
         parts = pc.extract_regex(pieces, WORD_AND_MARKS)
-        word = pc.if_else(parts.is_valid(), pc.ascii_lower(pc.struct_field(parts, 0)), pieces)
-        marks = pc.fill_null(pc.struct_field(parts, 1), "")
+        word, marks = pc.struct_field(parts, 0), pc.fill_null(pc.struct_field(parts, 1), "")
+        cut = self._closing(pc.fill_null(word, ""))
+        word, marks = pc.if_else(cut, pc.ascii_lower(word), pieces), pc.if_else(cut, marks, "")
         both = pa.concat_arrays([word, marks]).dictionary_encode()
         slot = self.words.slots(both.dictionary, self._tokenize)[np.asarray(both.indices)]
         lengths, ids = self.words.gather(slot.reshape(2, -1).T.ravel())
         return lengths.reshape(-1, 2).sum(axis=1), ids
 
+    def _closing(self, words: pa.Array) -> pa.Array:
+        """Whether the pre-tokenizer cuts before marks after these words: not where the last
+        letter is normalised to one with an accent of its own. Tried once for each letter."""
+        last = pc.utf8_slice_codeunits(words, start=-1, stop=sys.maxsize)
+        for c in pc.unique(last).to_pylist():
+            if c and c not in self.closes:
+                spans = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(c + ","))
+                self.closes[c] = spans[-1][0] == ","
+        return pc.is_in(last, value_set=pa.array([c for c, yes in self.closes.items() if yes], last.type))
+
     @cached_property
     def cuts_words(self) -> bool:
         """Whether the tokenizer encodes letters and the marks after them apart, in lower

@@ -111,6 +111,61 @@ def test_encoder_equals_the_library_on_odd_text():
         begin = end
 
 
+def test_encoder_hands_the_library_many_new_words_as_one_text():
+    """One text a word cost op4 and op1 most of their time."""
+    import itertools
+
+    import pyarrow as pa
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **kw):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **kw)
+
+    enc = tokens.Encoder(queries.TOKENIZER)
+    enc.tokenizer = Counted(enc.tokenizer)
+    text = " ".join("".join(p) for p in itertools.product(["ba", "dé", "что", "Zu"], repeat=5))
+    ids, ends = enc.encode(pa.array([text]))
+    assert ids.tolist() == ids_of(text) and ends.tolist() == [len(ids)]
+    assert enc.tokenizer.texts <= 8                   # of 1024 new words
+
+
+@pytest.mark.parametrize("most", [1, 7, 1000])
+def test_encoder_cuts_joined_words_where_the_library_does(most):
+    """Letters that normalisation splits, joins, shortens or lengthens, and memories that overflow."""
+    import pyarrow as pa
+
+    strange = ["\u0958a", "\u0130stanbul", "\u212aelvin", "\u1112\u1161\u11ab", "\ufb2a", "\u017ft",
+               "Stra\u1e9ee", "\u4e2d\u6587", "\u01c5x", "\u0e44\u0e17\u0e22", "\U0001d400b", "\u2126hm"]
+    plain = [f"{a}{b}" for a in ("the", "Ör", "ні", "qux") for b in ("", "a", "zzz", "É")]
+    texts = [" ".join(strange), " ".join(plain), " ".join(x for p in zip(plain, strange, strict=False) for x in p),
+             None, "", " ".join(f"{w}," for w in strange + plain), *strange, "the</w> </w> the 12the the's"]
+    enc = tokens.Encoder(queries.TOKENIZER, room=tokens.Room(pieces=most, words=most))
+    for _ in range(2):
+        ids, ends = enc.encode(pa.array(texts, pa.string()))
+        begin = 0
+        for t, end in zip(texts, ends, strict=True):
+            assert ids[begin:end].tolist() == ids_of(t)
+            begin = end
+        assert begin == len(ids)
+
+
+def test_encoder_keeps_marks_with_a_word_whose_last_letter_gets_an_accent():
+    """The normaliser makes a letter and an accent of them, and the accent joins the marks."""
+    import pyarrow as pa
+
+    enc = tokens.Encoder(queries.TOKENIZER)
+    texts = ["\ufb2a,", "x\u0130.", "\u0915\u0958!?", "ab\ufb2a,, \ufb2a \u0130", "caf\u00c9,"]
+    ids, ends = enc.encode(pa.array(texts))
+    assert [ids[a:z].tolist() for a, z in zip([0, *ends], ends, strict=False)] == [ids_of(t) for t in texts]
+
+
 def brute_links(texts):
     def sh(t):
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", t or "") if x]
