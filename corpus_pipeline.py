@@ -59,5 +59,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written before the next reads it."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir), texts=True)
     return docs

@@ -27,10 +27,26 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, *, texts: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is cut,
-    a lost executor loses nothing, and joins see its real size."""
-    return materialize(df, as_table=True)
+    a lost executor loses nothing, and joins see its real size. ``texts``: its rows
+    carry whole texts, which are read in small portions."""
+    return materialize(df, as_table=True, texts=texts)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for mapInArrow, after which the worker gives freed Arrow memory back: a worker
+    waits for its next task, and holds it beside the executor's other work till then."""
+    def whole(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return whole
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import sifted, stored, whole_groups
+from ridgeline.llm.common import released, sifted, stored, whole_groups
 from ridgeline.llm.tokens import text_slices
 
 
@@ -128,7 +128,7 @@ def text_sketches(docs: DataFrame, join: JaccardJoin, *, key: str, text: str) ->
                     [b.column(0), b.column(1), pa.array(np.diff(ends, prepend=0).astype(np.int32)), lists],
                     names=["doc", "same", "n_shingles", "sketch"])
 
-    return rows.mapInArrow(run, "doc long, same string, n_shingles int, sketch array<int>")
+    return rows.mapInArrow(released(run), "doc long, same string, n_shingles int, sketch array<int>")
 
 
 def _children(path: Column, join: JaccardJoin) -> Column:
@@ -181,7 +181,7 @@ def candidate_links(texts: DataFrame, join: JaccardJoin) -> DataFrame:
             F.coalesce(F.col("n") >= join.thin * F.col("parent_n"), F.lit(False)).alias("dense")))
         small = rows.where(F.col("n") <= join.bucket).select("path", "node", "sketch")
         found = (small.repartition("path").sortWithinPartitions("path")
-                 .mapInArrow(lambda b: _bucket_links(b, join), "a long, b long"))
+                 .mapInArrow(released(lambda b: _bucket_links(b, join)), "a long, b long"))
         large = rows.where(F.col("n") > join.bucket)
         last = F.lit(depth == join.depth)
         star = (large.where(F.col("dense") | last).where("first <> node")
@@ -284,7 +284,7 @@ def verified_links(texts: DataFrame, classes: DataFrame, join: JaccardJoin) -> D
                                  F.greatest("own", "other").cast("string")).alias("block")))
     rows = pairs.join(texts.select("node", "text", "copies"), "node")
     return (rows.repartition("block").sortWithinPartitions("block", "node")
-            .mapInArrow(lambda b: _verify(b, join), "node long, to long, links long"))
+            .mapInArrow(released(lambda b: _verify(b, join)), "node long, to long, links long"))
 
 
 def near_duplicates(docs: DataFrame, join: JaccardJoin = JaccardJoin(), *, key: str = "doc_id",

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.llm.common import released
 from ridgeline.llm.tokens import END_ID, Room, encoder, text_slices
 
 CAPACITY = 4096
@@ -122,5 +123,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY,
         if held:
             yield from flush()
 
-    return rows.mapInArrow(run, f"`{key}` long, start long, length long, doc_tokens long, "
+    return rows.mapInArrow(released(run), f"`{key}` long, start long, length long, doc_tokens long, "
                                 "sequence_id long, offset long, ids binary")
