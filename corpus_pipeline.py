@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from ridgeline.llm import decontaminate, jaccard, packing, quality, secrets, tokens
 from ridgeline.llm.common import stored
+from ridgeline.session import small_batches
 from ridgeline.sources.tables import table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    small_batches(spark)
     return quality.quality_filter(docs)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 from collections.abc import Callable, Iterator
 
@@ -38,13 +39,16 @@ Batches = Iterator[pa.RecordBatch]
 
 
 def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """``run`` for mapInArrow, after which the worker gives freed Arrow memory back: a worker
-    waits for its next task, and holds it beside the executor's other work till then."""
+    """``run`` for mapInArrow, after which the worker gives freed memory back, Arrow's and (where
+    the C library can) its own: a worker waits for its next task, and holds it beside the
+    executor's other work till then."""
     def whole(batches: Batches) -> Batches:
         try:
             yield from run(batches)
         finally:
             pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
 
     return whole
 

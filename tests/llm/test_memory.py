@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ridgeline.llm import common, quality
 
 
@@ -40,6 +41,17 @@ def test_stored_texts_are_the_rows_given(spark):
     assert common.stored(odd.where("false"), texts=True).collect() == []
 
 
+def test_the_pipeline_reads_few_texts_at_a_time_unless_set(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    docs = spark.createDataFrame([(1, "a b", "en")], "doc_id long, text string, lang string")
+    for given, want in ((None, 512), ("100", 100)):
+        session = spark.newSession()
+        if given:
+            session.conf.set(key, given)
+        corpus_pipeline.quality_rules(session, docs, "")
+        assert int(session.conf.get(key)) == want
+
+
 class Pool:
     released = 0
 
